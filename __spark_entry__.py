@@ -164,20 +164,28 @@ def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- validation ------------------------------------------------------------------
 
 
-def _rows_and_summary(view=assignment_input):
-    def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-        rows = view(spark, sf_dir)
-        return rows, summary.household_summary(rows)
+def _facts(view=assignment_input, *by: str) -> Query:
+    return lambda spark, sf_dir: stats.client_facts(view(spark, sf_dir), *by)
+
+
+def _summary_of(rows: DataFrame) -> DataFrame:
+    return summary.household_summary(rows)
 
-    return load
+
+def _stored_summary_of(rows: DataFrame) -> DataFrame:
+    """For what reads the summary more than once, a written one as in a real job."""
+    path = fresh_path(rows.sparkSession, "summary")
+    sink.write_summary(summary.household_summary(rows), path)
+    return sink.read_summary(rows.sparkSession, path)
 
 
 def q13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.overall_counts(*_rows_and_summary()(spark, sf_dir))
+    rows = assignment_input(spark, sf_dir)
+    return stats.overall_counts(stats.client_facts(rows), _summary_of(rows))
 
 
 def q14(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, out = _rows_and_summary()(spark, sf_dir)
+    rows = assignment_input(spark, sf_dir)
 
     def side(name: str, df: DataFrame) -> DataFrame:
         p = name.lower()
@@ -189,8 +197,8 @@ def q14(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col(f"{p}RecordCount").alias("recordCount"), "minStartTime", "maxEndTime",
         )
 
-    return side("Input", stats.household_input_stats(rows)).unionByName(
-        side("Output", stats.household_output_stats(out))
+    return side("Input", stats.household_input_stats(rows, stats.client_facts(rows))).unionByName(
+        side("Output", stats.household_output_stats(_summary_of(rows)))
     )
 
 
@@ -201,14 +209,15 @@ def q15(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = F.transform(
         "inputClients", lambda c: F.concat_ws(":", client_token(c["clientId"]), c["n"])
     )
-    return stats.household_ip_stats(assignment_input(spark, sf_dir)).select(
+    return stats.household_ip_stats(_facts()(spark, sf_dir)).select(
         "householdId", "ip", F.array_join(counted, ",").alias("inputClients"), *EXTENT
     )
 
 
 def q16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, out = _rows_and_summary()(spark, sf_dir)
-    joined = validation.output_with_empty_clients(stats.household_ip_stats(rows), out)
+    rows = assignment_input(spark, sf_dir)
+    ip_stats = stats.household_ip_stats(stats.client_facts(rows))
+    joined = validation.output_with_empty_clients(ip_stats, _summary_of(rows))
     return joined.select(
         "householdId", "ip", _text(F.col("clientIds")).alias("clientIds"), *EXTENT
     )
@@ -216,8 +225,11 @@ def q16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _consistency(view) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows, out = _rows_and_summary(view)(spark, sf_dir)
-        return validation.household_consistency(rows, out).withColumns({
+        rows = view(spark, sf_dir)
+        checked = validation.household_consistency(
+            rows, stats.client_facts(rows), _stored_summary_of(rows)
+        )
+        return checked.withColumns({
             "inputClientIds": _text(F.col("inputClientIds")),
             "outputClientIds": _text(F.col("outputClientIds")),
             "sameClientIds": F.col("sameClientIds").cast("int"),
@@ -228,27 +240,36 @@ def _consistency(view) -> Query:
 
 def q17_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input_dense(spark, sf_dir)
-    out = summary.household_summary(_without_some_ips(rows))
-    return validation.household_mismatches(rows, out).select(
+    out = _summary_of(_without_some_ips(rows))
+    return validation.household_mismatches(stats.client_facts(rows), out).select(
         "householdId",
         *[F.col(c).cast("int").alias(c) for c in ("sameIpCount", "sameBounds", "sameClientIds")],
     )
 
 
+def _interleaving_rows(view) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = view(spark, sf_dir)
+        return validation.interleaving_ips(stats.client_facts(rows), _summary_of(rows))
+
+    return run
+
+
 def _interleaving(view) -> Query:
-    return lambda spark, sf_dir: validation.interleaving_ips(
-        *_rows_and_summary(view)(spark, sf_dir)
-    ).select("householdId", "ip", *SPAN)
+    found = _interleaving_rows(view)
+    return lambda spark, sf_dir: found(spark, sf_dir).select("householdId", "ip", *SPAN)
 
 
 def q18_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, out = _rows_and_summary(assignment_input_dense)(spark, sf_dir)
-    return validation.unknown_clients(_without_some_ips(rows), out).select(*_row_columns())
+    rows = assignment_input_dense(spark, sf_dir)
+    known = stats.client_facts(_without_some_ips(rows))
+    return validation.unknown_clients(known, _summary_of(rows)).select(*_row_columns())
 
 
 def q19(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input_dense(spark, sf_dir)
-    return validation.client_ip_mismatches(rows, _without_some_ips(rows)).select(
+    sides = stats.client_facts(rows), stats.client_facts(_without_some_ips(rows))
+    return validation.client_ip_mismatches(*sides).select(
         client_token(F.col("clientId")).alias("client"),
         "ipCount1", "recordCount1", "ipCount2", "recordCount2",
     )
@@ -259,13 +280,14 @@ def q19_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = rows.withColumn("customer", F.lit(1)).unionByName(
         _without_some_ips(rows).withColumn("customer", F.lit(2))
     )
-    return validation.client_ip_spread(copies).select(
+    return validation.client_ip_spread(stats.client_facts(copies, "customer")).select(
         client_token(F.col("clientId")).alias("client"), "minIpCount", "maxIpCount", "nCustomers"
     )
 
 
 def q20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = validation.validation_report(*_rows_and_summary()(spark, sf_dir))
+    rows = assignment_input(spark, sf_dir)
+    report = validation.validate(rows, _stored_summary_of(rows))
     return report.withColumn("ok", F.col("ok").cast("int"))
 
 
@@ -286,17 +308,17 @@ def _customers_compared(compare: Callable[[DataFrame, DataFrame], DataFrame]) ->
 def _two_runs(spark: SparkSession, sf_dir: str) -> list[validation.ValidationRun]:
     rows = assignment_input_dense(spark, sf_dir)
     return [
-        validation.ValidationRun.of(r, summary.household_summary(r))
+        validation.ValidationRun.of(r, _stored_summary_of(r))
         for r in (rows, _without_some_ips(rows))
     ]
 
 
 def q23(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.span_statistics(validation.interleaving_ips(*_rows_and_summary()(spark, sf_dir)))
+    return stats.span_statistics(_interleaving_rows(assignment_input)(spark, sf_dir))
 
 
 def q23_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.span_statistics(summary.household_summary(assignment_input(spark, sf_dir)))
+    return stats.span_statistics(_summary_of(assignment_input(spark, sf_dir)))
 
 
 def _ordered(compare: Callable[..., DataFrame]) -> Query:
@@ -305,7 +327,7 @@ def _ordered(compare: Callable[..., DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = assignment_input_dense(spark, sf_dir)
         both = [
-            _show_summary(summary.household_summary(r)).select(*columns)
+            _show_summary(_summary_of(r)).select(*columns)
             for r in (rows, _without_some_ips(rows))
         ]
 

@@ -1,8 +1,11 @@
 """Counts and statistics of input rows and of summaries, for comparing the two.
 
-Client sets appear as sorted arrays. They hold distinct ids only, and are built
-from partial sets on the map side, so they grow with the ids of a household and
-not with its rows.
+Most of them start from ``client_facts``, one row per household, ip and client id.
+It is built by one aggregation that combines rows before its shuffle, is far
+smaller than the rows, and can be stored once for a whole validation.
+
+Client sets appear as sorted arrays. They are collected from distinct ids, so
+they grow with the ids of a household and not with its rows.
 """
 
 from __future__ import annotations
@@ -10,118 +13,133 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanfold.functions.clients import client_ids, client_token, union_of
 from spanfold.sources.rows import is_usable, known_households
 
 
 def accepted(rows: DataFrame) -> DataFrame:
     """The rows the roll-up uses, with a NULL client id as the empty one."""
-    empty = F.array().cast("array<int>")
     return known_households(rows).where(is_usable()).withColumn(
-        "clientId", F.coalesce("clientId", empty)
+        "clientId", F.coalesce("clientId", _no_ids("array<int>"))
     )
 
 
+def _no_ids(kind: str) -> Column:
+    return F.array().cast(kind)
+
+
 def _has_client() -> Column:
     return F.size("clientId") != 0
 
 
-def _totals(distinct_client: Column, empty_rows: Column) -> tuple[Column, ...]:
-    return (
-        F.count_distinct("householdId").alias("nHHs"),
-        F.count_distinct("ip").alias("nIps"),
-        F.count_distinct(distinct_client).alias("nClients"),
-        F.count_if(empty_rows).alias("nEmptyRows"),
+def _bounds(start: str = "timeSpan.startTimeMs", end: str = "timeSpan.endTimeMs"):
+    return F.min(start).alias("minStartTime"), F.max(end).alias("maxEndTime")
+
+
+def _outer_bounds() -> tuple[Column, Column]:
+    return _bounds("minStartTime", "maxEndTime")
+
+
+def client_facts(rows: DataFrame, *by: str) -> DataFrame:
+    """``<by>, householdId, ip, clientId`` with row count ``n`` and extent."""
+    return accepted(rows).groupBy(*by, "householdId", "ip", "clientId").agg(
+        F.count(F.lit(1)).alias("n"), *_bounds()
     )
 
 
-def input_counts(rows: DataFrame, *by: str) -> DataFrame:
-    """Distinct households, ips and clients, and rows without a client, in one
-    pass; per group when ``by`` is given."""
-    return accepted(rows).groupBy(*by).agg(
-        *_totals(F.when(_has_client(), F.col("clientId")), ~_has_client())
+def input_counts(facts: DataFrame, *by: str) -> DataFrame:
+    """Distinct households, ips and clients, and rows without a client; per group
+    when ``by`` is given."""
+    return facts.groupBy(*by).agg(
+        F.count_distinct("householdId").alias("nHHs"),
+        F.count_distinct("ip").alias("nIps"),
+        F.count_distinct(F.when(_has_client(), F.col("clientId"))).alias("nClients"),
+        F.coalesce(F.sum(F.when(~_has_client(), F.col("n"))), F.lit(0)).alias("nEmptyRows"),
     )
 
 
 def output_counts(summary: DataFrame) -> DataFrame:
     exploded = summary.select("householdId", "ip", F.explode_outer("clientIds").alias("clientId"))
     return exploded.agg(
-        *_totals(
-            F.when(_has_client(), F.col("clientId")),
-            F.coalesce(F.size("clientId") == 0, F.lit(False)),
-        )
+        F.count_distinct("householdId").alias("nHHs"),
+        F.count_distinct("ip").alias("nIps"),
+        F.count_distinct(F.when(_has_client(), F.col("clientId"))).alias("nClients"),
+        F.count_if(F.coalesce(~_has_client(), F.lit(False))).alias("nEmptyRows"),
     )
 
 
-def overall_counts(rows: DataFrame, summary: DataFrame) -> DataFrame:
+def overall_counts(facts: DataFrame, summary: DataFrame) -> DataFrame:
     def side(name: str, counts: DataFrame) -> DataFrame:
         return counts.select(F.lit(name).alias("side"), "*")
 
-    return side("Input", input_counts(rows)).unionByName(side("Output", output_counts(summary)))
+    return side("Input", input_counts(facts)).unionByName(side("Output", output_counts(summary)))
 
 
-def _bounds() -> tuple[Column, Column]:
-    return (
-        F.min("timeSpan.startTimeMs").alias("minStartTime"),
-        F.max("timeSpan.endTimeMs").alias("maxEndTime"),
-    )
+def _client_sets(pairs: DataFrame, name: str) -> DataFrame:
+    """Distinct first: it combines before the shuffle and spreads a large household
+    over its ids, which collecting all rows into a set would not."""
+    distinct = pairs.select("householdId", "clientId").distinct()
+    return distinct.groupBy("householdId").agg(F.array_sort(F.collect_list("clientId")).alias(name))
 
 
-def household_input_stats(rows: DataFrame) -> DataFrame:
-    return accepted(rows).groupBy("householdId").agg(
+def household_facts(facts: DataFrame) -> DataFrame:
+    """Per household of the input: ips, rows, extent and client set."""
+    totals = facts.groupBy("householdId").agg(
         F.count_distinct("ip").alias("ipCount"),
-        F.count_distinct("timeSpan").alias("inputTimeSpanCount"),
-        F.array_sort(F.collect_set("clientId")).alias("inputClientIds"),
-        F.count(F.lit(1)).alias("inputRecordCount"),
-        *_bounds(),
+        F.sum("n").alias("inputRecordCount"),
+        *_outer_bounds(),
     )
+    return totals.join(_client_sets(facts, "inputClientIds"), "householdId")
+
+
+def household_input_stats(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    n_spans = accepted(rows).groupBy("householdId").agg(
+        F.count_distinct("timeSpan").alias("inputTimeSpanCount")
+    )
+    return household_facts(facts).join(n_spans, "householdId")
 
 
 def household_output_stats(summary: DataFrame) -> DataFrame:
-    tokens = F.transform("clientIds", client_token)
-    return summary.withColumn("tokens", tokens).groupBy("householdId").agg(
+    totals = summary.groupBy("householdId").agg(
         F.count_distinct("ip").alias("ipCount"),
         F.count_distinct("timeSpan").alias("outputTimeSpanCount"),
-        client_ids(union_of("tokens")).alias("outputClientIds"),
         F.count(F.lit(1)).alias("outputRecordCount"),
         *_bounds(),
     )
-
-
-def household_ip_extents(rows: DataFrame) -> DataFrame:
-    """Full extent of each (household, ip), next to that of its household."""
-    extents = accepted(rows).groupBy("householdId", "ip").agg(
-        *_bounds(), F.count_if(~_has_client()).alias("emptyClientIdCount")
+    clients = summary.select("householdId", F.explode("clientIds").alias("clientId"))
+    named = totals.join(_client_sets(clients, "outputClientIds"), "householdId", "left")
+    return named.withColumn(
+        "outputClientIds", F.coalesce("outputClientIds", _no_ids("array<array<int>>"))
     )
-    return extents.join(_household_bounds(extents), "householdId")
 
 
-def _household_bounds(ip_stats: DataFrame) -> DataFrame:
-    return ip_stats.groupBy("householdId").agg(
+def _with_household_bounds(ip_stats: DataFrame) -> DataFrame:
+    bounds = ip_stats.groupBy("householdId").agg(
         F.min("minStartTime").alias("householdMinStart"),
         F.max("maxEndTime").alias("householdMaxEnd"),
     )
+    return ip_stats.join(bounds, "householdId")
 
 
-def household_ip_stats(rows: DataFrame) -> DataFrame:
+def household_ip_extents(facts: DataFrame) -> DataFrame:
+    """Full extent of each (household, ip), next to that of its household."""
+    return _with_household_bounds(facts.groupBy("householdId", "ip").agg(*_outer_bounds()))
+
+
+def household_ip_stats(facts: DataFrame) -> DataFrame:
     """The extents with every client id seen and how often, as ``inputClients``:
     the list of all ids without spelling out its copies."""
-    per_client = accepted(rows).groupBy("householdId", "ip", "clientId").agg(
-        F.count(F.lit(1)).alias("n"), *_bounds()
-    )
-    stats = per_client.groupBy("householdId", "ip").agg(
+    stats = facts.groupBy("householdId", "ip").agg(
         F.array_sort(F.collect_list(F.struct("clientId", "n"))).alias("inputClients"),
-        F.min("minStartTime").alias("minStartTime"),
-        F.max("maxEndTime").alias("maxEndTime"),
+        *_outer_bounds(),
         F.sum(F.when(_has_client(), 0).otherwise(F.col("n"))).alias("emptyClientIdCount"),
     )
-    return stats.join(_household_bounds(stats), "householdId")
+    return _with_household_bounds(stats)
 
 
-def client_ip_counts(rows: DataFrame, *by: str) -> DataFrame:
+def client_ip_counts(facts: DataFrame, *by: str) -> DataFrame:
     """How many ips, and rows, each client id has; per group when ``by`` is given."""
-    return accepted(rows).groupBy(*by, "clientId").agg(
-        F.count_distinct("ip").alias("ipCount"), F.count(F.lit(1)).alias("recordCount")
+    return facts.groupBy(*by, "clientId").agg(
+        F.count_distinct("ip").alias("ipCount"), F.sum("n").alias("recordCount")
     )
 
 

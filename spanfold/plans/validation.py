@@ -1,20 +1,22 @@
 """Checks that a summary is consistent with the rows it was made from, and that
-several customers' rows are consistent with each other."""
+several customers' rows are consistent with each other.
+
+``facts`` is ``client_facts`` of the input rows; both it and ``summary`` are read
+by many checks, so a validation run works on stored copies of the two.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanfold.functions.spans import covers
 from spanfold.plans.stats import (
-    accepted,
+    client_facts,
     client_ip_counts,
+    household_facts,
     household_input_stats,
     household_ip_extents,
     household_ip_stats,
@@ -24,6 +26,7 @@ from spanfold.plans.stats import (
     overall_counts,
     span_statistics,
 )
+from spanfold.sources.scratch import stored
 
 HOUSEHOLD_IP = ["householdId", "ip"]
 
@@ -33,13 +36,13 @@ def _same_clients() -> Column:
     return F.filter("inputClientIds", lambda c: F.size(c) != 0) == F.col("outputClientIds")
 
 
-def household_consistency(rows: DataFrame, summary: DataFrame) -> DataFrame:
+def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Households whose ip count and bounds agree on both sides, with a flag for
     their client sets and a score; ordered by score. Households that do not agree
     are absent here: see ``household_mismatches``."""
     output = household_output_stats(summary)
     n_households = output.agg(F.count(F.lit(1))).scalar()
-    both = household_input_stats(rows).join(
+    both = household_input_stats(rows, facts).join(
         output, ["householdId", "ipCount", "minStartTime", "maxEndTime"]
     )
     return both.select(
@@ -60,10 +63,10 @@ def household_consistency(rows: DataFrame, summary: DataFrame) -> DataFrame:
     ).orderBy("householdIdEncoding", "minStartTime")
 
 
-def household_mismatches(rows: DataFrame, summary: DataFrame) -> DataFrame:
+def household_mismatches(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Households missing on one side, or with another ip count, bounds or client
     set there."""
-    left, right = household_input_stats(rows).alias("i"), household_output_stats(summary).alias("o")
+    left, right = household_facts(facts).alias("i"), household_output_stats(summary).alias("o")
 
     def same(name: str) -> Column:
         return F.col(f"i.{name}").eqNullSafe(F.col(f"o.{name}"))
@@ -79,13 +82,13 @@ def household_mismatches(rows: DataFrame, summary: DataFrame) -> DataFrame:
     return compared.where("NOT (sameIpCount AND sameBounds AND sameClientIds)")
 
 
-def interleaving_ips(rows: DataFrame, summary: DataFrame) -> DataFrame:
+def interleaving_ips(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Summary rows that do not hold the whole extent of their household and ip:
     another ip came in between."""
     span = F.col("timeSpan.startTimeMs"), F.col("timeSpan.endTimeMs")
     held = covers(*span, F.col("minStartTime"), F.col("maxEndTime"))
     return (
-        household_ip_extents(rows)
+        household_ip_extents(facts)
         .join(summary, HOUSEHOLD_IP)
         .where(~held)
         .select(*HOUSEHOLD_IP, "timeSpan")
@@ -93,20 +96,19 @@ def interleaving_ips(rows: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def spans_outside_household(rows: DataFrame) -> DataFrame:
+def spans_outside_household(facts: DataFrame) -> DataFrame:
     inside = covers(
         F.col("householdMinStart"), F.col("householdMaxEnd"),
         F.col("minStartTime"), F.col("maxEndTime"),
     )
-    return household_ip_extents(rows).where(~inside)
+    return household_ip_extents(facts).where(~inside)
 
 
-def unknown_clients(rows: DataFrame, summary: DataFrame) -> DataFrame:
+def unknown_clients(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Client ids of the summary that the input never shows for their household
     and ip. An anti-join, so no client set has to be compared in one place."""
     claimed = summary.select(*HOUSEHOLD_IP, F.explode("clientIds").alias("clientId"))
-    seen = accepted(rows).select(*HOUSEHOLD_IP, "clientId").distinct()
-    return claimed.join(seen, [*HOUSEHOLD_IP, "clientId"], "left_anti")
+    return claimed.join(facts, [*HOUSEHOLD_IP, "clientId"], "left_anti")
 
 
 def output_with_empty_clients(ip_stats: DataFrame, summary: DataFrame) -> DataFrame:
@@ -119,8 +121,8 @@ def output_with_empty_clients(ip_stats: DataFrame, summary: DataFrame) -> DataFr
 def client_ip_mismatches(left: DataFrame, right: DataFrame) -> DataFrame:
     """Clients of both inputs that have a different number of ips in each."""
 
-    def side(rows: DataFrame, n: int) -> DataFrame:
-        return client_ip_counts(rows).withColumnsRenamed(
+    def side(facts: DataFrame, n: int) -> DataFrame:
+        return client_ip_counts(facts).withColumnsRenamed(
             {"ipCount": f"ipCount{n}", "recordCount": f"recordCount{n}"}
         )
 
@@ -129,11 +131,11 @@ def client_ip_mismatches(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def client_ip_spread(rows: DataFrame) -> DataFrame:
+def client_ip_spread(facts: DataFrame) -> DataFrame:
     """The same for any number of customers at once: clients for which some two
     customers differ. Least and greatest tell that without forming the pairs."""
     return (
-        client_ip_counts(rows, "customer")
+        client_ip_counts(facts, "customer")
         .where("ipCount <> 0")
         .groupBy("clientId")
         .agg(
@@ -149,18 +151,18 @@ def _unpivoted(counts: DataFrame, value: str) -> DataFrame:
     return counts.unpivot([], ["nHHs", "nIps", "nClients"], "count", value)
 
 
-def totals_report(rows: DataFrame, summary: DataFrame) -> DataFrame:
-    expected = _unpivoted(input_counts(rows), "expected")
+def totals_report(facts: DataFrame, summary: DataFrame) -> DataFrame:
+    expected = _unpivoted(input_counts(facts), "expected")
     actual = _unpivoted(output_counts(summary), "actual")
     return expected.join(actual, "count").select(
         F.concat(F.lit("output "), "count").alias("check"), "expected", "actual"
     )
 
 
-def customers_report(rows: DataFrame) -> DataFrame:
+def customers_report(facts: DataFrame) -> DataFrame:
     """Every two customers agree on a total when its least and greatest do."""
     return (
-        input_counts(rows, "customer")
+        input_counts(facts, "customer")
         .unpivot(["customer"], ["nHHs", "nIps", "nClients"], "count", "n")
         .groupBy("count")
         .agg(F.min("n").alias("expected"), F.max("n").alias("actual"))
@@ -174,14 +176,14 @@ def _none_expected(name: str, errors: DataFrame) -> DataFrame:
     )
 
 
-def validation_report(rows: DataFrame, summary: DataFrame) -> DataFrame:
-    """``check, expected, actual, ok``. ``rows`` carry a ``customer`` column."""
-    report = totals_report(rows, summary).unionByName(customers_report(rows))
+def validation_report(facts: DataFrame, summary: DataFrame) -> DataFrame:
+    """``check, expected, actual, ok``. ``facts`` are those per ``customer``."""
+    report = totals_report(facts, summary).unionByName(customers_report(facts))
     for name, errors in {
-        "client ip counts": client_ip_spread(rows),
-        "household mismatches": household_mismatches(rows, summary),
-        "unknown clients": unknown_clients(rows, summary),
-        "spans outside household": spans_outside_household(rows),
+        "client ip counts": client_ip_spread(facts),
+        "household mismatches": household_mismatches(facts, summary),
+        "unknown clients": unknown_clients(facts, summary),
+        "spans outside household": spans_outside_household(facts),
     }.items():
         report = report.unionByName(_none_expected(name, errors))
     return report.withColumn("ok", F.col("expected") == F.col("actual"))
@@ -199,11 +201,12 @@ class ValidationRun:
 
     @classmethod
     def of(cls, rows: DataFrame, summary: DataFrame) -> ValidationRun:
+        facts = stored(client_facts(rows), "facts")
         return cls(
-            overall_counts(rows, summary),
-            household_consistency(rows, summary),
-            interleaving_ips(rows, summary),
-            output_with_empty_clients(household_ip_stats(rows), summary),
+            overall_counts(facts, summary),
+            household_consistency(rows, facts, summary),
+            interleaving_ips(facts, summary),
+            output_with_empty_clients(household_ip_stats(facts), summary),
             summary,
         )
 
@@ -224,23 +227,15 @@ class ValidationRun:
         }
 
 
-@contextmanager
-def kept(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
-    """Keep frames that several checks read, for the time of a validation run."""
-    for frame in frames:
-        frame.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield frames
-    finally:
-        for frame in frames:
-            frame.unpersist()
+def validate(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """The report over stored facts of the rows, which carry a ``customer``."""
+    return validation_report(stored(client_facts(rows, "customer"), "facts"), summary)
 
 
 def assert_valid(rows: DataFrame, summary: DataFrame) -> None:
     """Run every check; fail with the ones that do not hold."""
-    with kept(accepted(rows), summary) as (kept_rows, kept_summary):
-        # bounded: one line per check
-        failed = validation_report(kept_rows, kept_summary).where(~F.col("ok")).collect()
+    # bounded: one line per check
+    failed = validate(rows, summary).where(~F.col("ok")).collect()
     if failed:
         raise AssertionError(
             "; ".join(f"{r.check}: expected {r.expected}, found {r.actual}" for r in failed)
