@@ -82,17 +82,19 @@ def islands_sliced(
     )
 
 
+def with_event_time(spans: DataFrame) -> DataFrame:
+    return spans.withColumn("at", F.timestamp_millis(F.col("start")))
+
+
 def session_islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     """The same islands through ``session_window``. The window is half-open, so
-    one millisecond more makes touching spans one session. This form merges rows
-    before they meet in a window, at the price of an exchange of its own, and is
-    the one that also runs on a stream.
+    one millisecond more makes touching spans one session. This is the form that
+    also runs on a stream, where the caller adds ``at`` and its watermark first.
     """
-    at = F.timestamp_millis(F.col("start"))
+    timed = spans if "at" in spans.columns else with_event_time(spans)
     length = F.concat((F.col("end") - F.col("start") + 1).cast("string"), F.lit(" milliseconds"))
     return (
-        spans.withColumn("at", at)
-        .groupBy(*keys, "ip", F.session_window("at", length).alias("session"))
+        timed.groupBy(*keys, "ip", F.session_window("at", length).alias("session"))
         .agg(_clients(spans))
         .select(
             *keys,
