@@ -45,12 +45,15 @@ def _row_columns(*extra: str) -> list[Column | str]:
     return ["householdId", "ip", client_token(F.col("clientId")).alias("client"), *extra]
 
 
-SPAN = (F.col("timeSpan.startTimeMs").alias("startMs"), F.col("timeSpan.endTimeMs").alias("endMs"))
+def _span() -> list[Column]:
+    return [
+        F.col("timeSpan.startTimeMs").alias("startMs"), F.col("timeSpan.endTimeMs").alias("endMs")
+    ]
 
 
 def _show_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
-        *_row_columns(), *SPAN, "status", "version", "customer",
+        *_row_columns(), *_span(), "status", "version", "customer",
         F.col("dt").cast("string").alias("dt"),
     )
 
@@ -66,7 +69,7 @@ def _show_folded(folded: DataFrame, *extra: str) -> DataFrame:
 
 def _show_summary(df: DataFrame) -> DataFrame:
     return df.select(
-        "householdId", "ip", *SPAN, _text(F.col("clientIds")).alias("clients"),
+        "householdId", "ip", *_span(), _text(F.col("clientIds")).alias("clients"),
         F.size("clientIds").alias("nClients"), "version",
     )
 
@@ -257,7 +260,7 @@ def _interleaving_rows(view) -> Query:
 
 def _interleaving(view) -> Query:
     found = _interleaving_rows(view)
-    return lambda spark, sf_dir: found(spark, sf_dir).select("householdId", "ip", *SPAN)
+    return lambda spark, sf_dir: found(spark, sf_dir).select("householdId", "ip", *_span())
 
 
 def q18_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
