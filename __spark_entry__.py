@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracles import oracle_sql  # noqa: E402,F401
 from spanfold.functions.clients import NO_CLIENT, client_ids, client_token  # noqa: E402
-from spanfold.operators.hot import hot_households  # noqa: E402
+from spanfold.operators.hot import Limits, find_hot  # noqa: E402
 from spanfold.operators.islands import session_islands  # noqa: E402
 from spanfold.plans import diff, stats, summary, validation  # noqa: E402
 from spanfold.sources import rows as source  # noqa: E402
@@ -28,8 +28,8 @@ from spanfold.sources.scratch import fresh_path  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 WINDOW = ((0, 1), "2024-01-05", "2024-01-20")
-# Below every household's size here, so that the sliced operators run.
-SLICE_ALL = 1
+# Below the size of most households and pairs here, so that the sliced operators run.
+SLICE_ALL = Limits(hot_rows=20, slice_rows=10)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,13 +131,13 @@ def q05_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_folded(session_islands(source.spans(assignment_input(spark, sf_dir))))
 
 
-def _merge(hot_rows: int) -> Query:
+def _merge(limits: Limits) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = assignment_input(spark, sf_dir)
         old, new = (
-            summary.household_islands(rows.where(F.col("customer") == c), hot_rows) for c in (0, 1)
+            summary.household_islands(rows.where(F.col("customer") == c), limits) for c in (0, 1)
         )
-        hot = hot_households(source.known_households(rows), hot_rows)
+        hot = find_hot(source.spans(rows), limits)
         return _show_folded(summary.merge_increment(old, new, hot))
 
     return run
@@ -360,21 +360,21 @@ def queries() -> dict[str, Query]:
         "q05_islands": _folded(summary.household_islands),
         "q05_islands_session": q05_session,
         "q05_islands_dense": _folded(summary.household_islands, view=dense),
-        "q05_islands_sliced": _folded(summary.household_islands, hot_rows=SLICE_ALL),
+        "q05_islands_sliced": _folded(summary.household_islands, limits=SLICE_ALL),
         "q06_household_timeline": _folded(summary.household_timeline, "position"),
         "q06_household_timeline_sliced": _folded(
-            summary.household_timeline, "position", hot_rows=SLICE_ALL
+            summary.household_timeline, "position", limits=SLICE_ALL
         ),
         "q07_runs": _folded(summary.household_runs, "run"),
         "q07_runs_dense": _folded(summary.household_runs, "run", view=dense),
-        "q07_runs_sliced": _folded(summary.household_runs, "run", hot_rows=SLICE_ALL),
+        "q07_runs_sliced": _folded(summary.household_runs, "run", limits=SLICE_ALL),
         "q08_absorb_empty_runs": _folded(summary.absorbed_runs),
-        "q08_absorb_empty_runs_sliced": _folded(summary.absorbed_runs, hot_rows=SLICE_ALL),
+        "q08_absorb_empty_runs_sliced": _folded(summary.absorbed_runs, limits=SLICE_ALL),
         "q09_household_summary": _summary(),
         "q09_household_summary_dense": _summary(view=dense),
-        "q09_household_summary_sliced": _summary(hot_rows=SLICE_ALL),
-        "q09_household_summary_dense_sliced": _summary(view=dense, hot_rows=SLICE_ALL),
-        "q10_merge_increment": _merge(summary.HOT_ROWS),
+        "q09_household_summary_sliced": _summary(limits=SLICE_ALL),
+        "q09_household_summary_dense_sliced": _summary(view=dense, limits=SLICE_ALL),
+        "q10_merge_increment": _merge(summary.LIMITS),
         "q10_merge_increment_sliced": _merge(SLICE_ALL),
         "q11_distinct_rows": q11,
         "q12_rollup_by_grain": q12,

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.functions.clients import empty_only, union_of
-from spanfold.operators.hot import SLICE_MS, with_slice
-from spanfold.operators.islands import HOUSEHOLD
+from spanfold.operators.hot import Step
+from spanfold.operators.islands import HOUSEHOLD, merged_spans
+from spanfold.sources.scratch import stored
 
 
 def _named_from_here_on(runs: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -28,10 +29,15 @@ def _named_from_here_on(runs: DataFrame, group: Sequence[str]) -> DataFrame:
     return runs.withColumn("named", named).withColumn("later", F.sum("named").over(latest_first))
 
 
-def _merge(counted: DataFrame, group: Sequence[str]) -> DataFrame:
+def _target() -> Column:
+    return F.greatest(F.col("later"), F.lit(1)).alias("target")
+
+
+def absorb(runs: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
+    group = [*keys, "ip"]
     return (
-        counted.withColumn("target", F.greatest(F.col("later"), F.lit(1)))
-        .groupBy(*group, "target")
+        _named_from_here_on(runs, group)
+        .groupBy(*group, _target())
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
@@ -41,16 +47,11 @@ def _merge(counted: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def absorb(runs: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
-    group = [*keys, "ip"]
-    return _merge(_named_from_here_on(runs, group), group)
-
-
 def absorb_sliced(
-    runs: DataFrame, keys: Sequence[str] = HOUSEHOLD, slice_ms: int = SLICE_MS
+    runs: DataFrame, add_slice: Step, keys: Sequence[str] = HOUSEHOLD
 ) -> DataFrame:
     group = [*keys, "ip"]
-    local = _named_from_here_on(with_slice(runs, slice_ms), [*group, "slice"])
+    local = stored(_named_from_here_on(add_slice(runs), [*group, "slice"]), "sliced-absorb")
     later_slices = (
         Window.partitionBy(*group)
         .orderBy(F.desc("slice"))
@@ -65,4 +66,4 @@ def absorb_sliced(
     counted = local.join(carried, [*group, "slice"]).withColumn(
         "later", F.col("later") + F.col("after")
     )
-    return _merge(counted, group)
+    return merged_spans(counted.withColumn("target", _target()), [*group, "target"]).drop("target")

@@ -1,29 +1,70 @@
-"""Finding households too large for one task, and routing them.
+"""Finding households too large for one task, and cutting them into time slices.
 
 A household's timeline is ordered, so the plain operators keep each household
-in one task. Households above ``HOT_ROWS`` rows take the sliced forms instead,
-which cut the household's time axis into fixed slices and work on one slice
-per task. Both forms give the same rows; the split only chooses the plan.
+(or each of its ips) in one task. Groups above a row limit take the sliced forms
+instead: their time axis is cut into slices of about equal row counts and each
+slice is worked on by itself. Both forms give the same rows; what is found here
+only chooses the plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-# At most this many household ids reach the driver and the filter literals. The
-# sketch finds every household above about a 1/1000 share of the rows; any other
-# is no larger than what a task of a large cluster holds anyway.
+from spanfold.sources.scratch import stored
+
+# At most this many groups are sliced; the sketch finds every household above about
+# a 1/1000 share of the rows. Any other group is no larger than what one task of a
+# large cluster holds anyway. This also bounds what reaches the driver, the filter
+# literals and, with MAX_SLICES, the broadcast slice table (8 bytes per slice).
 HOT_KEYS = 1_000
+MAX_SLICES = 1_024
+SLICES_PER_BLOCK = 32
 SKETCH_ITEMS = 4_096
 SKETCH_MERGERS = 1_024
-SLICE_MS = 60_000
+TICK_MS = 1_000
+
+Step = Callable[[DataFrame], DataFrame]
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Rows from which a group is hot, and rows to aim at per slice."""
+
+    hot_rows: int = 1_000_000
+    slice_rows: int = 200_000
+
 
+@dataclass(frozen=True)
+class Hot:
+    """Hot households, and the (household, ip) pairs among their rows that are hot
+    by themselves; each with its slice table."""
 
-def hot_households(rows: DataFrame, hot_rows: int = HOT_ROWS) -> list[str]:
+    households: tuple[str, ...] = ()
+    household_slices: DataFrame | None = None
+    pair_slices: DataFrame | None = None
+
+    def by_household(self, df: DataFrame, plain: Step, sliced: Step) -> DataFrame:
+        if not self.households:
+            return plain(df)
+        is_hot = F.col("householdId").isin(*self.households)
+        return plain(df.where(~is_hot)).unionByName(sliced(df.where(is_hot)))
+
+    def by_pair(self, df: DataFrame, plain: Step, sliced: Step) -> DataFrame:
+        if self.pair_slices is None:
+            return plain(df)
+        pairs = F.broadcast(self.pair_slices.select("householdId", "ip"))
+        on = ["householdId", "ip"]
+        return plain(df.join(pairs, on, "left_anti")).unionByName(
+            sliced(df.join(pairs, on, "left_semi"))
+        )
+
+
+def hot_households(rows: DataFrame, hot_rows: int) -> list[str]:
     """Households with at least ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
 
     One pass over the household column. Each task keeps a frequent-items sketch of
@@ -44,18 +85,72 @@ def hot_households(rows: DataFrame, hot_rows: int = HOT_ROWS) -> list[str]:
     return [t["item"] for t in found["top"] if t["count"] >= hot_rows] if found else []
 
 
-def by_heat(
-    df: DataFrame,
-    hot: Sequence[str],
-    plain: Callable[[DataFrame], DataFrame],
-    sliced: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    if not hot:
-        return plain(df)
-    is_hot = F.col("householdId").isin(*hot)
-    return plain(df.where(~is_hot)).unionByName(sliced(df.where(is_hot)))
+def slice_table(spans: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame:
+    """``<group>, blocks``: where each group's slices begin, in blocks of bounds.
+
+    Counts rows per second of time, which combines before its shuffle, and cuts
+    where the running count passes a whole number of slices. A slice is as narrow as
+    it must be where rows are dense, down to one second.
+    """
+    ticks = spans.groupBy(
+        *group, F.floor(F.col("start") / F.lit(TICK_MS)).alias("tick")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
+    depth = F.greatest(F.lit(slice_rows), F.ceil(F.sum("n").over(whole) / F.lit(MAX_SLICES)))
+    number = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / depth)
+    bounds = (
+        ticks.withColumn("number", number)
+        .groupBy(*group, "number")
+        .agg((F.min("tick") * TICK_MS).alias("bound"))
+        .withColumn("rank", F.row_number().over(whole.orderBy("bound")) - 1)
+    )
+    blocks = bounds.groupBy(*group, F.floor(F.col("rank") / SLICES_PER_BLOCK).alias("block")).agg(
+        F.array_sort(F.collect_list("bound")).alias("bounds")
+    )
+    return blocks.groupBy(*group).agg(F.array_sort(F.collect_list("bounds")).alias("blocks"))
+
+
+def slicer(table: DataFrame, group: Sequence[str]) -> Step:
+    """A step that numbers the slice each span starts in: the block first, then the
+    slice in it, so that a row is compared with few of the bounds."""
+
+    def add_slice(df: DataFrame) -> DataFrame:
+        start = F.col("start")
+        block = F.greatest(F.size(F.filter("blocks", lambda b: b[0] <= start)), F.lit(1)) - 1
+        inside = F.size(F.filter(F.get("blocks", block), lambda bound: bound <= start))
+        return df.join(F.broadcast(table), list(group)).select(
+            *df.columns, (block * SLICES_PER_BLOCK + inside).alias("slice")
+        )
 
+    return add_slice
 
-def with_slice(df: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
-    """Number the slice a span starts in."""
-    return df.withColumn("slice", F.floor(F.col("start") / F.lit(slice_ms)))
+
+def fixed_slicer(slice_ms: int) -> Step:
+    """Slices of one width."""
+    return lambda df: df.withColumn("slice", F.floor(F.col("start") / F.lit(slice_ms)))
+
+
+def find_hot(spans: DataFrame, limits: Limits) -> Hot:
+    """Look for hot households; for the pairs and slice tables only the rows of hot
+    households are read again."""
+    households = hot_households(spans, limits.hot_rows)
+    if not households:
+        return Hot()
+    rows = spans.where(F.col("householdId").isin(*households))
+    pair = ["householdId", "ip"]
+    pairs = (
+        rows.groupBy(*pair)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= limits.hot_rows)
+        .orderBy(F.desc("n"), *pair)
+        .limit(HOT_KEYS)
+        .select(*pair)
+    )
+    rows_of_pairs = rows.join(F.broadcast(pairs), pair)
+    pair_slices = stored(slice_table(rows_of_pairs, pair, limits.slice_rows), "pair-slices")
+    return Hot(
+        tuple(households),
+        stored(slice_table(rows, ["householdId"], limits.slice_rows), "household-slices"),
+        None if pair_slices.isEmpty() else pair_slices,
+    )

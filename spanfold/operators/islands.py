@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.functions.clients import union_of
-from spanfold.operators.hot import SLICE_MS, with_slice
+from spanfold.operators.hot import Step
+from spanfold.sources.scratch import stored
 
 HOUSEHOLD = ("householdId",)
 
@@ -29,7 +30,7 @@ def islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     a frame already partitioned by ``keys``.
     """
     group = [*keys, "ip"]
-    ordered = Window.partitionBy(*group).orderBy("start", "end")
+    ordered = Window.partitionBy(*group).orderBy("start")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = F.max("end").over(before)
@@ -44,17 +45,17 @@ def islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
 
 
 def islands_sliced(
-    spans: DataFrame, keys: Sequence[str] = HOUSEHOLD, slice_ms: int = SLICE_MS
+    spans: DataFrame, add_slice: Step, keys: Sequence[str] = HOUSEHOLD
 ) -> DataFrame:
     """The same islands with a group spread over its time slices.
 
-    Spans of equal start are combined first, so that one slice of a group is
-    never more than ``slice_ms`` rows. Islands are then built inside each slice
-    and joined with what earlier slices reach: one small row per slice.
+    Spans of equal start, which no slicing can part, are combined first. Islands are
+    then built inside each slice and joined with what earlier slices reach: one
+    small row per slice.
     """
     group = [*keys, "ip"]
     starts = spans.groupBy(*group, "start").agg(F.max("end").alias("end"), _clients(spans))
-    local = islands(with_slice(starts, slice_ms), [*keys, "slice"])
+    local = stored(islands(add_slice(starts), [*keys, "slice"]), "sliced-islands")
 
     earlier = (
         Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -72,13 +73,21 @@ def islands_sliced(
     placed = local.join(carried, [*group, "slice"]).withColumn(
         "island", F.when(continues, F.col("openBefore")).otherwise(F.col("start"))
     )
-    merge = (F.max("end").alias("end"), union_of("clients").alias("clients"))
+    return merged_spans(placed, [*group, "island"]).drop("island")
+
+
+def merged_spans(parts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One row per group: its full extent and the union of its clients. Works on
+    single ids, which combine before the shuffle, so that a group of many parts is
+    never more than its distinct ids in one place."""
     return (
-        placed.groupBy(*group, "slice", "island")
-        .agg(*merge)
-        .groupBy(*group, "island")
-        .agg(*merge)
-        .select(*group, F.col("island").alias("start"), "end", "clients")
+        parts.select(*group, "start", "end", F.explode_outer("clients").alias("client"))
+        .groupBy(*group)
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.collect_set("client").alias("clients"),
+        )
     )
 
 

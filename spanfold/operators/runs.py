@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from spanfold.functions.clients import union_of
-from spanfold.operators.hot import SLICE_MS, with_slice
-from spanfold.operators.islands import HOUSEHOLD
+from spanfold.operators.hot import Step
+from spanfold.operators.islands import HOUSEHOLD, merged_spans
+from spanfold.sources.scratch import stored
 
 
 def _chronological(keys: Sequence[str]) -> WindowSpec:
@@ -27,9 +28,9 @@ def timeline(islands: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
 
 
 def timeline_sliced(
-    islands: DataFrame, keys: Sequence[str] = HOUSEHOLD, slice_ms: int = SLICE_MS
+    islands: DataFrame, add_slice: Step, keys: Sequence[str] = HOUSEHOLD
 ) -> DataFrame:
-    local = timeline(with_slice(islands, slice_ms), [*keys, "slice"])
+    local = stored(timeline(add_slice(islands), [*keys, "slice"]), "sliced-timeline")
     earlier = _earlier_slices(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         local.groupBy(*keys, "slice")
@@ -63,11 +64,11 @@ def runs(islands: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
 
 
 def runs_sliced(
-    islands: DataFrame, keys: Sequence[str] = HOUSEHOLD, slice_ms: int = SLICE_MS
+    islands: DataFrame, add_slice: Step, keys: Sequence[str] = HOUSEHOLD
 ) -> DataFrame:
     """The same runs, built inside each time slice first. The first run of a slice
     goes on with the last one of the slice before when they share an ip."""
-    local = runs(with_slice(islands, slice_ms), [*keys, "slice"])
+    local = stored(runs(add_slice(islands), [*keys, "slice"]), "sliced-runs")
     by_slice = _earlier_slices(keys)
     continues = F.coalesce(F.lag("lastIp").over(by_slice) == F.col("firstIp"), F.lit(False))
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
@@ -82,13 +83,7 @@ def runs_sliced(
         .withColumn("before", F.coalesce(F.sum(F.col("n") - F.col("continued")).over(earlier), F.lit(0)))
         .select(*keys, "slice", "continued", "before")
     )
-    return (
-        local.join(carried, [*keys, "slice"])
-        .withColumn("run", F.col("before") + F.col("run") - F.col("continued"))
-        .groupBy(*keys, "ip", "run")
-        .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            union_of("clients").alias("clients"),
-        )
+    placed = local.join(carried, [*keys, "slice"]).withColumn(
+        "run", F.col("before") + F.col("run") - F.col("continued")
     )
+    return merged_spans(placed, [*keys, "ip", "run"])

@@ -1,13 +1,14 @@
 """The roll-up: rows -> islands -> runs -> absorbed runs -> household summary.
 
 Every function takes assignment rows. Ordinary households go through window
-functions over one exchange on the household; households found to be hot go
-through the sliced operators, which spread one household over many tasks.
+functions over one exchange on the household; hot ones go through the sliced
+operators, which spread one household over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,45 +16,70 @@ from pyspark.sql import functions as F
 from spanfold.functions.clients import client_ids
 from spanfold.functions.spans import time_span, utc_date
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import HOT_ROWS, by_heat, hot_households
-from spanfold.sources.rows import SUMMARY_VERSION, known_households, spans
+from spanfold.operators.hot import Hot, Limits, find_hot, slicer
+from spanfold.sources.rows import SUMMARY_VERSION, spans
+from spanfold.sources.scratch import stored
 
 HOUSEHOLD = islands.HOUSEHOLD
+HOUSEHOLD_IP = ("householdId", "ip")
+LIMITS = Limits()
 
-Step = Callable[[DataFrame, Sequence[str]], DataFrame]
 
-ISLANDS: list[tuple[Step, Step]] = [(islands.islands, islands.islands_sliced)]
-TIMELINE = [*ISLANDS, (runs.timeline, runs.timeline_sliced)]
-RUNS = [*ISLANDS, (runs.runs, runs.runs_sliced)]
-ABSORBED = [*RUNS, (absorb.absorb, absorb.absorb_sliced)]
+@dataclass(frozen=True)
+class Stage:
+    """One step of the roll-up: its two forms, and whether a household's ips are
+    independent in it."""
+
+    plain: Callable[..., DataFrame]
+    sliced: Callable[..., DataFrame]
+    per_ip: bool
+
+    def on_hot(self, df: DataFrame, hot: Hot, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
+        """On rows of hot households. Per ip, only the hot pairs need slicing."""
+        if not self.per_ip:
+            return self.sliced(df, slicer(hot.household_slices, HOUSEHOLD), keys)
+        return hot.by_pair(
+            df,
+            lambda ips: self.plain(ips, keys),
+            lambda ips: self.sliced(ips, slicer(hot.pair_slices, HOUSEHOLD_IP), keys),
+        )
+
+
+ISLANDS = Stage(islands.islands, islands.islands_sliced, per_ip=True)
+TIMELINE = Stage(runs.timeline, runs.timeline_sliced, per_ip=False)
+RUNS = Stage(runs.runs, runs.runs_sliced, per_ip=False)
+ABSORB = Stage(absorb.absorb, absorb.absorb_sliced, per_ip=True)
 
 
 def fold(
     rows: DataFrame,
-    steps: Sequence[tuple[Step, Step]],
-    hot_rows: int = HOT_ROWS,
+    stages: Sequence[Stage],
+    limits: Limits = LIMITS,
     period: Column | None = None,
 ) -> DataFrame:
-    """Run the steps over the rows. With ``period``, each period of a row's start
+    """Run the stages over the rows. With ``period``, each period of a row's start
     is folded on its own, as one job per period would."""
     keys = list(HOUSEHOLD)
     if period is not None:
         rows = rows.withColumn("period", period)
         keys.append("period")
-    hot = hot_households(known_households(rows), hot_rows)
+    found = spans(rows, extra=keys[1:])
+    hot = find_hot(found, limits)
 
     def plain(df: DataFrame) -> DataFrame:
         df = df.repartition(*keys)
-        for step, _ in steps:
-            df = step(df, keys)
+        for stage in stages:
+            df = stage.plain(df, keys)
         return df
 
     def sliced(df: DataFrame) -> DataFrame:
-        for _, step in steps:
-            df = step(df, keys)
+        for stage in stages:
+            if stage is ABSORB and hot.pair_slices is not None:
+                df = stored(df, "runs")  # read twice: hot pairs and others
+            df = stage.on_hot(df, hot, keys)
         return df
 
-    return by_heat(spans(rows, extra=keys[1:]), hot, plain, sliced)
+    return hot.by_household(found, plain, sliced)
 
 
 def summarize(folded: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -67,38 +93,35 @@ def summarize(folded: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def household_islands(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def household_islands(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Islands alone need no household in one place, only a household's ip."""
-    hot = hot_households(known_households(rows), hot_rows)
-    return by_heat(spans(rows), hot, islands.islands, islands.islands_sliced)
+    found = spans(rows)
+    return ISLANDS.on_hot(found, find_hot(found, limits))
 
 
-def household_timeline(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return fold(rows, TIMELINE, hot_rows)
+def household_timeline(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, TIMELINE], limits)
 
 
-def household_runs(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return fold(rows, RUNS, hot_rows)
+def household_runs(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, RUNS], limits)
 
 
-def absorbed_runs(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return fold(rows, ABSORBED, hot_rows)
+def absorbed_runs(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, RUNS, ABSORB], limits)
 
 
-def household_summary(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def household_summary(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """``householdId, ip, timeSpan, clientIds, version``; one row per household, ip
     and start, so the rows are distinct without a further exchange."""
-    return summarize(fold(rows, ABSORBED, hot_rows))
+    return summarize(absorbed_runs(rows, limits))
 
 
-def merge_increment(
-    existing: DataFrame, increment: DataFrame, hot: Sequence[str] = ()
-) -> DataFrame:
+def merge_increment(existing: DataFrame, increment: DataFrame, hot: Hot | None = None) -> DataFrame:
     """Islands of an increment folded into existing islands. A full re-coalesce, so
-    no overlap is left whatever order increments arrive in. ``hot``: households to
-    slice, as found in the rows."""
-    both = existing.unionByName(increment)
-    return by_heat(both, hot, islands.islands, islands.islands_sliced)
+    no overlap is left whatever order increments arrive in. ``hot``: as found in
+    the rows."""
+    return ISLANDS.on_hot(existing.unionByName(increment), hot or Hot())
 
 
 def period_of(grain: str) -> Column:
@@ -108,6 +131,6 @@ def period_of(grain: str) -> Column:
     return {"Daily": day, "Monthly": F.trunc(day, "month")}[grain]
 
 
-def summary_by_grain(rows: DataFrame, grain: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    folded = fold(rows, ABSORBED, hot_rows, period_of(grain))
+def summary_by_grain(rows: DataFrame, grain: str, limits: Limits = LIMITS) -> DataFrame:
+    folded = fold(rows, [ISLANDS, RUNS, ABSORB], limits, period_of(grain))
     return summarize(folded, extra=("period",))

@@ -7,8 +7,13 @@ one) and span in minutes. Client sets are written ``{1,2}``, ``{1,-}`` or ``{}``
 import re
 
 from spanfold.functions.clients import NO_CLIENT
+from spanfold.operators.hot import Limits
 from spanfold.sources.rows import ROW_SCHEMA
 
+PLAIN = Limits(hot_rows=10**12)
+SLICED = Limits(hot_rows=1, slice_rows=2)
+# only the larger households, or their larger ips
+PARTLY = Limits(hot_rows=60, slice_rows=7)
 IPS = {"A": 10, "B": 20, "C": 30}
 MINUTE = 60_000
 ITEM = re.compile(r"([ABC]):(\{[^}]*\}|[-\d]+)\[(\d+),(\d+)\]")

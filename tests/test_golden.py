@@ -1,7 +1,7 @@
 """End-to-end cases: rows in, household summary out."""
 
 import pytest
-from notation import MINUTE, expected_rows, parse, row, rows_frame, summary_rows
+from notation import MINUTE, PLAIN, SLICED, expected_rows, parse, row, rows_frame, summary_rows
 
 from spanfold.plans.summary import household_summary
 from spanfold.sources.rows import ROW_SCHEMA, rejects
@@ -65,14 +65,14 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1], ids=["plain", "sliced"])
-def test_all_cases(spark, hot_rows):
+@pytest.mark.parametrize("limits", [PLAIN, SLICED], ids=["plain", "sliced"])
+def test_all_cases(spark, limits):
     given, expected = [], []
     for name, (rows, summary) in CASES.items():
         prefix = name.replace(" ", "_") + "/"
         given += parse(rows, prefix)
         expected += parse(summary, prefix)
-    result = household_summary(rows_frame(spark, given), hot_rows=hot_rows)
+    result = household_summary(rows_frame(spark, given), limits)
     assert summary_rows(result) == expected_rows(expected)
     assert {r.version for r in result.select("version").distinct().collect()} == {"0.0.1"}
 
@@ -80,7 +80,7 @@ def test_all_cases(spark, hot_rows):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], ROW_SCHEMA)
     assert household_summary(empty).collect() == []
-    assert household_summary(empty, hot_rows=1).collect() == []
+    assert household_summary(empty, SLICED).collect() == []
 
 
 def test_unknown_household_null_client_and_rejects(spark):

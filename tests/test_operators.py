@@ -1,16 +1,17 @@
 """Single operators on the cases known for each."""
 
 import pytest
-from notation import expected_rows, folded_frame, folded_rows, parse, rows_frame
+from notation import PLAIN, SLICED, expected_rows, folded_frame, folded_rows, parse, rows_frame
 from pyspark.sql import functions as F
 
 from spanfold.functions import clients as client_sets
 from spanfold.functions import spans as span_functions
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import hot_households
+from spanfold.operators.hot import Hot, Limits, find_hot, fixed_slicer, hot_households, slice_table, slicer
 from spanfold.plans.summary import household_timeline, merge_increment
 from spanfold.sources.rows import spans
 
+MINUTES = fixed_slicer(60_000)
 FORMS = pytest.mark.parametrize("sliced", [False, True], ids=["plain", "sliced"])
 
 
@@ -34,7 +35,9 @@ ISLANDS = {
 
 
 @pytest.mark.parametrize(
-    "operator", [islands.islands, islands.islands_sliced, islands.session_islands]
+    "operator",
+    [islands.islands, lambda df: islands.islands_sliced(df, MINUTES), islands.session_islands],
+    ids=["plain", "sliced", "session"],
 )
 def test_islands(spark, operator):
     result = operator(spans(rows_frame(spark, cases(ISLANDS, 0))))
@@ -56,8 +59,10 @@ INCREMENTS = {
 @FORMS
 def test_merge_increment(spark, sliced):
     old, new, merged = ([p for n, c in INCREMENTS.items() for p in parse(c[i], n + "/")] for i in range(3))
-    hot = sorted({p[0] for p in old}) if sliced else ()
-    result = merge_increment(folded_frame(spark, old), folded_frame(spark, new), hot)
+    both = folded_frame(spark, old), folded_frame(spark, new)
+    hot = find_hot(both[0].unionByName(both[1]), SLICED if sliced else PLAIN)
+    assert (hot == Hot()) == (not sliced)
+    result = merge_increment(*both, hot)
     assert folded_rows(result) == expected_rows(merged)
 
 
@@ -74,13 +79,14 @@ RUNS = {
 
 @FORMS
 def test_runs(spark, sliced):
-    check(spark, RUNS, runs.runs_sliced if sliced else runs.runs)
+    check(spark, RUNS, lambda df: runs.runs_sliced(df, MINUTES) if sliced else runs.runs(df))
 
 
 @FORMS
 def test_runs_are_numbered_in_time_order(spark, sliced):
     given = folded_frame(spark, parse("A:{1}[1,2] A:{1}[3,4] B:{1}[5,6] A:{1}[7,8] A:{1}[9,9]"))
-    result = (runs.runs_sliced if sliced else runs.runs)(given).orderBy("start").collect()
+    numbered = runs.runs_sliced(given, MINUTES) if sliced else runs.runs(given)
+    result = numbered.orderBy("start").collect()
     assert [(r.ip, r.run) for r in result] == [(10, 1), (20, 2), (10, 3)]
 
 
@@ -101,13 +107,13 @@ ABSORB = {
 
 @FORMS
 def test_absorb(spark, sliced):
-    check(spark, ABSORB, absorb.absorb_sliced if sliced else absorb.absorb)
+    check(spark, ABSORB, lambda df: absorb.absorb_sliced(df, MINUTES) if sliced else absorb.absorb(df))
 
 
 @FORMS
 def test_timeline_order(spark, sliced):
     given = "A:1[2,3] B:1[2,2] C:1[1,4] A:1[0,1] B:1[5,5] A:1[5,5] C:1[5,5]"
-    result = household_timeline(rows_frame(spark, parse(given)), hot_rows=1 if sliced else 10**9)
+    result = household_timeline(rows_frame(spark, parse(given)), SLICED if sliced else PLAIN)
     found = [(r.ip, r.start // 60000, r.end // 60000) for r in result.orderBy("position").collect()]
     assert found == [
         (10, 0, 1), (30, 1, 4), (20, 2, 2), (10, 2, 3), (10, 5, 5), (20, 5, 5), (30, 5, 5),
@@ -148,3 +154,34 @@ def test_hot_households(spark):
     assert hot_households(rows, 500) == ["big"]
     assert hot_households(rows, 5000) == []
     assert hot_households(rows.where("false"), 1) == []
+
+
+@pytest.mark.parametrize("n_slices", [5, 200])
+def test_slices_are_even_and_in_time_order(spark, n_slices):
+    # half of the rows in a hundredth of the time
+    rows = spark.range(20_000).select(
+        F.lit("h").alias("householdId"),
+        F.when(F.col("id") % 2 == 0, F.col("id") * 500).otherwise(F.col("id") * 5 + 2_000_000).alias("start"),
+    )
+    table = slice_table(rows, ["householdId"], 20_000 // n_slices)
+    sliced = slicer(table, ["householdId"])(rows).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("n"), F.min("start").alias("lo"), F.max("start").alias("hi")
+    ).orderBy("slice").collect()
+    assert abs(len(sliced) - n_slices) <= n_slices // 5
+    assert max(s.n for s in sliced) < 3 * 20_000 // n_slices + 400
+    assert all(a.hi < b.lo for a, b in zip(sliced, sliced[1:]))
+
+
+def test_find_hot(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "big").otherwise(F.col("id").cast("string")).alias("householdId"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 300).otherwise(7).cast("int").alias("ip"),
+        (F.col("id") * 1000).alias("start"),
+    )
+    assert find_hot(rows, Limits(hot_rows=5000)) == Hot()
+    hot = find_hot(rows, Limits(hot_rows=900, slice_rows=100))
+    assert hot.households == ("big",) and hot.pair_slices is None
+    hot = find_hot(rows, Limits(hot_rows=400, slice_rows=100))
+    (pair,) = hot.pair_slices.collect()
+    assert (pair.householdId, pair.ip) == ("big", 7)
+    assert len(pair.blocks[0]) == 5  # 500 rows in slices of 100

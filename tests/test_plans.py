@@ -3,14 +3,17 @@
 import re
 
 import pytest
-from notation import parse, rows_frame
+from notation import PLAIN, SLICED, folded_frame, parse
 
 import __spark_entry__ as driver
+from spanfold.operators import absorb, islands, runs
+from spanfold.operators.hot import fixed_slicer
 from spanfold.plans import stats
 from spanfold.plans.summary import household_islands, household_summary
 from spanfold.sources.events_view import assignment_input
 
 SMALL = "/root/testdata/sf0.001"
+MINUTES = fixed_slicer(60_000)
 
 
 def plan_of(df):
@@ -32,27 +35,42 @@ def test_islands_shuffle_by_household_and_ip(spark):
     assert re.match(r"hashpartitioning\(householdId#\d+, ip#\d+", only)
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_no_python_workers_and_no_cross_join(spark, hot_rows):
-    plan = plan_of(household_summary(assignment_input(spark, SMALL), hot_rows))
+@pytest.mark.parametrize("limits", [PLAIN, SLICED])
+def test_no_python_workers_and_no_cross_join(spark, limits):
+    plan = plan_of(household_summary(assignment_input(spark, SMALL), limits))
     assert not re.search(r"Python|ArrowEval|CartesianProduct|NestedLoop", plan)
 
 
-def test_hot_households_are_never_windowed_whole(spark):
-    """In the sliced part, only per-slice summaries meet in a window of a household."""
-    rows = rows_frame(spark, parse("A:1[1,2] A:2[3,4]"))
-    plan = household_summary(rows, hot_rows=1)._jdf.queryExecution().optimizedPlan().toString()
+def window_partitions(df):
+    """[(partition columns, lines below)] of every window in the optimized plan"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
     lines = [line.lstrip(" :+-") for line in plan.split("\n")]
-    cold, hot = [i for i, line in enumerate(lines) if line.startswith("Filter") and "householdId" in line][:2]
-    assert hot > cold
-    unsliced = 0
-    for i, line in enumerate(lines[cold + 1:], start=cold + 1):
-        partition = re.match(r"Window \[.*\], \[([^\]]*)\], \[[^\]]*\]$", line)
-        if partition and "slice" not in partition[1]:
+    found = []
+    for i, line in enumerate(lines):
+        partition = re.match(r"Window \[.*?\], \[([^\]]*)\], \[[^\]]*\]$", line)
+        if partition:
             below = next(x for x in lines[i + 1:] if not x.startswith(("Window", "Project")))
-            assert below.startswith("Aggregate [householdId") and "slice" in below.split("]")[0]
-            unsliced += 1
-    assert unsliced > 0
+            found.append((partition[1], below))
+    return found
+
+
+@pytest.mark.parametrize(
+    "sliced",
+    [
+        lambda df: islands.islands_sliced(df, MINUTES),
+        lambda df: runs.timeline_sliced(df, MINUTES),
+        lambda df: runs.runs_sliced(df, MINUTES),
+        lambda df: absorb.absorb_sliced(df, MINUTES),
+    ],
+    ids=["islands", "timeline", "runs", "absorb"],
+)
+def test_sliced_forms_window_a_group_over_slice_summaries_only(spark, sliced):
+    given = folded_frame(spark, parse("A:{1}[1,2] A:{2}[3,4] B:{}[9,9]"))
+    windows = window_partitions(sliced(given))
+    assert windows
+    for partition, below in windows:
+        assert "slice" not in partition
+        assert re.match(r"Aggregate \[householdId#\d+, (ip#\d+, )?slice#", below)
 
 
 def test_scan_reads_only_what_the_roll_up_needs(spark):

@@ -3,10 +3,11 @@
 import random
 
 import pytest
-from notation import row, summary_rows
+from notation import PARTLY, PLAIN, SLICED, row, summary_rows
 from pyspark.sql import functions as F
 
 from spanfold.operators import islands
+from spanfold.operators.hot import fixed_slicer
 from spanfold.operators.islands import session_islands
 from spanfold.plans.summary import absorbed_runs, household_islands, household_runs, household_summary
 from spanfold.sources.rows import ROW_SCHEMA, spans
@@ -107,9 +108,9 @@ def expected_islands(data):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 150, 1])
-def test_islands(frame, expected_islands, hot_rows):
-    assert island_rows(household_islands(frame, hot_rows)) == expected_islands
+@pytest.mark.parametrize("limits", [PLAIN, PARTLY, SLICED])
+def test_islands(frame, expected_islands, limits):
+    assert island_rows(household_islands(frame, limits)) == expected_islands
 
 
 def test_session_islands(frame, expected_islands):
@@ -119,26 +120,26 @@ def test_session_islands(frame, expected_islands):
 def test_coalescing_twice_changes_nothing(frame, expected_islands):
     once = household_islands(frame)
     assert island_rows(islands.islands(once)) == expected_islands
-    assert island_rows(islands.islands_sliced(once)) == expected_islands
+    assert island_rows(islands.islands_sliced(once, fixed_slicer(60_000))) == expected_islands
 
 
 @pytest.mark.parametrize("slice_ms", [500, 7_000, 10**9])
 def test_any_slice_width(frame, expected_islands, slice_ms):
-    result = islands.islands_sliced(spans(frame), slice_ms=slice_ms)
+    result = islands.islands_sliced(spans(frame), fixed_slicer(slice_ms))
     assert island_rows(result) == expected_islands
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 1])
-def test_runs(frame, data, hot_rows):
+@pytest.mark.parametrize("limits", [PLAIN, SLICED])
+def test_runs(frame, data, limits):
     expected = sorted(
         (hh, ip, s, e, sorted(c)) for (hh, ip), of_ip in fold_runs(data).items() for s, e, c in of_ip
     )
-    assert island_rows(household_runs(frame, hot_rows)) == expected
+    assert island_rows(household_runs(frame, limits)) == expected
 
 
-@pytest.mark.parametrize("hot_rows", [10**9, 150, 1])
-def test_summary(frame, data, hot_rows):
-    assert summary_rows(household_summary(frame, hot_rows)) == fold_summary(data)
+@pytest.mark.parametrize("limits", [PLAIN, PARTLY, SLICED])
+def test_summary(frame, data, limits):
+    assert summary_rows(household_summary(frame, limits)) == fold_summary(data)
 
 
 def test_summary_keeps_clients_and_stays_inside_the_household(frame):
