@@ -24,7 +24,7 @@ from spanfold.plans import diff, stats, summary, validation  # noqa: E402
 from spanfold.sources import rows as source  # noqa: E402
 from spanfold.sources import sink  # noqa: E402
 from spanfold.sources.events_view import assignment_input, assignment_input_dense  # noqa: E402
-from spanfold.sources.scratch import fresh_path  # noqa: E402
+from spanfold.sources.scratch import fresh_path, stored  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 WINDOW = ((0, 1), "2024-01-05", "2024-01-20")
@@ -167,8 +167,9 @@ def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- validation ------------------------------------------------------------------
 
 
-def _facts(view=assignment_input, *by: str) -> Query:
-    return lambda spark, sf_dir: stats.client_facts(view(spark, sf_dir), *by)
+def _facts(rows: DataFrame) -> DataFrame:
+    """Written once, as the statistics read it more than once."""
+    return stored(stats.client_facts(rows), "facts")
 
 
 def _summary_of(rows: DataFrame) -> DataFrame:
@@ -200,8 +201,8 @@ def q14(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col(f"{p}RecordCount").alias("recordCount"), "minStartTime", "maxEndTime",
         )
 
-    return side("Input", stats.household_input_stats(rows, stats.client_facts(rows))).unionByName(
-        side("Output", stats.household_output_stats(_summary_of(rows)))
+    return side("Input", stats.household_input_stats(rows, _facts(rows))).unionByName(
+        side("Output", stats.household_output_stats(_stored_summary_of(rows)))
     )
 
 
@@ -212,14 +213,14 @@ def q15(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = F.transform(
         "inputClients", lambda c: F.concat_ws(":", client_token(c["clientId"]), c["n"])
     )
-    return stats.household_ip_stats(_facts()(spark, sf_dir)).select(
+    return stats.household_ip_stats(_facts(assignment_input(spark, sf_dir))).select(
         "householdId", "ip", F.array_join(counted, ",").alias("inputClients"), *EXTENT
     )
 
 
 def q16(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input(spark, sf_dir)
-    ip_stats = stats.household_ip_stats(stats.client_facts(rows))
+    ip_stats = stats.household_ip_stats(_facts(rows))
     joined = validation.output_with_empty_clients(ip_stats, _summary_of(rows))
     return joined.select(
         "householdId", "ip", _text(F.col("clientIds")).alias("clientIds"), *EXTENT
@@ -230,7 +231,7 @@ def _consistency(view) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = view(spark, sf_dir)
         checked = validation.household_consistency(
-            rows, stats.client_facts(rows), _stored_summary_of(rows)
+            rows, _facts(rows), _stored_summary_of(rows)
         )
         return checked.withColumns({
             "inputClientIds": _text(F.col("inputClientIds")),
@@ -243,8 +244,8 @@ def _consistency(view) -> Query:
 
 def q17_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input_dense(spark, sf_dir)
-    out = _summary_of(_without_some_ips(rows))
-    return validation.household_mismatches(stats.client_facts(rows), out).select(
+    out = _stored_summary_of(_without_some_ips(rows))
+    return validation.household_mismatches(_facts(rows), out).select(
         "householdId",
         *[F.col(c).cast("int").alias(c) for c in ("sameIpCount", "sameBounds", "sameClientIds")],
     )
@@ -253,7 +254,7 @@ def q17_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _interleaving_rows(view) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = view(spark, sf_dir)
-        return validation.interleaving_ips(stats.client_facts(rows), _summary_of(rows))
+        return validation.interleaving_ips(_facts(rows), _summary_of(rows))
 
     return run
 

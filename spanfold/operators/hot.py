@@ -26,7 +26,7 @@ MAX_SLICES = 1_024
 SLICES_PER_BLOCK = 32
 SKETCH_ITEMS = 4_096
 SKETCH_MERGERS = 1_024
-TICK_MS = 1_000
+TICK_MS = 10_000
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -88,9 +88,9 @@ def hot_households(rows: DataFrame, hot_rows: int) -> list[str]:
 def slice_table(spans: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame:
     """``<group>, blocks``: where each group's slices begin, in blocks of bounds.
 
-    Counts rows per second of time, which combines before its shuffle, and cuts
+    Counts rows per tick of time, which combines before its shuffle, and cuts
     where the running count passes a whole number of slices. A slice is as narrow as
-    it must be where rows are dense, down to one second.
+    it must be where rows are dense, down to one tick.
     """
     ticks = spans.groupBy(
         *group, F.floor(F.col("start") / F.lit(TICK_MS)).alias("tick")

@@ -34,7 +34,7 @@ def islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = F.max("end").over(before)
-    opened = F.when(reach.isNull() | (F.col("start") > reach), F.col("start"))
+    opened = F.when(F.coalesce(F.col("start") > reach, F.lit(True)), F.col("start"))
     return (
         spans.withColumn("opened", opened)
         .withColumn("island", F.max("opened").over(so_far))
@@ -60,14 +60,14 @@ def islands_sliced(
     earlier = (
         Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    reach = F.max("reach").over(earlier)
-    opened = F.when(reach.isNull() | (F.col("lastStart") > reach), F.col("lastStart"))
+    opens = F.coalesce(F.col("lastStart") > F.col("reachBefore"), F.lit(True))
     carried = (
         local.groupBy(*group, "slice")
         .agg(F.max("end").alias("reach"), F.max("start").alias("lastStart"))
-        .select(*group, "slice", reach.alias("reachBefore"), opened.alias("opened"))
+        .withColumn("reachBefore", F.max("reach").over(earlier))
+        .withColumn("opened", F.when(opens, F.col("lastStart")))
         .withColumn("openBefore", F.max("opened").over(earlier))
-        .drop("opened")
+        .select(*group, "slice", "reachBefore", "openBefore")
     )
     continues = F.col("start") <= F.col("reachBefore")
     placed = local.join(carried, [*group, "slice"]).withColumn(

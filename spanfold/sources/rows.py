@@ -35,6 +35,9 @@ ROW_SCHEMA = T.StructType(
         T.StructField("version", T.StringType()),
     ]
 )
+LAYOUT_SCHEMA = T.StructType(
+    [*ROW_SCHEMA.fields, T.StructField("customer", T.IntegerType()), T.StructField("dt", T.DateType())]
+)
 
 
 def conform(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -61,13 +64,16 @@ def in_window(customers: Sequence[int], day_from: str, day_to: str) -> Column:
 def read_window(
     spark: SparkSession, base: str, customers: Sequence[int], day_from: str, day_to: str
 ) -> DataFrame:
-    table = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(base)
+    """With the schema given, no file footer is opened to merge schemas: a column a
+    file lacks is NULL."""
+    table = spark.read.schema(LAYOUT_SCHEMA).parquet(base)
     rows = known_households(table.where(in_window(customers, day_from, day_to)))
     return conform(rows, extra=("customer", "dt"))
 
 
 def read_paths(spark: SparkSession, base: str, paths: Sequence[str]) -> DataFrame:
-    """Read chosen directories; columns encoded in the path below ``base`` survive."""
+    """Read chosen directories with whatever columns their files have between them;
+    columns encoded in the path below ``base`` survive."""
     table = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(*paths)
     return known_households(table)
 

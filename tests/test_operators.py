@@ -161,7 +161,7 @@ def test_slices_are_even_and_in_time_order(spark, n_slices):
     # half of the rows in a hundredth of the time
     rows = spark.range(20_000).select(
         F.lit("h").alias("householdId"),
-        F.when(F.col("id") % 2 == 0, F.col("id") * 500).otherwise(F.col("id") * 5 + 2_000_000).alias("start"),
+        F.when(F.col("id") % 2 == 0, F.col("id") * 5_000).otherwise(F.col("id") * 50 + 20_000_000).alias("start"),
     )
     table = slice_table(rows, ["householdId"], 20_000 // n_slices)
     sliced = slicer(table, ["householdId"])(rows).groupBy("slice").agg(
