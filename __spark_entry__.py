@@ -134,10 +134,10 @@ def q05_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merge(limits: Limits) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = assignment_input(spark, sf_dir)
+        hot = find_hot(source.spans(rows), limits)
         old, new = (
-            summary.household_islands(rows.where(F.col("customer") == c), limits) for c in (0, 1)
+            summary.household_islands(rows.where(F.col("customer") == c), hot) for c in (0, 1)
         )
-        hot = find_hot(source.spans(rows), limits)
         return _show_folded(summary.merge_increment(old, new, hot))
 
     return run
@@ -150,10 +150,11 @@ def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input(spark, sf_dir)
+    hot = find_hot(source.spans(rows), summary.LIMITS)
 
     def per_period(grain: str) -> DataFrame:
         length = F.col("timeSpan.endTimeMs") - F.col("timeSpan.startTimeMs")
-        return summary.summary_by_grain(rows, grain).groupBy(
+        return summary.summary_by_grain(rows, grain, hot).groupBy(
             F.lit(grain).alias("grain"), F.col("period").cast("string").alias("period")
         ).agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -361,20 +362,20 @@ def queries() -> dict[str, Query]:
         "q05_islands": _folded(summary.household_islands),
         "q05_islands_session": q05_session,
         "q05_islands_dense": _folded(summary.household_islands, view=dense),
-        "q05_islands_sliced": _folded(summary.household_islands, limits=SLICE_ALL),
+        "q05_islands_sliced": _folded(summary.household_islands, hot=SLICE_ALL),
         "q06_household_timeline": _folded(summary.household_timeline, "position"),
         "q06_household_timeline_sliced": _folded(
-            summary.household_timeline, "position", limits=SLICE_ALL
+            summary.household_timeline, "position", hot=SLICE_ALL
         ),
         "q07_runs": _folded(summary.household_runs, "run"),
         "q07_runs_dense": _folded(summary.household_runs, "run", view=dense),
-        "q07_runs_sliced": _folded(summary.household_runs, "run", limits=SLICE_ALL),
+        "q07_runs_sliced": _folded(summary.household_runs, "run", hot=SLICE_ALL),
         "q08_absorb_empty_runs": _folded(summary.absorbed_runs),
-        "q08_absorb_empty_runs_sliced": _folded(summary.absorbed_runs, limits=SLICE_ALL),
+        "q08_absorb_empty_runs_sliced": _folded(summary.absorbed_runs, hot=SLICE_ALL),
         "q09_household_summary": _summary(),
         "q09_household_summary_dense": _summary(view=dense),
-        "q09_household_summary_sliced": _summary(limits=SLICE_ALL),
-        "q09_household_summary_dense_sliced": _summary(view=dense, limits=SLICE_ALL),
+        "q09_household_summary_sliced": _summary(hot=SLICE_ALL),
+        "q09_household_summary_dense_sliced": _summary(view=dense, hot=SLICE_ALL),
         "q10_merge_increment": _merge(summary.LIMITS),
         "q10_merge_increment_sliced": _merge(SLICE_ALL),
         "q11_distinct_rows": q11,

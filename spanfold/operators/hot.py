@@ -48,6 +48,11 @@ class Hot:
     household_slices: DataFrame | None = None
     pair_slices: DataFrame | None = None
 
+    @classmethod
+    def of(cls, spans: DataFrame, given: Limits | Hot) -> Hot:
+        """What was found before, or what there is to find."""
+        return given if isinstance(given, Hot) else find_hot(spans, given)
+
     def by_household(self, df: DataFrame, plain: Step, sliced: Step) -> DataFrame:
         if not self.households:
             return plain(df)
@@ -119,8 +124,10 @@ def slicer(table: DataFrame, group: Sequence[str]) -> Step:
         start = F.col("start")
         block = F.greatest(F.size(F.filter("blocks", lambda b: b[0] <= start)), F.lit(1)) - 1
         inside = F.size(F.filter(F.get("blocks", block), lambda bound: bound <= start))
-        return df.join(F.broadcast(table), list(group)).select(
-            *df.columns, (block * SLICES_PER_BLOCK + inside).alias("slice")
+        number = F.coalesce(block * SLICES_PER_BLOCK + inside, F.lit(0))
+        # left, so that a group the table does not know is one slice and not lost
+        return df.join(F.broadcast(table), list(group), "left").select(
+            *df.columns, number.alias("slice")
         )
 
     return add_slice

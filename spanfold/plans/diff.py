@@ -47,11 +47,31 @@ def first_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return dataset_diff(expected, actual).orderBy(*expected.columns).limit(1)
 
 
+def _copies(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Spell out ``n`` copies of every row, numbered by ``block`` and ``copy``. A row
+    with very many is spread over the tasks block by block."""
+    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_PER_BLOCK))
+    left = F.col("n") - F.col("block") * COPIES_PER_BLOCK
+    block_size = F.least(F.lit(COPIES_PER_BLOCK).cast("long"), left)
+    one = F.lit(1).cast("long")
+    return (
+        counted.select("*", F.explode(blocks).alias("block"))
+        .withColumn("blockSize", block_size)
+        .repartition(*columns, "block")
+        .withColumn("copy", F.explode(F.sequence(one, "blockSize")))
+        .drop("n", "blockSize")
+    )
+
+
 def multiset_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """The surplus rows themselves, copy by copy, and which side has them."""
-    missing = expected.exceptAll(actual).select(F.lit("expected").alias("side"), "*")
-    extra = actual.exceptAll(expected).select(F.lit("actual").alias("side"), "*")
-    return missing.unionByName(extra)
+    columns = expected.columns
+    surplus = dataset_diff(expected, actual).select(
+        F.when(F.col("nExpected") > F.col("nActual"), "expected").otherwise("actual").alias("side"),
+        *columns,
+        F.abs(F.col("nExpected") - F.col("nActual")).alias("n"),
+    )
+    return _copies(surplus, columns).select("side", *columns)
 
 
 def _total_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
@@ -70,18 +90,10 @@ def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     order = _total_order(df, order_by)
-    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_PER_BLOCK))
-    block_size = F.least(F.lit(COPIES_PER_BLOCK), F.col("n") - F.col("block") * COPIES_PER_BLOCK)
-    copies = (
-        row_counts(df)
-        .select("*", F.explode(blocks).alias("block"))
-        .withColumn("blockSize", block_size)
-        .repartition(*order, "block")
-        .select(*order, "block", F.explode(F.sequence(F.lit(1).cast("long"), "blockSize")).alias("copy"))
-    )
     key = [*order, "block", "copy"]
     numbered = (
-        copies.repartitionByRange(*key)
+        _copies(row_counts(df), order)
+        .repartitionByRange(*key)
         .sortWithinPartitions(*key)
         .withColumn("range", F.spark_partition_id())
         .withColumn("index", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))

@@ -2,7 +2,8 @@
 
 Every function takes assignment rows. Ordinary households go through window
 functions over one exchange on the household; hot ones go through the sliced
-operators, which spread one household over many tasks.
+operators, which spread one household over many tasks. ``hot`` says from which
+size on a group is hot, or hands over what ``find_hot`` found in the rows before.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from spanfold.functions.clients import client_ids
 from spanfold.functions.spans import time_span, utc_date
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import Hot, Limits, find_hot, slicer
+from spanfold.operators.hot import Hot, Limits, slicer
 from spanfold.sources.rows import SUMMARY_VERSION, spans
 from spanfold.sources.scratch import stored
 
@@ -54,7 +55,7 @@ ABSORB = Stage(absorb.absorb, absorb.absorb_sliced, per_ip=True)
 def fold(
     rows: DataFrame,
     stages: Sequence[Stage],
-    limits: Limits = LIMITS,
+    hot: Limits | Hot = LIMITS,
     period: Column | None = None,
 ) -> DataFrame:
     """Run the stages over the rows. With ``period``, each period of a row's start
@@ -64,7 +65,7 @@ def fold(
         rows = rows.withColumn("period", period)
         keys.append("period")
     found = spans(rows, extra=keys[1:])
-    hot = find_hot(found, limits)
+    hot = Hot.of(found, hot)
 
     def plain(df: DataFrame) -> DataFrame:
         df = df.repartition(*keys)
@@ -93,35 +94,37 @@ def summarize(folded: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def household_islands(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def household_islands(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
     """Islands alone need no household in one place, only a household's ip."""
     found = spans(rows)
-    return ISLANDS.on_hot(found, find_hot(found, limits))
+    return ISLANDS.on_hot(found, Hot.of(found, hot))
 
 
-def household_timeline(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    return fold(rows, [ISLANDS, TIMELINE], limits)
+def household_timeline(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, TIMELINE], hot)
 
 
-def household_runs(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    return fold(rows, [ISLANDS, RUNS], limits)
+def household_runs(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, RUNS], hot)
 
 
-def absorbed_runs(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    return fold(rows, [ISLANDS, RUNS, ABSORB], limits)
+def absorbed_runs(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
+    return fold(rows, [ISLANDS, RUNS, ABSORB], hot)
 
 
-def household_summary(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+def household_summary(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
     """``householdId, ip, timeSpan, clientIds, version``; one row per household, ip
     and start, so the rows are distinct without a further exchange."""
-    return summarize(absorbed_runs(rows, limits))
+    return summarize(absorbed_runs(rows, hot))
 
 
-def merge_increment(existing: DataFrame, increment: DataFrame, hot: Hot | None = None) -> DataFrame:
+def merge_increment(
+    existing: DataFrame, increment: DataFrame, hot: Limits | Hot = LIMITS
+) -> DataFrame:
     """Islands of an increment folded into existing islands. A full re-coalesce, so
-    no overlap is left whatever order increments arrive in. ``hot``: as found in
-    the rows."""
-    return ISLANDS.on_hot(existing.unionByName(increment), hot or Hot())
+    no overlap is left whatever order increments arrive in."""
+    both = existing.unionByName(increment)
+    return ISLANDS.on_hot(both, Hot.of(both, hot))
 
 
 def period_of(grain: str) -> Column:
@@ -131,6 +134,6 @@ def period_of(grain: str) -> Column:
     return {"Daily": day, "Monthly": F.trunc(day, "month")}[grain]
 
 
-def summary_by_grain(rows: DataFrame, grain: str, limits: Limits = LIMITS) -> DataFrame:
-    folded = fold(rows, [ISLANDS, RUNS, ABSORB], limits, period_of(grain))
+def summary_by_grain(rows: DataFrame, grain: str, hot: Limits | Hot = LIMITS) -> DataFrame:
+    folded = fold(rows, [ISLANDS, RUNS, ABSORB], hot, period_of(grain))
     return summarize(folded, extra=("period",))

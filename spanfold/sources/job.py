@@ -20,6 +20,7 @@ class JobParameters:
     grain_from: str = "Daily"
     grain_to: str = "Monthly"
     base_dir: str = ""
+    input_dir: str = ""
     name: str | None = None
 
     def __post_init__(self) -> None:
@@ -40,6 +41,11 @@ class JobParameters:
     def job_name(self) -> str:
         return self.name or "cust=" + "_".join(str(c) for c in self.customer_ids)
 
+    @property
+    def input_path(self) -> str:
+        """Rows of the finer grain, partitioned by customer and day."""
+        return f"{self.input_dir}{self.grain_from}"
+
     @property
     def output_path(self) -> str:
         def stamp(t: datetime) -> str:
