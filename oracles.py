@@ -94,14 +94,14 @@ def query(select: str, *ctes: str, view: str = "default") -> str:
 
 
 ROWS = """SELECT hh AS "householdId", ip, coalesce(client::varchar, '') AS client,
-  s AS "startMs", e AS "endMs", 0 AS status, '0.0.1' AS version, customer, dt::varchar AS dt
+  s AS "startMs", e AS "endMs", 0::tinyint AS status, '0.0.1' AS version, customer, dt::varchar AS dt
 FROM all_rows"""
 
 FOLDED = """SELECT hh AS "householdId", ip, s AS "startMs", e AS "endMs",
-  {ids} AS clients, len(clients) AS "nClients", has_empty AS "hasEmpty"{extra} FROM {table}"""
+  {ids} AS clients, len(clients)::int AS "nClients", has_empty AS "hasEmpty"{extra} FROM {table}"""
 
 SUMMARY = """SELECT hh AS "householdId", ip, s AS "startMs", e AS "endMs",
-  {ids} AS clients, len(clients) AS "nClients", '0.0.1' AS version FROM absorbed"""
+  {ids} AS clients, len(clients)::int AS "nClients", '0.0.1' AS version FROM absorbed"""
 
 
 def folded(table: str, extra: str = "", view: str = "default") -> str:

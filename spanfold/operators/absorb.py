@@ -63,7 +63,7 @@ def absorb_sliced(
         .withColumn("after", F.coalesce(F.sum("n").over(later_slices), F.lit(0)))
         .drop("n")
     )
-    counted = local.join(carried, [*group, "slice"]).withColumn(
+    counted = local.join(F.broadcast(carried), [*group, "slice"]).withColumn(
         "later", F.col("later") + F.col("after")
     )
     return merged_spans(counted.withColumn("target", _target()), [*group, "target"]).drop("target")

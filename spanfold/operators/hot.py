@@ -134,18 +134,19 @@ def slicer(table: DataFrame, group: Sequence[str]) -> Step:
 
 
 def fixed_slicer(slice_ms: int) -> Step:
-    """Slices of one width."""
+    """Slices of one width, for data of a known time range."""
     return lambda df: df.withColumn("slice", F.floor(F.col("start") / F.lit(slice_ms)))
 
 
 def find_hot(spans: DataFrame, limits: Limits) -> Hot:
-    """Look for hot households; for the pairs and slice tables only the rows of hot
-    households are read again."""
+    """Look for hot households. For their pairs and slices, three columns of their
+    rows are written once; without hot households nothing more is read."""
     households = hot_households(spans, limits.hot_rows)
     if not households:
         return Hot()
-    rows = spans.where(F.col("householdId").isin(*households))
     pair = ["householdId", "ip"]
+    of_hot = spans.where(F.col("householdId").isin(*households)).select(*pair, "start")
+    rows = stored(of_hot, "hot-starts")
     pairs = (
         rows.groupBy(*pair)
         .agg(F.count(F.lit(1)).alias("n"))

@@ -51,29 +51,41 @@ def islands_sliced(
 
     Spans of equal start, which no slicing can part, are combined first. Islands are
     then built inside each slice and joined with what earlier slices reach: one
-    small row per slice.
+    small row per slice, so at most HOT_KEYS * MAX_SLICES of them to broadcast.
     """
     group = [*keys, "ip"]
     starts = spans.groupBy(*group, "start").agg(F.max("end").alias("end"), _clients(spans))
     local = stored(islands(add_slice(starts), [*keys, "slice"]), "sliced-islands")
 
-    earlier = (
-        Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    by_slice = Window.partitionBy(*group).orderBy("slice")
+    earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
     opens = F.coalesce(F.col("lastStart") > F.col("reachBefore"), F.lit(True))
+    goes_on = F.lead("firstStart").over(by_slice) <= F.greatest("reach", "reachBefore")
     carried = (
         local.groupBy(*group, "slice")
-        .agg(F.max("end").alias("reach"), F.max("start").alias("lastStart"))
+        .agg(
+            F.max("end").alias("reach"),
+            F.min("start").alias("firstStart"),
+            F.max("start").alias("lastStart"),
+        )
         .withColumn("reachBefore", F.max("reach").over(earlier))
         .withColumn("opened", F.when(opens, F.col("lastStart")))
         .withColumn("openBefore", F.max("opened").over(earlier))
-        .select(*group, "slice", "reachBefore", "openBefore")
+        .withColumn("extended", F.when(goes_on, F.coalesce("opened", "openBefore")))
+        .select(*group, "slice", "reachBefore", "openBefore", "extended")
     )
-    continues = F.col("start") <= F.col("reachBefore")
-    placed = local.join(carried, [*group, "slice"]).withColumn(
+    continues = F.coalesce(F.col("start") <= F.col("reachBefore"), F.lit(False))
+    placed = local.join(F.broadcast(carried), [*group, "slice"]).withColumn(
         "island", F.when(continues, F.col("openBefore")).otherwise(F.col("start"))
     )
-    return merged_spans(placed, [*group, "island"]).drop("island")
+    crosses = continues | F.col("start").eqNullSafe(F.col("extended"))
+    return stitched(placed, crosses, [*group, "island"]).drop("island")
+
+
+def stitched(parts: DataFrame, crosses: Column, group: Sequence[str]) -> DataFrame:
+    """Parts that cross a slice bound are merged, all others stay as they are."""
+    whole = parts.where(~crosses).select(*group, "start", "end", "clients")
+    return whole.unionByName(merged_spans(parts.where(crosses), group))
 
 
 def merged_spans(parts: DataFrame, group: Sequence[str]) -> DataFrame:

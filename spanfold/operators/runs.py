@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanfold.functions.clients import union_of
 from spanfold.operators.hot import Step
-from spanfold.operators.islands import HOUSEHOLD, merged_spans
+from spanfold.operators.islands import HOUSEHOLD, stitched
 from spanfold.sources.scratch import stored
 
 
@@ -39,7 +39,7 @@ def timeline_sliced(
         .drop("n")
     )
     return (
-        local.join(offsets, [*keys, "slice"])
+        local.join(F.broadcast(offsets), [*keys, "slice"])
         .withColumn("position", F.col("position") + F.col("before"))
         .drop("slice", "before")
     )
@@ -81,9 +81,14 @@ def runs_sliced(
         )
         .withColumn("continued", continues.cast("long"))
         .withColumn("before", F.coalesce(F.sum(F.col("n") - F.col("continued")).over(earlier), F.lit(0)))
-        .select(*keys, "slice", "continued", "before")
+        .withColumn("goesOn", F.coalesce(F.lead("continued").over(by_slice), F.lit(0)))
+        .select(*keys, "slice", "continued", "before", "n", "goesOn")
     )
-    placed = local.join(carried, [*keys, "slice"]).withColumn(
-        "run", F.col("before") + F.col("run") - F.col("continued")
+    first, last = F.col("run") == 1, F.col("run") == F.col("n")
+    crosses = (first & (F.col("continued") == 1)) | (last & (F.col("goesOn") == 1))
+    placed = (
+        local.join(F.broadcast(carried), [*keys, "slice"])
+        .withColumn("crosses", crosses)
+        .withColumn("run", F.col("before") + F.col("run") - F.col("continued"))
     )
-    return merged_spans(placed, [*keys, "ip", "run"])
+    return stitched(placed, F.col("crosses"), [*keys, "ip", "run"])

@@ -75,8 +75,8 @@ def fold(
 
     def sliced(df: DataFrame) -> DataFrame:
         for stage in stages:
-            if stage is ABSORB and hot.pair_slices is not None:
-                df = stored(df, "runs")  # read twice: hot pairs and others
+            if stage.per_ip and hot.pair_slices is not None:
+                df = stored(df, "hot-households")  # read twice: hot pairs and other ips
             df = stage.on_hot(df, hot, keys)
         return df
 
