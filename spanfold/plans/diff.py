@@ -49,18 +49,19 @@ def first_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
 
 def _copies(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Spell out ``n`` copies of every row, numbered by ``block`` and ``copy``. A row
-    with very many is spread over the tasks block by block."""
-    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_PER_BLOCK))
-    left = F.col("n") - F.col("block") * COPIES_PER_BLOCK
-    block_size = F.least(F.lit(COPIES_PER_BLOCK).cast("long"), left)
-    one = F.lit(1).cast("long")
-    return (
-        counted.select("*", F.explode(blocks).alias("block"))
-        .withColumn("blockSize", block_size)
+    with many copies is first spread over the tasks in blocks of them."""
+    n, zero = F.col("n"), F.lit(0).cast("long")
+    few = counted.where(n <= COPIES_PER_BLOCK).select("*", zero.alias("block"), n.alias("size"))
+    blocks = F.sequence(zero, F.floor((n - 1) / COPIES_PER_BLOCK))
+    left = n - F.col("block") * COPIES_PER_BLOCK
+    many = (
+        counted.where(n > COPIES_PER_BLOCK)
+        .select("*", F.explode(blocks).alias("block"))
+        .withColumn("size", F.least(F.lit(COPIES_PER_BLOCK).cast("long"), left))
         .repartition(*columns, "block")
-        .withColumn("copy", F.explode(F.sequence(one, "blockSize")))
-        .drop("n", "blockSize")
     )
+    numbers = F.sequence(F.lit(1).cast("long"), "size")
+    return few.unionByName(many).withColumn("copy", F.explode(numbers)).drop("n", "size")
 
 
 def multiset_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -81,32 +81,39 @@ def _client_sets(pairs: DataFrame, name: str) -> DataFrame:
     return distinct.groupBy("householdId").agg(F.array_sort(F.collect_list("clientId")).alias(name))
 
 
-def household_facts(facts: DataFrame) -> DataFrame:
-    """Per household of the input: ips, rows, extent and client set."""
-    totals = facts.groupBy("householdId").agg(
+def household_input_totals(facts: DataFrame) -> DataFrame:
+    return facts.groupBy("householdId").agg(
         F.count_distinct("ip").alias("ipCount"),
         F.sum("n").alias("inputRecordCount"),
         *_outer_bounds(),
     )
-    return totals.join(_client_sets(facts, "inputClientIds"), "householdId")
+
+
+def household_output_totals(summary: DataFrame) -> DataFrame:
+    return summary.groupBy("householdId").agg(
+        F.count_distinct("ip").alias("ipCount"),
+        F.count_distinct("timeSpan").alias("outputTimeSpanCount"),
+        F.count(F.lit(1)).alias("outputRecordCount"),
+        *_bounds(),
+    )
 
 
 def household_input_stats(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Per household of the input: ips, rows, extent, spans and client set."""
     n_spans = accepted(rows).groupBy("householdId").agg(
         F.count_distinct("timeSpan").alias("inputTimeSpanCount")
     )
-    return household_facts(facts).join(n_spans, "householdId")
+    clients = _client_sets(facts, "inputClientIds")
+    return household_input_totals(facts).join(clients, "householdId").join(n_spans, "householdId")
+
+
+def summary_clients(summary: DataFrame) -> DataFrame:
+    return summary.select("householdId", "ip", F.explode("clientIds").alias("clientId"))
 
 
 def household_output_stats(summary: DataFrame) -> DataFrame:
-    totals = summary.groupBy("householdId").agg(
-        F.count_distinct("ip").alias("ipCount"),
-        F.count_distinct("timeSpan").alias("outputTimeSpanCount"),
-        F.count(F.lit(1)).alias("outputRecordCount"),
-        *_bounds(),
-    )
-    clients = summary.select("householdId", F.explode("clientIds").alias("clientId"))
-    named = totals.join(_client_sets(clients, "outputClientIds"), "householdId", "left")
+    clients = _client_sets(summary_clients(summary), "outputClientIds")
+    named = household_output_totals(summary).join(clients, "householdId", "left")
     return named.withColumn(
         "outputClientIds", F.coalesce("outputClientIds", _no_ids("array<array<int>>"))
     )

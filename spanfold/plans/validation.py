@@ -16,15 +16,17 @@ from spanfold.functions.spans import covers
 from spanfold.plans.stats import (
     client_facts,
     client_ip_counts,
-    household_facts,
     household_input_stats,
+    household_input_totals,
     household_ip_extents,
     household_ip_stats,
     household_output_stats,
+    household_output_totals,
     input_counts,
     output_counts,
     overall_counts,
     span_statistics,
+    summary_clients,
 )
 from spanfold.sources.scratch import stored
 
@@ -63,23 +65,51 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
     ).orderBy("householdIdEncoding", "minStartTime")
 
 
+def _client_differences(facts: DataFrame, summary: DataFrame) -> DataFrame:
+    """Households with a client id that only one side has. Compares id by id, so
+    that no client set has to be held in one place."""
+
+    def side(pairs: DataFrame, n_input: int, n_output: int) -> DataFrame:
+        flags = F.lit(n_input).alias("isInput"), F.lit(n_output).alias("isOutput")
+        return pairs.select("householdId", "clientId", *flags)
+
+    return (
+        side(facts.where(F.size("clientId") != 0), 1, 0)
+        .unionByName(side(summary_clients(summary), 0, 1))
+        .groupBy("householdId", "clientId")
+        .agg(F.max("isInput").alias("isInput"), F.max("isOutput").alias("isOutput"))
+        .where("isInput <> isOutput")
+        .select("householdId", F.lit(True).alias("otherClients"))
+        .distinct()
+    )
+
+
 def household_mismatches(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Households missing on one side, or with another ip count, bounds or client
     set there."""
-    left, right = household_facts(facts).alias("i"), household_output_stats(summary).alias("o")
+    left = household_input_totals(facts).alias("i")
+    right = household_output_totals(summary).alias("o")
 
     def same(name: str) -> Column:
         return F.col(f"i.{name}").eqNullSafe(F.col(f"o.{name}"))
 
-    flags = {
-        "sameIpCount": same("ipCount"),
-        "sameBounds": same("minStartTime") & same("maxEndTime"),
-        "sameClientIds": F.coalesce(_same_clients(), F.lit(False)),
-    }
+    on_both = F.col("i.ipCount").isNotNull() & F.col("o.ipCount").isNotNull()
     compared = left.join(right, "householdId", "full_outer").select(
-        "householdId", *[flag.alias(name) for name, flag in flags.items()]
+        "householdId",
+        same("ipCount").alias("sameIpCount"),
+        (same("minStartTime") & same("maxEndTime")).alias("sameBounds"),
+        on_both.alias("onBoth"),
+    )
+    return (
+        compared.join(_client_differences(facts, summary), "householdId", "left")
+        .select(
+            "householdId",
+            "sameIpCount",
+            "sameBounds",
+            (F.col("onBoth") & F.col("otherClients").isNull()).alias("sameClientIds"),
+        )
+        .where("NOT (sameIpCount AND sameBounds AND sameClientIds)")
     )
-    return compared.where("NOT (sameIpCount AND sameBounds AND sameClientIds)")
 
 
 def interleaving_ips(facts: DataFrame, summary: DataFrame) -> DataFrame:
@@ -107,8 +137,7 @@ def spans_outside_household(facts: DataFrame) -> DataFrame:
 def unknown_clients(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Client ids of the summary that the input never shows for their household
     and ip. An anti-join, so no client set has to be compared in one place."""
-    claimed = summary.select(*HOUSEHOLD_IP, F.explode("clientIds").alias("clientId"))
-    return claimed.join(facts, [*HOUSEHOLD_IP, "clientId"], "left_anti")
+    return summary_clients(summary).join(facts, [*HOUSEHOLD_IP, "clientId"], "left_anti")
 
 
 def output_with_empty_clients(ip_stats: DataFrame, summary: DataFrame) -> DataFrame:
