@@ -34,7 +34,3 @@ def empty_only(tokens: Column) -> Column:
 def union_of(tokens: str) -> Column:
     """Aggregate: union of the token sets of a group."""
     return F.array_distinct(F.flatten(F.collect_list(tokens)))
-
-
-def same_set(a: Column, b: Column) -> Column:
-    return (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)

@@ -31,7 +31,9 @@ def _has_client() -> Column:
     return F.size("clientId") != 0
 
 
-def _bounds(start: str = "timeSpan.startTimeMs", end: str = "timeSpan.endTimeMs"):
+def _bounds(
+    start: str = "timeSpan.startTimeMs", end: str = "timeSpan.endTimeMs"
+) -> tuple[Column, Column]:
     return F.min(start).alias("minStartTime"), F.max(end).alias("maxEndTime")
 
 
