@@ -7,16 +7,18 @@ as two columns, so that results compare across engines.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracles import oracle_sql  # noqa: E402,F401
+import oracles  # noqa: E402
 from spanfold.functions.clients import NO_CLIENT, client_ids, client_token  # noqa: E402
 from spanfold.operators.hot import Limits, find_hot  # noqa: E402
 from spanfold.operators.islands import session_islands  # noqa: E402
@@ -26,6 +28,20 @@ from spanfold.sources import sink  # noqa: E402
 from spanfold.sources.events_view import assignment_input, assignment_input_dense  # noqa: E402
 from spanfold.sources.scratch import fresh_path, stored  # noqa: E402
 
+
+def _optional(name: str) -> ModuleType | None:
+    """The operators for training data and their pipeline may be left out."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name not in (name, "spanfold.llm"):
+            raise
+        return None
+
+
+llm = _optional("spanfold.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline")
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 WINDOW = ((0, 1), "2024-01-05", "2024-01-20")
 # Below the size of most households and pairs here, so that the sliced operators run.
@@ -351,7 +367,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return _summary()(spark, SMOKE_DIR)
 
 
+def oracle_sql() -> dict[str, str]:
+    found = dict(oracles.oracle_sql())
+    if llm is not None:
+        found |= llm.oracle_sql()
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Query]:
+    found = _own_queries()
+    if llm is not None:
+        found |= llm.queries()
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     dense = assignment_input_dense
     return {
         "q01_scan_known_households": q01,
