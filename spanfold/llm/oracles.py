@@ -2,6 +2,56 @@
 
 from __future__ import annotations
 
+from spanfold.llm import secrets
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def op3() -> str:
+    """Matches and the gaps between them give positions."""
+    parts = []
+    for order, rule in enumerate(secrets.RULES):
+        value = (
+            "regexp_extract(m, '^[^:=]*[:=] *[\"'']?(.*)$', 1, 's')" if rule.value_only else "m"
+        )
+        parts.append(
+            f"SELECT doc_id, {order} AS o, '{rule.kind}' AS kind, {rule.least} AS least, t, "
+            f"regexp_extract_all(t, {_literal(rule.pattern)}) AS ms, "
+            f"regexp_split_to_array(t, {_literal(rule.pattern)}) AS gaps, "
+            f"list_transform(regexp_extract_all(t, {_literal(rule.pattern)}), lambda m: length({value})) AS sizes "
+            "FROM texts"
+        )
+    base = ", ".join(f"'{k}'" for k in secrets.BASE)
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secrets.BASE
+    )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(parts)}),
+numbered AS (SELECT *, unnest(generate_series(1, len(ms))) AS i FROM found),
+spans AS (
+  SELECT doc_id, o, kind, length(ms[i]) AS size,
+         list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+         + coalesce(list_sum(list_transform(ms[1:i - 1], lambda m: length(m))), 0) AS start
+  FROM numbered WHERE sizes[i] >= least
+),
+shown AS (
+  SELECT doc_id, o, kind, CAST(start AS BIGINT) AS start,
+         kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT) AS s FROM spans
+),
+per_doc AS (
+  SELECT doc_id, {counts}, string_agg(s, ',' ORDER BY start, o) FILTER (WHERE kind IN ({base})) AS base,
+         string_agg(s, ',' ORDER BY start, o) AS spans
+  FROM shown GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN per_doc USING (doc_id)
+"""
+
+
 OP8 = r"""
 WITH sized AS (
   SELECT doc_id, source,  
@@ -43,4 +93,4 @@ FROM summed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": OP8}
+    return {"op3_secrets": op3(), "op8_mixing": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfold.llm import mixing
+from spanfold.llm import mixing, secrets
 from spanfold.llm.common import table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
 from spanfold.sources.scratch import stored
@@ -15,6 +15,21 @@ from spanfold.sources.scratch import stored
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs)
+    spans = F.col("spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, secrets.BASE),
+        F.sha2(secrets.joined(spans, secrets.BASE), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = docs.select("doc_id", "source", word_count(text_or_empty("text")).alias("_size"))
@@ -25,5 +40,6 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_secrets": op3_secrets,
         "op8_mixing": op8_mixing,
     }
