@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfold.llm import mixing, secrets
+from spanfold.llm import mixing, secrets, sentencepieces
 from spanfold.llm.common import table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
 from spanfold.sources.scratch import stored
@@ -30,6 +31,26 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> sentencepieces.Model:
+    """The public 32k model of this machine; SPANFOLD_PIECE_MODEL names another file."""
+    path = os.environ.get("SPANFOLD_PIECE_MODEL")
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepieces.load(path)
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to the same text again."""
+    docs, model = table(spark, sf_dir, "documents").select("doc_id", "text"), piece_model()
+    decoded = sentencepieces.decode(sentencepieces.encode(docs, model), model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("same_text"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = docs.select("doc_id", "source", word_count(text_or_empty("text")).alias("_size"))
@@ -41,5 +62,6 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_secrets": op3_secrets,
+        "op4_sentencepiece": op4_sentencepiece,
         "op8_mixing": op8_mixing,
     }
