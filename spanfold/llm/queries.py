@@ -8,14 +8,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfold.llm import mixing, secrets, sentencepieces
-from spanfold.llm.common import table, text_or_empty, word_count
+from spanfold.llm import language, mixing, secrets, sentencepieces
+from spanfold.llm.common import remainder, table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
 from spanfold.sources.scratch import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 3) == 1
+    model = language.fit(docs.where(~held_out).select("text", "lang"))
+    found = language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select(
+        "doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans")
+    )
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find(docs)
@@ -61,6 +71,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language": op1_language,
         "op3_secrets": op3_secrets,
         "op4_sentencepiece": op4_sentencepiece,
         "op8_mixing": op8_mixing,
