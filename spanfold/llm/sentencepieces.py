@@ -23,6 +23,7 @@ their own; an input column named like a result column is replaced.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,14 +32,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from spanfold.llm.common import pieces
 
 MARK = "▁"
 CHUNK_BYTES = 4 << 20
-REMEMBERED_WORDS = 300_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_WORDS = 600_000
+REMEMBERED_PAIRS = 400_000
 _UNIGRAM, _BPE = 1, 2
 SHORT = (2, 1)
 
@@ -101,7 +109,8 @@ class WordEncoder:
 
     def __init__(self, model: Model) -> None:
         self._model = model
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._stable: dict[int, bool] = {}
+        self._many = len(model.scores)
         self._names = {number: piece for piece, number in model.ids.items()}
         by_end: dict[str, set[int]] = {}
         for piece in model.ids:
@@ -113,7 +122,8 @@ class WordEncoder:
 
     def encode(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
         """(word, ids) for words in sorted order."""
-        free = self._model.kind == _UNIGRAM
+        free, find, points = self._model.kind == _UNIGRAM, self._model.ids.get, self._model.scores
+        lengths, pairs, many, unknown = self._lengths.get, self._stable.get, self._many, self._unknown_score
         before = ""
         # per prefix length: score, last piece (-1: a character without a piece), its begin
         scores, lasts, begins = [0.0], [-2], [0]
@@ -124,44 +134,34 @@ class WordEncoder:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del scores[shared + 1 :], lasts[shared + 1 :], begins[shared + 1 :]
-            self._extend(word, free, scores, lasts, begins)
+            if shared < len(before):
+                del scores[shared + 1 :], lasts[shared + 1 :], begins[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                best, last, begin = None, -1, end - 1
+                for length in lengths(word[end - 3 : end], SHORT) if end > 2 else SHORT:
+                    start = end - length
+                    if start < 0 or (piece := find(word[start:end])) is None:
+                        continue
+                    if free:
+                        score = scores[start] + points[piece]
+                        if best is None or score > best:
+                            best, last, begin = score, piece, start
+                        continue
+                    fits = pairs(lasts[start] * many + piece)
+                    if fits or fits is None and self._fits(lasts[start], piece):
+                        best, last, begin = scores[start] + points[piece], piece, start
+                        break  # no other piece fits here
+                scores.append(scores[begin] + unknown if best is None else best)
+                lasts.append(last)
+                begins.append(begin)
             before = word
-            path, at = [], len(word)
+            path, at, whole = [], len(word), True
             while at:
-                path.append((begins[at], at, lasts[at]))
+                path.append(lasts[at])
+                whole = whole and lasts[at] >= 0
                 at = begins[at]
-            yield word, self._expanded(word, reversed(path))
-
-    def _extend(self, word: str, free: bool, scores: list, lasts: list, begins: list) -> None:
-        find, points, lengths = self._model.ids.get, self._model.scores, self._lengths.get
-        pairs = self._stable
-        for end in range(len(scores), len(word) + 1):
-            best, last, begin = None, -1, end - 1
-            for length in lengths(word[end - 3 : end], SHORT) if end > 2 else SHORT:
-                start = end - length
-                if start < 0:
-                    continue
-                piece = find(word[start:end])
-                if piece is None:
-                    continue
-                if not free:
-                    pair = (lasts[start], piece)
-                    fits = pairs.get(pair)
-                    if fits is None:
-                        fits = self._fits(*pair)
-                    if not fits:
-                        continue
-                score = scores[start] + points[piece]
-                if best is None or score > best:
-                    best, last, begin = score, piece, start
-                if not free:
-                    break  # no other piece fits here
-            if best is None:
-                best = scores[end - 1] + self._unknown_score
-            scores.append(best)
-            lasts.append(last)
-            begins.append(begin)
+            path.reverse()
+            yield word, path if whole else self._with_bytes(word, path)
 
     def _fits(self, left: int, right: int) -> bool:
         """Whether merging by rank ends in these two pieces; remembered, in bounded number."""
@@ -173,7 +173,7 @@ class WordEncoder:
             found = self._merged("".join(parts)) == parts
         if len(self._stable) >= REMEMBERED_PAIRS:
             self._stable.clear()
-        self._stable[left, right] = found
+        self._stable[left * self._many + right] = found
         return found
 
     def _merged(self, word: str) -> list[str]:
@@ -191,21 +191,20 @@ class WordEncoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def _ids(self, word: str, parts: list[str]) -> list[int]:
-        path, at = [], 0
-        for part in parts:
-            path.append((at, at + len(part), self._model.ids.get(part, -1)))
-            at += len(part)
-        return self._expanded(word, path)
-
-    def _expanded(self, word: str, path) -> list[int]:
-        found, byte_ids = [], self._model.byte_ids
-        for begin, end, piece in path:
+        return self._with_bytes(word, [self._model.ids.get(part, -1) for part in parts])
+
+    def _with_bytes(self, word: str, path: list[int]) -> list[int]:
+        """Bytes, or the unknown piece once, in place of characters without a piece."""
+        found, at, byte_ids = [], 0, self._model.byte_ids
+        for piece in path:
+            size = len(self._names[piece]) if piece >= 0 else 1
             if piece >= 0:
                 found.append(piece)
             elif byte_ids is not None:
-                found += [byte_ids[b] for b in word[begin:end].encode()]
+                found += [byte_ids[b] for b in word[at : at + 1].encode()]
             elif not found or found[-1] != self._model.unknown:
                 found.append(self._model.unknown)
+            at += size
         return found
 
 
@@ -217,71 +216,130 @@ class TextEncoder:
 
         self._normalize = sentencepiece.SentencePieceProcessor(model_proto=model.file).normalize
         self._words = WordEncoder(model)
-        alone = "".join(c for c in "\n\t\r" if c not in model.ids)
-        apart = f"|[{alone}]" if alone and model.byte_ids is not None else ""
-        inner = alone if apart else ""
-        self._cut = re.compile(f"{MARK}*[^{MARK}{inner}]+|{MARK}+{apart}").findall
+        self._lines = "\n" not in model.ids and model.byte_ids is not None
+        self._newline = array("i", [model.byte_ids[10]] if self._lines else []).tobytes()
+        self._cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self._known: dict[str, bytes] = {}
 
+    def _cut_up(self, text: str) -> list[list[str]]:
+        """Marked words line by line. A line break without a piece stays apart by itself."""
+        lines = []
+        for line in text.split("\n") if self._lines else [text]:
+            words = line.split(MARK)
+            if "" in words[1:]:  # marks in a row belong to one word
+                words = self._cut(line)
+            else:
+                first = words[0]
+                words = [MARK + w for w in words]
+                if first:
+                    words[0] = first
+                else:
+                    del words[0]
+            lines.append(words)
+        return lines
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        cut = [None if t is None else self._cut(self._normalize(t)) for t in texts]
-        new = {w for words in cut if words for w in words if w not in self._known}
+        cut = [None if t is None else self._cut_up(self._normalize(t)) for t in texts]
+        words = set().union(*(line for lines in cut if lines for line in lines))
+        new = words - self._known.keys()
         if len(self._known) + len(new) > REMEMBERED_WORDS:
             self._known.clear()
-            new = {w for words in cut if words for w in words}
+            new = words
         for word, ids in self._words.encode(sorted(new)):
-            self._known[word] = np.array(ids, np.int32).tobytes()
+            self._known[word] = array("i", ids).tobytes()
         get = self._known.__getitem__
         return [
-            None if words is None else np.frombuffer(b"".join(map(get, words)), np.int32)
-            for words in cut
+            None if lines is None
+            else np.frombuffer(
+                self._newline.join([b"".join(map(get, line)) for line in lines]), np.int32
+            )
+            for lines in cut
         ]
 
 
+class TextDecoder:
+    """The texts that ids stand for."""
+
+    def __init__(self, model: Model) -> None:
+        self._bytes = np.frombuffer(b"".join(model.as_bytes), np.uint8)
+        self._sizes = np.fromiter(map(len, model.as_bytes), np.int64, len(model.as_bytes))
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._lead = b" " if model.dummy_prefix else b""
+
+    def decode(self, ids: np.ndarray) -> str:
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self._starts[ids] - (ends - sizes), sizes) + np.arange(total)
+        return self._bytes[at].tobytes().removeprefix(self._lead).decode("utf-8", "replace")
+
+
 @lru_cache(maxsize=1)
-def _encoder(file: bytes) -> TextEncoder:
-    """One per Python worker: what it remembers serves all its tasks."""
-    return TextEncoder(parse(file))
+def _ready(file: bytes) -> tuple[TextEncoder, TextDecoder]:
+    """One pair per Python worker: what it remembers serves all its tasks."""
+    model = parse(file)
+    return TextEncoder(model), TextDecoder(model)
+
 
+def _lists(found: list[np.ndarray | None]) -> pa.ListArray:
+    sizes = [0 if ids is None else len(ids) for ids in found]
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    values = np.concatenate([ids for ids in found if ids is not None] or [np.empty(0, np.int32)])
+    missing = pa.array([ids is None for ids in found])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=missing)
 
-def _with_column(frame: DataFrame, column: str, data_type) -> StructType:
-    kept = [f for f in frame.schema.fields if not f.name.startswith("_in_")]
-    return StructType([*kept, StructField(column, data_type)])
 
+def _with_columns(frame: DataFrame, added: list[StructField]) -> StructType:
+    return StructType([*frame.schema.fields[:-1], *added])
 
-def encode(docs: DataFrame, model: Model, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the piece ids of the text."""
-    rest = [c for c in docs.columns if c != ids]
+
+def encode(
+    docs: DataFrame, model: Model, text: str = "text", ids: str = "ids", same: str | None = None
+) -> DataFrame:
+    """``docs`` with the piece ids of the text; ``same`` names a column for whether decoding
+    the ids gives the text again."""
+    added = [ids] if same is None else [ids, same]
+    rest = [c for c in docs.columns if c not in added]
     frame = docs.select(*rest, F.col(text).cast("string").alias("_in_text"))
+    fields = [StructField(ids, ArrayType(IntegerType())), StructField(same or "", BooleanType())]
     file = model.file
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(file)
+        encoder, decoder = _ready(file)
         for batch in batches:
             for part in pieces(batch, "_in_text", CHUNK_BYTES):
-                found = encoder.encode(part.column("_in_text").to_pylist())
-                made = pa.array(found, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=[*rest, ids])
-
-    return frame.mapInArrow(read, _with_column(frame, ids, ArrayType(IntegerType())))
+                texts = part.column("_in_text").to_pylist()
+                found = encoder.encode(texts)
+                columns = [*part.columns[:-1], _lists(found)]
+                if same is not None:
+                    columns.append(
+                        pa.array(
+                            [
+                                None if t is None else decoder.decode(i) == t
+                                for t, i in zip(texts, found, strict=True)
+                            ],
+                            pa.bool_(),
+                        )
+                    )
+                yield pa.RecordBatch.from_arrays(columns, names=[*rest, *added])
+
+    return frame.mapInArrow(read, _with_columns(frame, fields[: len(added)]))
 
 
 def decode(encoded: DataFrame, model: Model, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text that its ids stand for; an id outside the vocabulary fails."""
     rest = [c for c in encoded.columns if c != text]
     frame = encoded.select(*rest, F.col(ids).cast("array<int>").alias("_in_ids"))
-    table, lead = model.as_bytes, b" " if model.dummy_prefix else b""
+    file = model.file
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, decoder = _ready(file)
         for batch in batches:
-            texts = []
-            for cell in batch.column("_in_ids"):
-                if not cell.is_valid:
-                    texts.append(None)
-                    continue
-                data = b"".join(map(table.__getitem__, cell.values.to_pylist()))
-                texts.append(data.removeprefix(lead).decode("utf-8", "replace"))
+            texts = [
+                decoder.decode(cell.values.to_numpy(zero_copy_only=False)) if cell.is_valid else None
+                for cell in batch.column("_in_ids")
+            ]
             made = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*rest, text])
 
-    return frame.mapInArrow(read, _with_column(frame, text, StringType()))
+    return frame.mapInArrow(read, _with_columns(frame, [StructField(text, StringType())]))
