@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfold.llm import language, mixing, secrets, sentencepieces
+from spanfold.llm import language, mixing, near_duplicates, secrets, sentencepieces
 from spanfold.llm.common import remainder, table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
 from spanfold.sources.scratch import stored
@@ -58,6 +58,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "same_text")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     measured = docs.select("doc_id", "source", word_count(text_or_empty("text")).alias("_size"))
@@ -71,5 +75,6 @@ def queries() -> dict[str, Query]:
         "op1_language": op1_language,
         "op3_secrets": op3_secrets,
         "op4_sentencepiece": op4_sentencepiece,
+        "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
     }
