@@ -13,7 +13,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_word_hash, words), np.uint64, len(words))
 
 
-def _mixed(values: np.ndarray) -> np.ndarray:
+def mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     values = (values ^ (values >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return values ^ (values >> np.uint64(33))
@@ -27,7 +27,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     count = len(hashes) - size + 1
     found = np.zeros(count, np.uint64)
     for k in range(size):
-        found = _mixed(found * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + count] + np.uint64(1))
+        found = mixed(found * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + count] + np.uint64(1))
     return found
 
 
@@ -47,6 +47,6 @@ class MinHash:
             part = (grams[None, begin : begin + _COLUMNS] * self._factor + self._offset).min(axis=1)
             least = part if least is None else np.minimum(least, part)
         found = np.zeros(self._bands, np.uint64)
-        for row in _mixed(least).reshape(self._bands, self._rows).T:
-            found = _mixed(found + row)
+        for row in mixed(least).reshape(self._bands, self._rows).T:
+            found = mixed(found + row)
         return found.view(np.int64) | 1  # never 0, which stands for no bucket

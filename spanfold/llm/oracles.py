@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanfold.llm import secrets
+from spanfold.llm import secret_scan
 
 
 def _literal(text: str) -> str:
@@ -12,7 +12,7 @@ def _literal(text: str) -> str:
 def op3() -> str:
     """Matches and the gaps between them give positions."""
     parts = []
-    for order, rule in enumerate(secrets.RULES):
+    for order, rule in enumerate(secret_scan.RULES):
         value = (
             "regexp_extract(m, '^[^:=]*[:=] *[\"'']?(.*)$', 1, 's')" if rule.value_only else "m"
         )
@@ -23,9 +23,9 @@ def op3() -> str:
             f"list_transform(regexp_extract_all(t, {_literal(rule.pattern)}), lambda m: length({value})) AS sizes "
             "FROM texts"
         )
-    base = ", ".join(f"'{k}'" for k in secrets.BASE)
+    base = ", ".join(f"'{k}'" for k in secret_scan.BASE)
     counts = ", ".join(
-        f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secrets.BASE
+        f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in secret_scan.BASE
     )
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -46,7 +46,7 @@ per_doc AS (
          string_agg(s, ',' ORDER BY start, o) AS spans
   FROM shown GROUP BY doc_id
 )
-SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE)},
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secret_scan.BASE)},
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN per_doc USING (doc_id)
 """
@@ -92,5 +92,28 @@ FROM summed
 """
 
 
+OP9 = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+unit AS (SELECT vec_id, label, v, sqrt(list_inner_product(v, v)) AS size FROM sound),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM unit a JOIN unit b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.v) = len(b.v) AND list_inner_product(a.v, b.v) / a.size / b.size >= 0.98
+),
+reach AS (
+  SELECT vec_id AS u, vec_id AS w FROM embeddings
+  UNION SELECT reach.u, link.w FROM reach JOIN link ON reach.w = link.u
+),
+least AS (SELECT u, min(w) AS component_id FROM reach GROUP BY u),
+links AS (SELECT u, count(*) AS n FROM link GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN links ON vec_id = links.u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": op3(), "op8_mixing": OP8}
+    return {"op3_secrets": op3(), "op8_mixing": OP8, "op9_embeddings": OP9}

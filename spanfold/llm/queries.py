@@ -8,7 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanfold.llm import language, mixing, near_duplicates, secrets, sentencepieces
+from spanfold.llm import (
+    embeddings,
+    language,
+    mixing,
+    near_duplicates,
+    secret_scan,
+    sentencepieces,
+)
 from spanfold.llm.common import remainder, table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
 from spanfold.sources.scratch import stored
@@ -28,16 +35,16 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find(docs)
+    found = secret_scan.find(docs)
     spans = F.col("spans")
 
     def count(kind: str):
         return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select(
-        "doc_id", *map(count, secrets.BASE),
-        F.sha2(secrets.joined(spans, secrets.BASE), 256).alias("base_sha256"),
-        secrets.joined(spans).alias("spans"),
+        "doc_id", *map(count, secret_scan.BASE),
+        F.sha2(secret_scan.joined(spans, secret_scan.BASE), 256).alias("base_sha256"),
+        secret_scan.joined(spans).alias("spans"),
     )
 
 
@@ -70,6 +77,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -77,4 +88,5 @@ def queries() -> dict[str, Query]:
         "op4_sentencepiece": op4_sentencepiece,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
+        "op9_embeddings": op9_embeddings,
     }
