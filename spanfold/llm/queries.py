@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from spanfold.llm import (
     embeddings,
+    fingerprints,
     language,
     mixing,
     near_duplicates,
@@ -33,6 +34,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.find(docs)
@@ -84,6 +89,7 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
+        "op2_fingerprints": op2_fingerprints,
         "op3_secrets": op3_secrets,
         "op4_sentencepiece": op4_sentencepiece,
         "op7_jaccard_join": op7_jaccard_join,
