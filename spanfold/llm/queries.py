@@ -12,6 +12,7 @@ from spanfold.llm import (
     embeddings,
     fingerprints,
     language,
+    language_model,
     mixing,
     near_duplicates,
     secret_scan,
@@ -70,6 +71,13 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "same_text")
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 7) == 2
+    model = language_model.fit(docs.where(~held_out).select("text"))
+    return language_model.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -92,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op2_fingerprints": op2_fingerprints,
         "op3_secrets": op3_secrets,
         "op4_sentencepiece": op4_sentencepiece,
+        "op5_language_model": op5_language_model,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
         "op9_embeddings": op9_embeddings,
