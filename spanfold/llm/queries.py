@@ -15,6 +15,7 @@ from spanfold.llm import (
     language_model,
     mixing,
     near_duplicates,
+    personal_data,
     secret_scan,
     sentencepieces,
 )
@@ -78,6 +79,21 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, personal_data.fit(docs))
+    spans = F.col("base_spans")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, personal_data.BASE),
+        F.sha2(secret_scan.joined(spans), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -101,6 +117,7 @@ def queries() -> dict[str, Query]:
         "op3_secrets": op3_secrets,
         "op4_sentencepiece": op4_sentencepiece,
         "op5_language_model": op5_language_model,
+        "op6_personal_data": op6_personal_data,
         "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
         "op9_embeddings": op9_embeddings,
