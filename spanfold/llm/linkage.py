@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from spanfold.sources.scratch import stored
 
+MARKS = 1 << 20
 BLOCK_ITEMS = 1_024
 BLOCK_SIZE = 2_000_000
 
@@ -57,6 +58,17 @@ def choose_bands(agreement: float, recall: float, most_bands: int, most_rows: in
     raise ValueError(f"{most_bands} bands do not reach a recall of {recall}")
 
 
+def prefiltered(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Most rows whose value in ``column`` is not among the ``wanted`` ones fall away before
+    a join shuffles them. What is broadcast is a set of at most ``MARKS`` numbers; where it
+    is more than half full, it would not help, and all rows go on."""
+    mark = F.xxhash64(column).bitwiseAND(MARKS - 1)
+    marked = stored(wanted.select(mark.alias("_mark")).distinct(), "marks")
+    if marked.count() > MARKS // 2:
+        return rows
+    return rows.withColumn("_mark", mark).join(F.broadcast(marked), "_mark", "left_semi").drop("_mark")
+
+
 def shared_buckets(entries: DataFrame) -> DataFrame:
     """(item, places): per item the buckets it shares with others, each (band, key, blocks).
 
@@ -64,7 +76,8 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     """
     bucket = ["band", "key"]
     crowded = entries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*bucket)
-    members = stored(entries.join(crowded, bucket), "members")
+    crowded = stored(crowded, "crowded")
+    members = stored(prefiltered(entries, "key", crowded).join(crowded, bucket), "members")
     looks = members.groupBy(*bucket).agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes"),
         F.bit_xor(F.xxhash64("item")).alias("a"), F.bit_xor(F.xxhash64("item", F.lit(7))).alias("b"),
@@ -136,12 +149,15 @@ def _groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[pa.
 def _linked(table: pa.Table, verify: Verify) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     if table.num_rows < 2:
         return None
+    first = np.unique(table.column("item").to_numpy(), return_index=True)[1]
+    if len(first) < table.num_rows:  # a repeated row
+        table = table.take(pa.array(first))
     item = table.column("item").to_numpy()
     weight = table.column("weight").to_numpy()
     mine = table.column("mine").to_numpy()
     keys = np.array(table.column("keys").to_pylist(), np.int64)
     band, low, high = (int(table.column(c)[0].as_py()) for c in ("band", "low", "high"))
-    wanted = np.triu(np.ones((len(item), len(item)), bool), 1) & (item[:, None] != item[None, :])
+    wanted = np.triu(np.ones((len(item), len(item)), bool), 1)
     if low != high:  # within one block, another task looks
         wanted &= mine[:, None] != mine[None, :]
     for before in range(band):

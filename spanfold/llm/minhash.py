@@ -50,3 +50,12 @@ class MinHash:
         for row in mixed(least).reshape(self._bands, self._rows).T:
             found = mixed(found + row)
         return found.view(np.int64) | 1  # never 0, which stands for no bucket
+
+    def keys_of_parts(self, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """(parts, bands) keys of neighbouring parts of ``grams`` that begin at ``first``."""
+        found = np.zeros((len(first), self._bands), np.uint64)
+        for k in range(self._bands * self._rows):
+            least = np.minimum.reduceat(grams * self._factor[k] + self._offset[k], first)
+            band = k // self._rows
+            found[:, band] = mixed(found[:, band] + mixed(least))
+        return found.view(np.int64) | 1

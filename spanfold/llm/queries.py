@@ -15,6 +15,7 @@ from spanfold.llm import (
     language_model,
     mixing,
     near_duplicates,
+    passages,
     personal_data,
     secret_scan,
     sentencepieces,
@@ -110,6 +111,10 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -121,4 +126,5 @@ def queries() -> dict[str, Query]:
         "op7_jaccard_join": op7_jaccard_join,
         "op8_mixing": op8_mixing,
         "op9_embeddings": op9_embeddings,
+        "op10_repeated_passages": op10_repeated_passages,
     }
