@@ -97,10 +97,12 @@ def jaccard_join(
     classes = stored(classes, "classes")
     entries = classes.select("item", "size", F.posexplode("keys").alias("band", "key"))
     places = linkage.shared_buckets(entries)
-    meeting = stored(classes.select("item", "weight", "digest").join(places, "item"), "meeting")
-    placed = texts.join(meeting, texts.id == meeting.item).drop("id").dropDuplicates(["item", "digest"])
+    meeting = stored(classes.select("item", "weight").join(places, "item"), "meeting")
+    # few texts meet another: the rest is not shuffled
+    texts = linkage.prefiltered(texts.withColumnRenamed("id", "item"), "item", meeting)
     found = linkage.verified(
-        _with_grams(placed.drop("digest"), words), bands.bands, ["grams"], linkage.jaccard_links(threshold)
+        _with_grams(texts.join(meeting, "item"), words), bands.bands, ["grams"],
+        linkage.jaccard_links(threshold),
     )
     links, clusters = linkage.clustered(found)
     per_class = classes.select("digest", "item", "weight").join(links, "item", "left").join(
