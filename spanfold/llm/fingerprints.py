@@ -151,13 +151,13 @@ def with_next(
     at = F.aggregate(
         F.array(*map(F.lit, halves)), F.lit(0),
         lambda reached, step: F.when(
-            F.try_element_at(cuts, reached + step + 1) <= F.col(doc_id), reached + step
+            F.get(cuts, reached + step) <= F.col(doc_id), reached + step
         ).otherwise(reached),
     )
     spread = -1 - F.pmod(F.xxhash64(*columns), F.lit(ranges)).cast("int")
     placed = docs.withColumn("_range", F.when(F.col(doc_id).isNull(), spread).otherwise(at))
     before = F.pmod(F.col("_range") - 1, F.lit(max(1, len(bounds))))
-    opens = F.try_element_at(cuts, F.col("_range") + 1) == F.col(doc_id)
+    opens = F.coalesce(F.get(cuts, "_range") == F.col(doc_id), F.lit(False))
     here = F.struct(F.col("_range").alias("range"), F.lit(False).alias("copy"))
     there = F.struct(before.alias("range"), F.lit(True).alias("copy"))
     placed = placed.withColumn(

@@ -1,0 +1,20 @@
+import pytest
+from llm_cases import CLASHING, DOCUMENTS, EDGE_ROWS, SMALL
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    """Edge cases, with further columns whose names results use too."""
+    return spark.createDataFrame(EDGE_ROWS, DOCUMENTS).selectExpr(
+        "*", *(f"'old' AS {c}" for c in CLASHING)
+    )
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCUMENTS)
+
+
+@pytest.fixture(scope="session")
+def small_docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
