@@ -87,9 +87,9 @@ def mix(
     tie = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     if measured is None:
         measured = docs.withColumn("_size", word_count(text_or_empty(text)))
+    kept = [c for c in docs.columns if c not in RESULT]
     rows = measured.select(
-        *[c for c in docs.columns if c not in RESULT],
-        _source_key(source).alias("_key"), "_size", tie.alias("_tie"), F.substring(tie, 1, 3).alias("_part"),
+        F.struct(*kept).alias("_doc"), _source_key(source).alias("_key"), "_size", tie.alias("_tie"), F.substring(tie, 1, 3).alias("_part"),
         F.col(source).alias("_source"), F.col(doc_id).alias("_id"),
     )
     per_source = rows.groupBy("_key").agg(
@@ -124,7 +124,7 @@ def mix(
     # a shift is exact where a division would go through doubles
     crossed = F.shiftright(end, UNIT_BITS) - F.shiftright(end - F.col("_units"), UNIT_BITS)
     return rows.join(starts, group).withColumn("copies", crossed).select(
-        *[c for c in docs.columns if c not in RESULT],
+        *[F.col("_doc")[c].alias(c) for c in kept],
         F.col("_size").alias("size"), "source_size", "target", "copies",
         (F.col("copies") * F.col("_size")).alias("taken"),
     )
@@ -133,5 +133,6 @@ def mix(
 def emitted(mixed: DataFrame) -> DataFrame:
     """The mixed documents themselves, each as often as its copies say."""
     times = F.sequence(F.lit(1), F.col("copies").cast("int"))
-    taken = mixed.where(F.col("copies") > 0).withColumn("_copy", F.explode(times))
-    return taken.drop("_copy", *RESULT)
+    kept = [c for c in mixed.columns if c not in RESULT]
+    taken = mixed.where(F.col("copies") > 0)
+    return taken.select(F.struct(*kept).alias("doc"), F.explode(times)).select("doc.*")

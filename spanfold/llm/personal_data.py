@@ -301,6 +301,9 @@ def find(docs: DataFrame, judge: Judge, text: str = "text") -> DataFrame:
         named = F.when(c["base"] | ~c["labelled"], c["kind"]).otherwise(F.concat(c["kind"], F.lit("_like")))
         return F.struct(named.alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
 
+    def of_kind(spans: Column, kind: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
     def overlap(a: Column, b: Column) -> Column:
         return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
@@ -332,14 +335,7 @@ def find(docs: DataFrame, judge: Judge, text: str = "text") -> DataFrame:
 
         more = F.transform(_let(accepted, best), lambda j: shown(j["c"]))
         kept = F.transform(base, shown)
-        by_kind = F.flatten(
-            F.array(
-                *[
-                    F.array_sort(F.filter(more, lambda s, k=k: s["kind"] == k))
-                    for k in (f"{f}_like" for f in FAMILIES)
-                ]
-            )
-        )
+        by_kind = F.flatten(F.array(*[F.array_sort(of_kind(more, f"{f}_like")) for f in FAMILIES]))
         return F.struct(kept.alias("base"), F.concat(kept, by_kind).alias("all"))
 
     found = _let(_candidates(text_or_empty(text)), picked)

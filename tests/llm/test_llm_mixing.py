@@ -52,5 +52,5 @@ def test_edge_cases(edge_docs, no_docs):
     assert {r.taken for r in rows if r.size == 0} == {0}
     copies = sum(r.copies for r in rows)
     assert mixing.emitted(mixed).count() == copies
-    assert set(edge_docs.columns) - set(mixing.emitted(mixed).columns) <= {"size", "target", "copies"}
+    assert set(edge_docs.columns) - set(mixing.emitted(mixed).columns) == {"size", "target", "copies", "taken"}
     assert mixing.mix(no_docs).count() == 0

@@ -1,6 +1,7 @@
 import re
 
 from llm_cases import prose
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from spanfold.llm import personal_data
@@ -50,13 +51,16 @@ def test_base_spans_against_regular_expressions(spark, small_docs):
         assert row.spans == row.base_spans
 
 
-def test_trees_judge_other_proposals(spark):
+def telephone_docs(spark):
     rows = []
     for n in range(240):
         rows.append((n, f"{prose(n, 8)} please call +1 (9{n % 90 + 10}) 555-{1000 + n} {prose(n + 1, 5)}"))
         rows.append((1_000 + n, f"{prose(n, 6)} number +{n}{n}{n}x {prose(n + 2, 5)} +1.2.{n % 10}"))
-    docs = spark.createDataFrame(rows, ["doc_id", "text"])
-    judge = personal_data.fit(docs, precision=0.9)
+    return spark.createDataFrame(rows, ["doc_id", "text"])
+
+
+def test_trees_judge_other_proposals(spark):
+    judge = personal_data.fit(telephone_docs(spark), precision=0.9)
     assert judge.model is not None and "phone" in judge.thresholds
     ask = spark.createDataFrame([(1, "please call 917-555-1234 today"), (2, "nothing here")], ["doc_id", "text"])
     first, second = sorted(personal_data.find(ask, judge).collect(), key=lambda r: r.doc_id)
@@ -64,18 +68,15 @@ def test_trees_judge_other_proposals(spark):
     assert second.spans == []
 
 
-def test_expression_equals_the_model(spark, small_docs):
-    from pyspark.ml.functions import vector_to_array
-
-    judge = personal_data.fit(small_docs)
+def test_expression_equals_the_model(spark):
+    docs = telephone_docs(spark)
+    judge = personal_data.fit(docs)
     assert judge.model is not None
-    features = small_docs.select(F.explode(personal_data._candidates(F.col("text"))).alias("c")).select("c.features")
+    features = docs.select(F.explode(personal_data._candidates(F.col("text"))).alias("c")).select("c.features")
     vectors = features.select(
         F.array(*[F.col(f"features.{f}") for f in personal_data.FEATURES]).alias("list"),
         judge.score(F.col("features")).alias("mine"),
     )
-    from pyspark.ml.functions import array_to_vector
-
     scored = judge.model.transform(vectors.withColumn("vector", array_to_vector("list")))
     for row in scored.select("mine", F.element_at(vector_to_array("probability"), 2).alias("theirs")).collect():
         assert abs(row.mine - row.theirs) < 1e-9
