@@ -11,6 +11,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from datetime import datetime
 from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,12 +21,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 from spanfold.functions.clients import NO_CLIENT, client_ids, client_token  # noqa: E402
+from spanfold.functions.spans import time_span  # noqa: E402
 from spanfold.operators.hot import Limits, find_hot  # noqa: E402
 from spanfold.operators.islands import session_islands  # noqa: E402
 from spanfold.plans import diff, stats, summary, validation  # noqa: E402
+from spanfold.plans import job as batch  # noqa: E402
 from spanfold.sources import rows as source  # noqa: E402
 from spanfold.sources import sink  # noqa: E402
 from spanfold.sources.events_view import assignment_input, assignment_input_dense  # noqa: E402
+from spanfold.sources.job import JobParameters  # noqa: E402
 from spanfold.sources.scratch import fresh_path, stored  # noqa: E402
 
 
@@ -43,10 +47,16 @@ llm = _optional("spanfold.llm.queries")
 corpus_pipeline = _optional("corpus_pipeline")
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-WINDOW = ((0, 1), "2024-01-05", "2024-01-20")
+WINDOW = ((0, 1), datetime(2024, 1, 5), datetime(2024, 1, 20))
 # Below the size of most households and pairs here, so that the sliced operators run.
 SLICE_ALL = Limits(hot_rows=20, slice_rows=10)
 
+# One window inside a day, one over midnights.
+HOURLY_WINDOWS = {
+    "day": (datetime(2024, 1, 5, 6), datetime(2024, 1, 5, 12)),
+    "midnight": (datetime(2024, 1, 6, 20), datetime(2024, 1, 8, 5)),
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -103,6 +113,22 @@ def q01(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_rows(source.conform(rows, extra=("customer", "dt")))
 
 
+def q01_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in directories of their own; the files of one have a column more."""
+    base = fresh_path(spark, "customers")
+    rows = assignment_input(spark, sf_dir).drop("eventId")
+    for customer in (0, 1):
+        part = rows.where(F.col("customer") == customer).drop("customer")
+        if customer:
+            part = part.withColumn("origin", F.lit("late"))
+        part.write.parquet(f"{base}/customer={customer}")
+    found = source.read_paths(spark, base, [f"{base}/customer={c}" for c in (0, 1)])
+    return source.conform(found, extra=("customer", "dt", "origin")).select(
+        *_row_columns(), *_span(), "status", "version", "customer",
+        F.col("dt").cast("string").alias("dt"), "origin",
+    )
+
+
 def q02(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source.known_households(assignment_input(spark, sf_dir))
     return _show_rows(rows.where(source.in_window(*WINDOW)))
@@ -128,6 +154,59 @@ def q04(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_summary(sink.read_summary(spark, path))
 
 
+def _job(grain: str, window: tuple[datetime, datetime], base: str) -> JobParameters:
+    return JobParameters(
+        (0, 1), *window, grain_from=grain, base_dir=f"{base}/out/", input_dir=f"{base}/in/"
+    )
+
+
+def _write_layout(rows: DataFrame, path: str, *by: str) -> None:
+    rows.drop("eventId").hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+
+
+def q04_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job from its input layout to its output path."""
+    base = fresh_path(spark, "job")
+    _write_layout(assignment_input(spark, sf_dir), f"{base}/in/Daily", "customer", "dt")
+    job = _job("Daily", (datetime(2023, 1, 1), datetime(2026, 1, 1)), base)
+    batch.run(spark, job)
+    place = job.output_path.removeprefix(job.base_dir)
+    return _show_summary(sink.read_summary(spark, job.output_path)).withColumn("place", F.lit(place))
+
+
+def q25_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = fresh_path(spark, "job")
+    rows = assignment_input(spark, sf_dir)
+    ms = F.col("timeSpan.startTimeMs")
+    hour = F.pmod(F.floor(ms / F.lit(3_600_000)), F.lit(24)).cast("int")
+    _write_layout(rows.withColumn("hour", hour), f"{base}/in/Hourly", "customer", "dt", "hour")
+    found = []
+    for name, window in HOURLY_WINDOWS.items():
+        job = _job("Hourly", window, base)
+        batch.run(spark, job)
+        written = _show_summary(sink.read_summary(spark, job.output_path))
+        found.append(written.withColumn("window", F.lit(name)))
+    return found[0].unionByName(found[1])
+
+
+def q25_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without an ip, without a span, and with one that ends before it starts."""
+    base = fresh_path(spark, "job")
+    rows = assignment_input(spark, sf_dir)
+    event, span = F.col("eventId"), F.col("timeSpan")
+    start, end = span["startTimeMs"], span["endTimeMs"]
+    broken = rows.withColumns({
+        "ip": F.when(event % 11 != 0, F.col("ip")),
+        "timeSpan": F.when(event % 13 == 0, time_span(end + 1, start)).when(event % 17 != 0, span),
+    })
+    _write_layout(broken, f"{base}/in/Daily", "customer", "dt")
+    job = _job("Daily", (datetime(2023, 1, 1), datetime(2026, 1, 1)), base)
+    batch.run(spark, job)
+    return batch.read_rejects(spark, job).select(
+        "householdId", "ip", *_span(), "customer", F.col("dt").cast("string").alias("dt")
+    )
+
+
 # -- the roll-up ---------------------------------------------------------------
 
 
@@ -287,6 +366,16 @@ def q18_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.unknown_clients(known, _summary_of(rows)).select(*_row_columns())
 
 
+def q18_outside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary some rows of which were moved out of their households' extent."""
+    rows = assignment_input(spark, sf_dir)
+    start, end = F.col("timeSpan.startTimeMs"), F.col("timeSpan.endTimeMs")
+    moved = F.when(F.col("ip") == 1, time_span(start - 7_200_000, end)).otherwise(F.col("timeSpan"))
+    damaged = _summary_of(rows).withColumn("timeSpan", moved)
+    found = validation.spans_outside_household(stats.client_facts(rows), damaged)
+    return found.select("householdId", "ip", *_span(), "householdMinStart", "householdMaxEnd")
+
+
 def q19(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input_dense(spark, sf_dir)
     sides = stats.client_facts(rows), stats.client_facts(_without_some_ips(rows))
@@ -389,10 +478,12 @@ def _own_queries() -> dict[str, Query]:
     dense = assignment_input_dense
     return {
         "q01_scan_known_households": q01,
+        "q01_scan_merged_schema": q01_merged,
         "q02_scan_window": q02,
         "q02_scan_partitioned_layout": q02_partitioned,
         "q03_union_customers": q03,
         "q04_sink_roundtrip": q04,
+        "q04_job_output_path": q04_job,
         "q05_islands": _folded(summary.household_islands),
         "q05_islands_session": q05_session,
         "q05_islands_dense": _folded(summary.household_islands, view=dense),
@@ -424,6 +515,7 @@ def _own_queries() -> dict[str, Query]:
         "q18_interleaving_ips": _interleaving(assignment_input),
         "q18_interleaving_ips_dense": _interleaving(dense),
         "q18_unknown_clients": q18_unknown,
+        "q18_spans_outside_household": q18_outside,
         "q19_cross_customer_ip_cardinality": q19,
         "q19_client_ip_spread": q19_spread,
         "q20_validation_report": q20,
@@ -436,4 +528,6 @@ def _own_queries() -> dict[str, Query]:
         "q23_describe_summary": q23_summary,
         "q24_ordered_diff": _ordered(diff.ordered_diff),
         "q24_first_ordered_difference": _ordered(diff.first_ordered_difference),
+        "q25_job_hourly_window": q25_hourly,
+        "q25_job_rejects": q25_rejects,
     }

@@ -218,6 +218,9 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["q01_scan_known_households"] = query(ROWS)
+    sql["q01_scan_merged_schema"] = query(
+        ROWS.replace("\nFROM", ", CASE WHEN customer = 1 THEN 'late' END AS origin\nFROM")
+    )
     in_window = " WHERE customer IN (0, 1) AND dt >= DATE '2024-01-05' AND dt < DATE '2024-01-20'"
     sql["q02_scan_window"] = query(ROWS + in_window)
     sql["q02_scan_partitioned_layout"] = sql["q02_scan_window"]
@@ -225,6 +228,14 @@ def oracle_sql() -> dict[str, str]:
 
     for name in ("q04_sink_roundtrip", "q09_household_summary", "q09_household_summary_sliced"):
         sql[name] = summary()
+    place = (
+        "assignmentSummary/HouseholdByIpClientSummary/cust=0_1/tailored/"
+        "y=2023/dt=d2023_01_01_00_00_to_2026_01_01_00_00"
+    )
+    sql["q04_job_output_path"] = query(
+        SUMMARY.format(ids=text("clients")).replace(" FROM absorbed", f", '{place}' AS place FROM absorbed"),
+        stages("all_rows"),
+    )
     sql["q09_household_summary_dense"] = summary("dense")
     sql["q09_household_summary_dense_sliced"] = summary("dense")
 
@@ -325,6 +336,14 @@ WHERE NOT EXISTS (SELECT 1 FROM lost r WHERE r.hh = o.hh AND r.ip = o.ip AND r.c
         all_stages, LOST, view="dense",
     )
 
+    sql["q18_spans_outside_household"] = query(
+        """SELECT hh AS "householdId", ip, s - 7200000 AS "startMs", e AS "endMs",
+  lo AS "householdMinStart", hi AS "householdMaxEnd"
+FROM absorbed JOIN (SELECT hh, min(s) AS lo, max(e) AS hi FROM all_rows GROUP BY hh) b USING (hh)
+WHERE ip = 1 AND s - 7200000 < lo""",
+        all_stages,
+    )
+
     per_client = """
 per_client{n} AS (
   SELECT client, count(DISTINCT ip) AS ips, count(*) AS n FROM {rows} GROUP BY client
@@ -367,10 +386,11 @@ GROUP BY client HAVING min(ips) <> max(ips)""",
   UNION ALL SELECT 'unknown clients', 0, (SELECT count(*) FROM (
     SELECT hh, ip, unnest(clients) AS client FROM absorbed) o WHERE NOT EXISTS (
       SELECT 1 FROM all_rows r WHERE r.hh = o.hh AND r.ip = o.ip AND r.client = o.client))
-  UNION ALL SELECT 'spans outside household', 0, (SELECT count(*) FROM ip_stats
-    WHERE NOT (hh_lo <= lo AND hi <= hh_hi))
+  UNION ALL SELECT 'spans outside household', 0, (SELECT count(*) FROM absorbed o
+    LEFT JOIN (SELECT hh, min(s) AS lo, max(e) AS hi FROM all_rows GROUP BY hh) b ON b.hh = o.hh
+    WHERE NOT coalesce(b.lo <= o.s AND o.e <= b.hi, false))
 )""",
-        all_stages, COUNTS, hh, MISMATCHES, ip_stats("all_rows"),
+        all_stages, COUNTS, hh, MISMATCHES,
         """per_copy AS (
   SELECT customer, count(DISTINCT hh) AS hhs, count(DISTINCT ip) AS ips,
          count(DISTINCT client) AS clients FROM all_rows GROUP BY customer
@@ -407,10 +427,6 @@ UNION ALL SELECT 'actual', {keys} FROM (SELECT * FROM seen1 EXCEPT ALL SELECT *
         diff("d_inter", "interleaving", "l_interleaving", "hh, ip, s, e"),
     )
     hh_all = "hh, score, ips, lo, hi, in_spans, out_spans, in_clients, out_clients, in_n, out_n"
-    sql["q22_compare_runs"] = query(
-        comparison([("households", "d_hh"), ("interleaving", "d_inter"), ("summary", "d_summary")]),
-        *two_runs, diff("d_hh", "hh_both", "l_hh_both", hh_all), view="dense",
-    )
     count_rows = """
 {p}count_rows AS (
   SELECT 'Input' AS side, count(DISTINCT hh) AS hhs, count(DISTINCT ip) AS ips,
@@ -421,23 +437,43 @@ UNION ALL SELECT 'actual', {keys} FROM (SELECT * FROM seen1 EXCEPT ALL SELECT *
          (SELECT count(DISTINCT c) FROM (SELECT unnest(clients) AS c FROM {p}absorbed)), 0
   FROM {p}absorbed
 )"""
-    sql["q22_compare_statistics"] = query(
-        comparison([
-            ("counts", "d_counts"), ("households", "d_hh"), ("interleaving", "d_inter_stats"),
-            ("with empty clients", "d_empty"),
-        ]),
+    statistics_of = [
+        ("counts", "d_counts"), ("households", "d_hh_stats"), ("interleaving", "d_inter_stats"),
+        ("with empty clients", "d_empty"),
+    ]
+    compared = (
         *two_runs,
         count_rows.format(p="", rows="all_rows"), count_rows.format(p="l_", rows="lost"),
         diff("d_counts", "count_rows", "l_count_rows", "side, hhs, ips, clients, empties"),
         "hh_a AS (SELECT *, in_clients = out_clients AS same FROM hh_both)",
         "hh_b AS (SELECT *, in_clients = out_clients AS same FROM l_hh_both)",
-        diff("d_hh", "hh_a", "hh_b", "score, ips, lo, hi, in_spans, out_spans, same, in_n, out_n"),
+        diff("d_hh_stats", "hh_a", "hh_b", "score, ips, lo, hi, in_spans, out_spans, same, in_n, out_n"),
         f"stats_a AS ({statistics('interleaving')})",
         f"stats_b AS ({statistics('l_interleaving')})",
         diff("d_inter_stats", "stats_a", "stats_b", 'field, "count", mean, "min", "max"'),
         "empty_a AS (SELECT count(*) AS n FROM absorbed)",
         "empty_b AS (SELECT count(*) AS n FROM l_absorbed)",
         diff("d_empty", "empty_a", "empty_b", "n"),
+    )
+    sql["q22_compare_statistics"] = query(comparison(statistics_of), *compared, view="dense")
+    with_empty = """
+{p}empty_rows AS (
+  SELECT o.hh, o.ip, {ids} AS ids, x.lo, x.hi, x.empties, x.hh_lo, x.hh_hi, x.clients
+  FROM {p}absorbed o LEFT JOIN {p}ip_stats x ON x.hh = o.hh AND x.ip = o.ip AND x.empties <> 0
+)"""
+    sql["q22_compare_runs"] = query(
+        comparison([
+            *[(f"statistics of {name}", cte) for name, cte in statistics_of],
+            ("households", "d_hh"), ("interleaving", "d_inter"), ("summary", "d_summary"),
+            ("with empty clients", "d_empty_rows"),
+        ]),
+        *compared, diff("d_hh", "hh_both", "l_hh_both", hh_all),
+        ip_stats("all_rows"), ip_stats("lost", "l_"),
+        with_empty.format(p="", ids=text("o.clients")), with_empty.format(p="l_", ids=text("o.clients")),
+        diff(
+            "d_empty_rows", "empty_rows", "l_empty_rows",
+            "hh, ip, ids, lo, hi, empties, hh_lo, hh_hi, clients",
+        ),
         view="dense",
     )
 
@@ -462,4 +498,30 @@ FROM ordered a FULL JOIN l_ordered b ON a.position = b.position WHERE a.r IS DIS
     sql["q24_first_ordered_difference"] = query(
         ordered_diff + " ORDER BY 1 LIMIT 1", *positions, view="dense"
     )
+
+    hours = {
+        "day": ("2024-01-05 06:00", "2024-01-05 12:00"), "midnight": ("2024-01-06 20:00", "2024-01-08 05:00"),
+    }
+    sql["q25_job_hourly_window"] = query(
+        " UNION ALL ".join(
+            SUMMARY.format(ids=text("clients")).replace(
+                " FROM absorbed", f", '{w}' AS \"window\" FROM {w}_absorbed"
+            )
+            for w in hours
+        ),
+        *[
+            f"{w}_rows AS (SELECT * FROM all_rows WHERE s >= epoch_ms(TIMESTAMP '{a}') "
+            f"AND s < epoch_ms(TIMESTAMP '{b}'))"
+            for w, (a, b) in hours.items()
+        ],
+        *[stages(f"{w}_rows", f"{w}_") for w in hours],
+    )
+    sql["q25_job_rejects"] = """
+SELECT user_id::varchar AS "householdId", CASE WHEN event_id % 11 <> 0 THEN ip END AS ip,
+       CASE WHEN event_id % 13 = 0 THEN e + 1 WHEN event_id % 17 <> 0 THEN s END AS "startMs",
+       CASE WHEN event_id % 13 = 0 THEN s WHEN event_id % 17 <> 0 THEN e END AS "endMs",
+       (event_id % 2)::int AS customer, ts::date::varchar AS dt
+FROM (SELECT *, CASE WHEN event_id % 60 = 0 THEN 1 WHEN event_id % 60 = 1 THEN 2 ELSE 0 END AS ip,
+             epoch_us(ts) // 1000 AS s, epoch_us(ts) // 1000 + floor(value * 600000)::bigint AS e FROM events)
+WHERE user_id <> 0 AND (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0)"""
     return sql

@@ -29,8 +29,3 @@ def client_ids(tokens: Column) -> Column:
 def empty_only(tokens: Column) -> Column:
     """True when the set names no client; also true for the set without any id."""
     return ~F.exists(tokens, lambda t: t != NO_CLIENT)
-
-
-def union_of(tokens: str) -> Column:
-    """Aggregate: union of the token sets of a group."""
-    return F.array_distinct(F.flatten(F.collect_list(tokens)))

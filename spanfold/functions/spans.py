@@ -12,19 +12,10 @@ from pyspark.sql import functions as F
 DAY_MS = 86_400_000
 
 
-def overlaps(start: Column, end: Column, other_start: Column, other_end: Column) -> Column:
-    return (start <= other_end) & (other_start <= end)
-
-
 def covers(outer_start: Column, outer_end: Column, start: Column, end: Column) -> Column:
     return (outer_start <= start) & (end <= outer_end)
 
 
-def merged(start: Column, end: Column, other_start: Column, other_end: Column) -> Column:
-    """Smallest span holding both, also when there is a gap between them."""
-    return time_span(F.least(start, other_start), F.greatest(end, other_end))
-
-
 def time_span(start: Column, end: Column) -> Column:
     return F.struct(start.alias("startTimeMs"), end.alias("endTimeMs"))
 

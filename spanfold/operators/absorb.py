@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanfold.functions.clients import empty_only, union_of
+from spanfold.functions.clients import empty_only
 from spanfold.operators.hot import Step
 from spanfold.operators.islands import HOUSEHOLD, merged_spans
 from spanfold.sources.scratch import stored
@@ -35,16 +35,8 @@ def _target() -> Column:
 
 def absorb(runs: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     group = [*keys, "ip"]
-    return (
-        _named_from_here_on(runs, group)
-        .groupBy(*group, _target())
-        .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            union_of("clients").alias("clients"),
-        )
-        .drop("target")
-    )
+    counted = _named_from_here_on(runs, group).withColumn("target", _target())
+    return merged_spans(counted, [*group, "target"]).drop("target")
 
 
 def absorb_sliced(
@@ -63,7 +55,7 @@ def absorb_sliced(
         .withColumn("after", F.coalesce(F.sum("n").over(later_slices), F.lit(0)))
         .drop("n")
     )
-    counted = local.join(F.broadcast(carried), [*group, "slice"]).withColumn(
+    counted = local.join(carried, [*group, "slice"]).withColumn(
         "later", F.col("later") + F.col("after")
     )
     return merged_spans(counted.withColumn("target", _target()), [*group, "target"]).drop("target")

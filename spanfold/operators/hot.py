@@ -10,22 +10,14 @@ only chooses the plan.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.sources.scratch import stored
 
-# At most this many groups are sliced; the sketch finds every household above about
-# a 1/1000 share of the rows. Any other group is no larger than what one task of a
-# large cluster holds anyway. This also bounds what reaches the driver, the filter
-# literals and, with MAX_SLICES, the broadcast slice table (8 bytes per slice).
-HOT_KEYS = 1_000
-MAX_SLICES = 1_024
 SLICES_PER_BLOCK = 32
-SKETCH_ITEMS = 4_096
-SKETCH_MERGERS = 1_024
 TICK_MS = 10_000
 
 Step = Callable[[DataFrame], DataFrame]
@@ -42,52 +34,48 @@ class Limits:
 @dataclass(frozen=True)
 class Hot:
     """Hot households, and the (household, ip) pairs among their rows that are hot
-    by themselves; each with its slice table."""
+    by themselves; each with its slice table. All are written tables: nothing here
+    is bounded in number, and what is small is broadcast by the optimizer."""
 
-    households: tuple[str, ...] = ()
+    households: DataFrame | None = None
     household_slices: DataFrame | None = None
     pair_slices: DataFrame | None = None
+    rows: DataFrame | None = None
+    """The rows of hot households, of the frame they were looked for in."""
 
     @classmethod
     def of(cls, spans: DataFrame, given: Limits | Hot) -> Hot:
         """What was found before, or what there is to find."""
-        return given if isinstance(given, Hot) else find_hot(spans, given)
+        return replace(given, rows=None) if isinstance(given, Hot) else find_hot(spans, given)
 
     def by_household(self, df: DataFrame, plain: Step, sliced: Step) -> DataFrame:
-        if not self.households:
+        if self.households is None:
             return plain(df)
-        is_hot = F.col("householdId").isin(*self.households)
-        return plain(df.where(~is_hot)).unionByName(sliced(df.where(is_hot)))
+        on = ["householdId"]
+        of_hot = df.join(self.households, on, "left_semi") if self.rows is None else self.rows
+        return plain(df.join(self.households, on, "left_anti")).unionByName(sliced(of_hot))
 
     def by_pair(self, df: DataFrame, plain: Step, sliced: Step) -> DataFrame:
         if self.pair_slices is None:
             return plain(df)
-        pairs = F.broadcast(self.pair_slices.select("householdId", "ip"))
+        pairs = self.pair_slices.select("householdId", "ip")
         on = ["householdId", "ip"]
         return plain(df.join(pairs, on, "left_anti")).unionByName(
             sliced(df.join(pairs, on, "left_semi"))
         )
 
 
-def hot_households(rows: DataFrame, hot_rows: int) -> list[str]:
-    """Households with at least ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
+def group_sizes(rows: DataFrame) -> DataFrame:
+    """Rows per (household, ip), counted exactly; they combine before the shuffle."""
+    return rows.groupBy("householdId", "ip").agg(F.count(F.lit(1)).alias("n"))
 
-    One pass over the household column. Each task keeps a frequent-items sketch of
-    fixed size; sketches are merged in two levels, so that no task reads those of
-    all others. Nothing is shuffled per household.
-    """
-    per_task = rows.select("householdId", (F.spark_partition_id() % SKETCH_MERGERS).alias("merger"))
-    sketches = per_task.groupBy("merger").agg(
-        F.expr(f"approx_top_k_accumulate(householdId, {SKETCH_ITEMS})").alias("sketch")
-    )
-    # grouped by a constant, because the combining aggregate fails on no input at all
-    merged = sketches.groupBy(F.lit("all")).agg(
-        F.expr(
-            f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCH_ITEMS}), {HOT_KEYS})"
-        ).alias("top")
+
+def hot_households(sizes: DataFrame, hot_rows: int) -> DataFrame:
+    """Households with at least ``hot_rows`` rows, all of them."""
+    return (
+        sizes.groupBy("householdId").agg(F.sum("n").alias("n")).where(F.col("n") >= hot_rows)
+        .select("householdId")
     )
-    found = merged.first()
-    return [t["item"] for t in found["top"] if t["count"] >= hot_rows] if found else []
 
 
 def slice_table(spans: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame:
@@ -102,8 +90,7 @@ def slice_table(spans: DataFrame, group: Sequence[str], slice_rows: int) -> Data
     ).agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(*group)
     before = whole.orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
-    depth = F.greatest(F.lit(slice_rows), F.ceil(F.sum("n").over(whole) / F.lit(MAX_SLICES)))
-    number = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / depth)
+    number = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows)
     bounds = (
         ticks.withColumn("number", number)
         .groupBy(*group, "number")
@@ -126,39 +113,28 @@ def slicer(table: DataFrame, group: Sequence[str]) -> Step:
         inside = F.size(F.filter(F.get("blocks", block), lambda bound: bound <= start))
         number = F.coalesce(block * SLICES_PER_BLOCK + inside, F.lit(0))
         # left, so that a group the table does not know is one slice and not lost
-        return df.join(F.broadcast(table), list(group), "left").select(
+        return df.join(table, list(group), "left").select(
             *df.columns, number.alias("slice")
         )
 
     return add_slice
 
 
-def fixed_slicer(slice_ms: int) -> Step:
-    """Slices of one width, for data of a known time range."""
-    return lambda df: df.withColumn("slice", F.floor(F.col("start") / F.lit(slice_ms)))
-
-
 def find_hot(spans: DataFrame, limits: Limits) -> Hot:
-    """Look for hot households. For their pairs and slices, three columns of their
-    rows are written once; without hot households nothing more is read."""
-    households = hot_households(spans, limits.hot_rows)
-    if not households:
+    """Look for hot households: one pass over two columns. If there are any, their rows
+    are written once, and their pairs, slices and the roll-up read that table."""
+    sizes = stored(group_sizes(spans), "sizes")
+    households = stored(hot_households(sizes, limits.hot_rows), "hot-households")
+    if households.isEmpty():
         return Hot()
     pair = ["householdId", "ip"]
-    of_hot = spans.where(F.col("householdId").isin(*households)).select(*pair, "start")
-    rows = stored(of_hot, "hot-starts")
-    pairs = (
-        rows.groupBy(*pair)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= limits.hot_rows)
-        .orderBy(F.desc("n"), *pair)
-        .limit(HOT_KEYS)
-        .select(*pair)
-    )
-    rows_of_pairs = rows.join(F.broadcast(pairs), pair)
+    rows = stored(spans.join(households, "householdId", "left_semi"), "hot-rows")
+    pairs = sizes.where(F.col("n") >= limits.hot_rows).select(*pair)
+    rows_of_pairs = rows.join(pairs, pair, "left_semi")
     pair_slices = stored(slice_table(rows_of_pairs, pair, limits.slice_rows), "pair-slices")
     return Hot(
-        tuple(households),
+        households,
         stored(slice_table(rows, ["householdId"], limits.slice_rows), "household-slices"),
         None if pair_slices.isEmpty() else pair_slices,
+        rows,
     )

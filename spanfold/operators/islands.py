@@ -12,18 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanfold.functions.clients import union_of
 from spanfold.operators.hot import Step
 from spanfold.sources.scratch import stored
 
 HOUSEHOLD = ("householdId",)
 
 
-def _clients(spans: DataFrame) -> Column:
-    agg = F.collect_set("client") if "client" in spans.columns else union_of("clients")
-    return agg.alias("clients")
-
-
 def islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     """Window form. A span opens an island when it starts after everything
     before it has ended. Needs rows of a group in one task; adds no exchange to
@@ -35,13 +29,8 @@ def islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reach = F.max("end").over(before)
     opened = F.when(F.coalesce(F.col("start") > reach, F.lit(True)), F.col("start"))
-    return (
-        spans.withColumn("opened", opened)
-        .withColumn("island", F.max("opened").over(so_far))
-        .groupBy(*group, "island")
-        .agg(F.max("end").alias("end"), _clients(spans))
-        .select(*group, F.col("island").alias("start"), "end", "clients")
-    )
+    placed = spans.withColumn("opened", opened).withColumn("island", F.max("opened").over(so_far))
+    return merged_spans(placed, [*group, "island"]).drop("island")
 
 
 def islands_sliced(
@@ -51,10 +40,10 @@ def islands_sliced(
 
     Spans of equal start, which no slicing can part, are combined first. Islands are
     then built inside each slice and joined with what earlier slices reach: one
-    small row per slice, so at most HOT_KEYS * MAX_SLICES of them to broadcast.
+    small row per slice.
     """
     group = [*keys, "ip"]
-    starts = spans.groupBy(*group, "start").agg(F.max("end").alias("end"), _clients(spans))
+    starts = merged_spans(spans.withColumn("at", F.col("start")), [*group, "at"]).drop("at")
     local = stored(islands(add_slice(starts), [*keys, "slice"]), "sliced-islands")
 
     by_slice = Window.partitionBy(*group).orderBy("slice")
@@ -75,7 +64,7 @@ def islands_sliced(
         .select(*group, "slice", "reachBefore", "openBefore", "extended")
     )
     continues = F.coalesce(F.col("start") <= F.col("reachBefore"), F.lit(False))
-    placed = local.join(F.broadcast(carried), [*group, "slice"]).withColumn(
+    placed = local.join(carried, [*group, "slice"]).withColumn(
         "island", F.when(continues, F.col("openBefore")).otherwise(F.col("start"))
     )
     crosses = continues | F.col("start").eqNullSafe(F.col("extended"))
@@ -92,8 +81,9 @@ def merged_spans(parts: DataFrame, group: Sequence[str]) -> DataFrame:
     """One row per group: its full extent and the union of its clients. Works on
     single ids, which combine before the shuffle, so that a group of many parts is
     never more than its distinct ids in one place."""
+    client = F.col("client") if "client" in parts.columns else F.explode_outer("clients").alias("client")
     return (
-        parts.select(*group, "start", "end", F.explode_outer("clients").alias("client"))
+        parts.select(*group, "start", "end", client)
         .groupBy(*group)
         .agg(
             F.min("start").alias("start"),
@@ -116,7 +106,7 @@ def session_islands(spans: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFr
     length = F.concat((F.col("end") - F.col("start") + 1).cast("string"), F.lit(" milliseconds"))
     return (
         timed.groupBy(*keys, "ip", F.session_window("at", length).alias("session"))
-        .agg(_clients(spans))
+        .agg(F.collect_set("client").alias("clients"))
         .select(
             *keys,
             "ip",

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from spanfold.functions.clients import union_of
 from spanfold.operators.hot import Step
-from spanfold.operators.islands import HOUSEHOLD, stitched
+from spanfold.operators.islands import HOUSEHOLD, merged_spans, stitched
 from spanfold.sources.scratch import stored
 
 
@@ -39,7 +38,7 @@ def timeline_sliced(
         .drop("n")
     )
     return (
-        local.join(F.broadcast(offsets), [*keys, "slice"])
+        local.join(offsets, [*keys, "slice"])
         .withColumn("position", F.col("position") + F.col("before"))
         .drop("slice", "before")
     )
@@ -51,16 +50,8 @@ def runs(islands: DataFrame, keys: Sequence[str] = HOUSEHOLD) -> DataFrame:
     order = _chronological(keys)
     turn = F.when(F.lag("ip").over(order).eqNullSafe(F.col("ip")), 0).otherwise(1)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        islands.withColumn("turn", turn)
-        .withColumn("run", F.sum("turn").over(so_far))
-        .groupBy(*keys, "ip", "run")
-        .agg(
-            F.min("start").alias("start"),
-            F.max("end").alias("end"),
-            union_of("clients").alias("clients"),
-        )
-    )
+    numbered = islands.withColumn("turn", turn).withColumn("run", F.sum("turn").over(so_far))
+    return merged_spans(numbered, [*keys, "ip", "run"])
 
 
 def runs_sliced(
@@ -87,7 +78,7 @@ def runs_sliced(
     first, last = F.col("run") == 1, F.col("run") == F.col("n")
     crosses = (first & (F.col("continued") == 1)) | (last & (F.col("goesOn") == 1))
     placed = (
-        local.join(F.broadcast(carried), [*keys, "slice"])
+        local.join(carried, [*keys, "slice"])
         .withColumn("crosses", crosses)
         .withColumn("run", F.col("before") + F.col("run") - F.col("continued"))
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.plans.validation import ValidationRun
-from spanfold.sources.scratch import shared_dir
+from spanfold.sources.scratch import stored
 
 COPIES_PER_BLOCK = 10_000
 
@@ -86,10 +86,9 @@ def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     Rows are spread over ranges of the order and numbered inside each range;
     then each range is moved by what lies before it. Copies of one row get copy
     numbers first and count as part of the order, so even a row that makes up a
-    third of the data is spread over many ranges. The ranges are checkpointed:
+    third of the data is spread over many ranges. The numbered ranges are written once:
     they must not be drawn anew between numbering and moving.
     """
-    shared_dir(df.sparkSession)
     order = _total_order(df, order_by)
     key = [*order, "block", "copy"]
     numbered = (
@@ -99,17 +98,16 @@ def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         .withColumn("range", F.spark_partition_id())
         .withColumn("index", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
         .drop("block", "copy")
-        .checkpoint()
     )
-    # one row per range, so this one-task window and the broadcast are bounded by
-    # the number of shuffle partitions
+    numbered = stored(numbered, "numbered")
+    # one row per range, so this one-task window is bounded by the shuffle partitions
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         numbered.groupBy("range")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     )
-    return numbered.join(F.broadcast(offsets), "range").select(
+    return numbered.join(offsets, "range").select(
         (F.col("before") + F.col("index")).alias("position"), *df.columns
     )
 
@@ -138,6 +136,7 @@ def first_ordered_difference(
     """
     row = F.struct(*_total_order(expected, order_by))
     counted = _counted(expected, actual).select(row.alias("row"), "nExpected", "nActual")
+    counted = stored(counted, "counted")  # read twice
     least = counted.where("nExpected <> nActual").agg(F.min("row")).scalar()
 
     def row_there(mine: str, other: str) -> Column:
@@ -174,8 +173,12 @@ def compare_runs(expected: Mapping[str, DataFrame], actual: Mapping[str, DataFra
 
 
 def compare_exact(expected: ValidationRun, actual: ValidationRun) -> DataFrame:
-    """Two validation runs over the same keys: their results row by row."""
-    return compare_runs(expected.tables(), actual.tables())
+    """Two validation runs over the same keys: their statistics, then their results row by
+    row."""
+    statistics = compare_statistics(expected, actual).withColumn(
+        "table", F.concat(F.lit("statistics of "), "table")
+    )
+    return statistics.unionByName(compare_runs(expected.tables(), actual.tables()))
 
 
 def compare_statistics(expected: ValidationRun, actual: ValidationRun) -> DataFrame:

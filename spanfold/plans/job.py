@@ -1,28 +1,48 @@
-"""The batch job: read a window of rows, roll it up, write it; then check it."""
+"""The batch job: read a window of rows, roll it up, write it with what could not be rolled
+up; then check both."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanfold.plans.stats import client_facts, combined_facts
 from spanfold.plans.summary import LIMITS, Hot, Limits, household_summary
-from spanfold.plans.validation import ValidationRun, assert_valid
+from spanfold.plans.validation import (
+    ValidationRun,
+    raise_failed,
+    rejects_report,
+    validation_report,
+)
 from spanfold.sources.job import JobParameters
-from spanfold.sources.rows import read_window
+from spanfold.sources.rows import LAYOUT_SCHEMA, read_window, rejects
+from spanfold.sources.scratch import stored
 from spanfold.sources.sink import read_summary, write_summary
 
 
 def read(spark: SparkSession, job: JobParameters) -> DataFrame:
-    days = job.date_from.date().isoformat(), job.date_to.date().isoformat()
-    return read_window(spark, job.input_path, job.customer_ids, *days)
+    return read_window(
+        spark, job.input_path, job.customer_ids, job.date_from, job.date_to, job.grain_from
+    )
 
 
 def run(spark: SparkSession, job: JobParameters, hot: Limits | Hot = LIMITS) -> None:
-    write_summary(household_summary(read(spark, job), hot), job.output_path)
+    """Every row read is in the summary or among the rejects."""
+    rows = read(spark, job)
+    write_summary(household_summary(rows, hot), job.output_path)
+    rejects(rows).write.mode("overwrite").parquet(job.rejects_path)
+
+
+def read_rejects(spark: SparkSession, job: JobParameters) -> DataFrame:
+    return spark.read.schema(LAYOUT_SCHEMA).parquet(job.rejects_path)
 
 
 def validate(spark: SparkSession, job: JobParameters) -> ValidationRun:
-    """Check the written summary against its input; the results of the run when every
-    check holds."""
+    """Check what was written against its input; the results of the run when every check
+    holds. Both read one aggregation of the input."""
     rows, summary = read(spark, job), read_summary(spark, job.output_path)
-    assert_valid(rows, summary)
-    return ValidationRun.of(rows, summary)
+    facts = stored(client_facts(rows, "customer"), "facts")
+    report = validation_report(facts, summary).unionByName(
+        rejects_report(rejects(rows), read_rejects(spark, job))
+    )
+    raise_failed(report)
+    return ValidationRun.of(rows, summary, combined_facts(facts))

@@ -48,6 +48,11 @@ def client_facts(rows: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def combined_facts(facts: DataFrame) -> DataFrame:
+    """Facts without regard to what they were grouped by further."""
+    return facts.groupBy("householdId", "ip", "clientId").agg(F.sum("n").alias("n"), *_outer_bounds())
+
+
 def input_counts(facts: DataFrame, *by: str) -> DataFrame:
     """Distinct households, ips and clients, and rows without a client; per group
     when ``by`` is given."""
@@ -76,7 +81,7 @@ def overall_counts(facts: DataFrame, summary: DataFrame) -> DataFrame:
     return side("Input", input_counts(facts)).unionByName(side("Output", output_counts(summary)))
 
 
-def _client_sets(pairs: DataFrame, name: str) -> DataFrame:
+def client_sets(pairs: DataFrame, name: str) -> DataFrame:
     """Distinct first: it combines before the shuffle and spreads a large household
     over its ids, which collecting all rows into a set would not."""
     distinct = pairs.select("householdId", "clientId").distinct()
@@ -100,24 +105,32 @@ def household_output_totals(summary: DataFrame) -> DataFrame:
     )
 
 
-def household_input_stats(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Per household of the input: ips, rows, extent, spans and client set."""
-    n_spans = accepted(rows).groupBy("householdId").agg(
+def household_span_counts(rows: DataFrame) -> DataFrame:
+    return accepted(rows).groupBy("householdId").agg(
         F.count_distinct("timeSpan").alias("inputTimeSpanCount")
     )
-    clients = _client_sets(facts, "inputClientIds")
+
+
+def household_input_stats(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Per household of the input: ips, rows, extent, spans and client set."""
+    n_spans = household_span_counts(rows)
+    clients = client_sets(facts, "inputClientIds")
     return household_input_totals(facts).join(clients, "householdId").join(n_spans, "householdId")
 
 
+def no_client_ids() -> Column:
+    return _no_ids("array<array<int>>")
+
+
 def summary_clients(summary: DataFrame) -> DataFrame:
     return summary.select("householdId", "ip", F.explode("clientIds").alias("clientId"))
 
 
 def household_output_stats(summary: DataFrame) -> DataFrame:
-    clients = _client_sets(summary_clients(summary), "outputClientIds")
+    clients = client_sets(summary_clients(summary), "outputClientIds")
     named = household_output_totals(summary).join(clients, "householdId", "left")
     return named.withColumn(
-        "outputClientIds", F.coalesce("outputClientIds", _no_ids("array<array<int>>"))
+        "outputClientIds", F.coalesce("outputClientIds", no_client_ids())
     )
 
 

@@ -74,9 +74,9 @@ def fold(
         return df
 
     def sliced(df: DataFrame) -> DataFrame:
-        for stage in stages:
-            if stage.per_ip and hot.pair_slices is not None:
-                df = stored(df, "hot-households")  # read twice: hot pairs and other ips
+        for number, stage in enumerate(stages):
+            if number and stage.per_ip and hot.pair_slices is not None:
+                df = stored(df, "hot-steps")  # read twice: hot pairs and other ips
             df = stage.on_hot(df, hot, keys)
         return df
 

@@ -16,13 +16,14 @@ from spanfold.functions.spans import covers
 from spanfold.plans.stats import (
     client_facts,
     client_ip_counts,
-    household_input_stats,
+    client_sets,
     household_input_totals,
     household_ip_extents,
     household_ip_stats,
-    household_output_stats,
     household_output_totals,
+    household_span_counts,
     input_counts,
+    no_client_ids,
     output_counts,
     overall_counts,
     span_statistics,
@@ -42,11 +43,14 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
     """Households whose ip count and bounds agree on both sides, with a flag for
     their client sets and a score; ordered by score. Households that do not agree
     are absent here: see ``household_mismatches``."""
-    output = household_output_stats(summary)
-    n_households = output.agg(F.count(F.lit(1))).scalar()
-    both = household_input_stats(rows, facts).join(
-        output, ["householdId", "ipCount", "minStartTime", "maxEndTime"]
-    )
+    n_households = summary.agg(F.count_distinct("householdId")).scalar()
+    agree = ["ipCount", "minStartTime", "maxEndTime"]
+    # one key, so sides placed by household stay there; the client sets come last
+    both = _same_bounds(household_input_totals(facts), household_output_totals(summary), agree)
+    both = both.join(household_span_counts(rows), "householdId")
+    both = both.join(client_sets(facts, "inputClientIds"), "householdId")
+    both = both.join(client_sets(summary_clients(summary), "outputClientIds"), "householdId", "left")
+    both = both.withColumn("outputClientIds", F.coalesce("outputClientIds", no_client_ids()))
     return both.select(
         "householdId",
         (F.col("outputRecordCount") / n_households * F.col("ipCount")).alias(
@@ -65,6 +69,14 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
     ).orderBy("householdIdEncoding", "minStartTime")
 
 
+def _same_bounds(left: DataFrame, right: DataFrame, agree: list[str]) -> DataFrame:
+    other = right.withColumnsRenamed({c: f"{c}2" for c in agree})
+    both = left.join(other, "householdId")
+    for column in agree:
+        both = both.where(F.col(column) == F.col(f"{column}2"))
+    return both.drop(*[f"{c}2" for c in agree])
+
+
 def _client_differences(facts: DataFrame, summary: DataFrame) -> DataFrame:
     """Households with a client id that only one side has. Compares id by id, so
     that no client set has to be held in one place."""
@@ -126,12 +138,18 @@ def interleaving_ips(facts: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def spans_outside_household(facts: DataFrame) -> DataFrame:
+def spans_outside_household(facts: DataFrame, summary: DataFrame) -> DataFrame:
+    """Summary rows that reach beyond what the input shows of their household, or whose
+    household it does not show at all."""
+    bounds = facts.groupBy("householdId").agg(
+        F.min("minStartTime").alias("householdMinStart"), F.max("maxEndTime").alias("householdMaxEnd")
+    )
     inside = covers(
         F.col("householdMinStart"), F.col("householdMaxEnd"),
-        F.col("minStartTime"), F.col("maxEndTime"),
+        F.col("timeSpan.startTimeMs"), F.col("timeSpan.endTimeMs"),
     )
-    return household_ip_extents(facts).where(~inside)
+    rows = summary.select(*HOUSEHOLD_IP, "timeSpan").join(bounds, "householdId", "left")
+    return rows.where(~F.coalesce(inside, F.lit(False)))
 
 
 def unknown_clients(facts: DataFrame, summary: DataFrame) -> DataFrame:
@@ -212,7 +230,7 @@ def validation_report(facts: DataFrame, summary: DataFrame) -> DataFrame:
         "client ip counts": client_ip_spread(facts),
         "household mismatches": household_mismatches(facts, summary),
         "unknown clients": unknown_clients(facts, summary),
-        "spans outside household": spans_outside_household(facts),
+        "spans outside household": spans_outside_household(facts, summary),
     }.items():
         report = report.unionByName(_none_expected(name, errors))
     return report.withColumn("ok", F.col("expected") == F.col("actual"))
@@ -229,8 +247,8 @@ class ValidationRun:
     summary: DataFrame
 
     @classmethod
-    def of(cls, rows: DataFrame, summary: DataFrame) -> ValidationRun:
-        facts = stored(client_facts(rows), "facts")
+    def of(cls, rows: DataFrame, summary: DataFrame, facts: DataFrame | None = None) -> ValidationRun:
+        facts = stored(client_facts(rows) if facts is None else facts, "facts")
         return cls(
             overall_counts(facts, summary),
             household_consistency(rows, facts, summary),
@@ -244,6 +262,7 @@ class ValidationRun:
             "households": self.households,
             "interleaving": self.interleaving,
             "summary": self.summary,
+            "with empty clients": self.with_empty_clients,
         }
 
     def statistics(self) -> dict[str, DataFrame]:
@@ -261,11 +280,25 @@ def validate(rows: DataFrame, summary: DataFrame) -> DataFrame:
     return validation_report(stored(client_facts(rows, "customer"), "facts"), summary)
 
 
-def assert_valid(rows: DataFrame, summary: DataFrame) -> None:
-    """Run every check; fail with the ones that do not hold."""
+def rejects_report(found: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows the roll-up left out, and those written beside the summary."""
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias(name)).withColumn("check", F.lit("rejected rows"))
+
+    both = count(found, "expected").join(count(kept, "actual"), "check")
+    return both.select("check", "expected", "actual", (F.col("expected") == F.col("actual")).alias("ok"))
+
+
+def raise_failed(report: DataFrame) -> None:
     # bounded: one line per check
-    failed = validate(rows, summary).where(~F.col("ok")).collect()
+    failed = report.where(~F.col("ok")).collect()
     if failed:
         raise AssertionError(
             "; ".join(f"{r.check}: expected {r.expected}, found {r.actual}" for r in failed)
         )
+
+
+def assert_valid(rows: DataFrame, summary: DataFrame) -> None:
+    """Run every check; fail with the ones that do not hold."""
+    raise_failed(validate(rows, summary))

@@ -1,13 +1,14 @@
 """Reading assignment rows.
 
 On disk: parquet below one base directory, partitioned by ``customer`` and
-``dt``. Which customers and days to read are predicates on those columns, so
-Spark lists and opens only the matching directories.
+``dt``, rows of the hourly grain by ``hour`` as well. Which customers, days and hours to
+read are predicates on those columns, so Spark opens only the matching directories.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,8 @@ LAYOUT_SCHEMA = T.StructType(
     [*ROW_SCHEMA.fields, T.StructField("customer", T.IntegerType()), T.StructField("dt", T.DateType())]
 )
 
+HOURLY_SCHEMA = T.StructType([*LAYOUT_SCHEMA.fields, T.StructField("hour", T.IntegerType())])
+
 
 def conform(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Bind by name to the row schema: cast, order and drop everything else."""
@@ -52,22 +55,42 @@ def known_households(df: DataFrame) -> DataFrame:
     return df.where(F.col("householdId") != UNKNOWN_HOUSEHOLD)
 
 
-def in_window(customers: Sequence[int], day_from: str, day_to: str) -> Column:
-    """Rows of the customers from ``day_from`` up to, not including, ``day_to``."""
-    return (
-        F.col("customer").isin(*customers)
-        & (F.col("dt") >= F.lit(day_from).cast("date"))
-        & (F.col("dt") < F.lit(day_to).cast("date"))
-    )
+def utc(t: datetime) -> datetime:
+    """An aware instant in UTC; one without a zone is UTC already."""
+    return t if t.tzinfo is None else t.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def in_window(
+    customers: Sequence[int], start: datetime, end: datetime, grain: str = "Daily"
+) -> Column:
+    """Rows of the customers in all days (or hours) that the instants from ``start`` up
+    to, not including, ``end`` touch. Only partition columns are compared."""
+    start, end = utc(start), utc(end)
+    step = timedelta(hours=1) if grain == "Hourly" else timedelta(days=1)
+    first = start.replace(minute=0, second=0, microsecond=0)
+    last = (end - timedelta(microseconds=1)).replace(minute=0, second=0, microsecond=0)
+    if grain != "Hourly":
+        first, last = first.replace(hour=0), last.replace(hour=0)
+    if last < first:
+        last = first - step  # an empty window
+    day, wanted = F.col("dt"), F.col("customer").isin(*customers)
+    from_day, to_day = (F.lit(t.date()) for t in (first, last))
+    wanted &= (day >= from_day) & (day <= to_day)
+    if grain == "Hourly":
+        wanted &= (day > from_day) | (F.col("hour") >= first.hour)
+        wanted &= (day < to_day) | (F.col("hour") <= last.hour)
+    return wanted
 
 
 def read_window(
-    spark: SparkSession, base: str, customers: Sequence[int], day_from: str, day_to: str
+    spark: SparkSession, base: str, customers: Sequence[int], start: datetime, end: datetime,
+    grain: str = "Daily",
 ) -> DataFrame:
     """With the schema given, no file footer is opened to merge schemas: a column a
     file lacks is NULL."""
-    table = spark.read.schema(LAYOUT_SCHEMA).parquet(base)
-    rows = known_households(table.where(in_window(customers, day_from, day_to)))
+    layout = HOURLY_SCHEMA if grain == "Hourly" else LAYOUT_SCHEMA
+    table = spark.read.schema(layout).parquet(base)
+    rows = known_households(table.where(in_window(customers, start, end, grain)))
     return conform(rows, extra=("customer", "dt"))
 
 
@@ -91,7 +114,7 @@ def is_usable() -> Column:
 
 
 def rejects(rows: DataFrame) -> DataFrame:
-    """Rows the roll-up leaves out, to be kept by the caller."""
+    """Rows the roll-up leaves out; the job keeps them next to its summary."""
     return rows.where(~is_usable())
 
 

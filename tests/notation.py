@@ -6,6 +6,8 @@ one) and span in minutes. Client sets are written ``{1,2}``, ``{1,-}`` or ``{}``
 
 import re
 
+from pyspark.sql import functions as F
+
 from spanfold.functions.clients import NO_CLIENT
 from spanfold.operators.hot import Limits
 from spanfold.sources.rows import ROW_SCHEMA
@@ -72,3 +74,8 @@ def summary_rows(df):
 
 def expected_rows(parsed):
     return sorted((hh, ip, sorted(names), s, e) for hh, ip, names, s, e in parsed)
+
+
+def fixed_slicer(slice_ms):
+    """Slices of one width."""
+    return lambda df: df.withColumn("slice", F.floor(F.col("start") / F.lit(slice_ms)))

@@ -36,6 +36,22 @@ def test_run_and_validate(spark, job):
     assert results.households.count() == 2 and results.interleaving.count() == 2
 
 
+def test_rejected_rows_are_kept(spark, job):
+    day = f"{job.input_path}/customer=123/dt=2020-10-05"
+    bad = rows_frame(spark, parse("HH9 A:4[11,12] B:5[22,21] C:1[1,2]"))
+    bad = bad.withColumn("ip", F.when(F.col("ip") == 10, None).otherwise(F.col("ip")))
+    bad.write.parquet(day)
+    batch.run(spark, job)
+    kept = batch.read_rejects(spark, job).collect()
+    assert sorted((r.householdId, r.ip, str(r.dt)) for r in kept if r.ip) == [("HH9", 20, "2020-10-05")]
+    assert [r.ip for r in kept if r.ip is None] == [None]
+    batch.validate(spark, job)
+    batch.read_rejects(spark, job).limit(1).write.mode("overwrite").parquet(job.rejects_path + "x")
+    spark.read.parquet(job.rejects_path + "x").write.mode("overwrite").parquet(job.rejects_path)
+    with pytest.raises(AssertionError, match="rejected rows: expected 2, found 1"):
+        batch.validate(spark, job)
+
+
 def test_a_summary_of_other_rows_does_not_validate(spark, job):
     batch.run(spark, job)
     longer = JobParameters(

@@ -1,13 +1,13 @@
 """Single operators on the cases known for each."""
 
 import pytest
-from notation import PLAIN, SLICED, expected_rows, folded_frame, folded_rows, parse, rows_frame
+from notation import PLAIN, SLICED, expected_rows, fixed_slicer, folded_frame, folded_rows, parse, rows_frame
 from pyspark.sql import functions as F
 
 from spanfold.functions import clients as client_sets
 from spanfold.functions import spans as span_functions
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import Hot, Limits, find_hot, fixed_slicer, hot_households, slice_table, slicer
+from spanfold.operators.hot import Hot, Limits, find_hot, group_sizes, hot_households, slice_table, slicer
 from spanfold.plans.summary import household_timeline, merge_increment
 from spanfold.sources.rows import spans
 
@@ -141,19 +141,52 @@ def test_span_functions(spark):
         "s long, e long, os long, oe long, o boolean, c boolean",
     )
     cols = [F.col(c) for c in ("s", "e", "os", "oe")]
-    assert table.where(span_functions.overlaps(*cols) != F.col("o")).count() == 0
     assert table.where(span_functions.covers(*cols) != F.col("c")).count() == 0
-    merged = table.select(span_functions.merged(*cols).alias("m")).collect()[-1].m
-    assert (merged.startTimeMs, merged.endTimeMs) == (1, 7)
 
 
 def test_hot_households(spark):
     rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "big").otherwise(F.col("id").cast("string")).alias("householdId")
+        F.when(F.col("id") % 3 == 0, "big").otherwise(F.col("id").cast("string")).alias("householdId"),
+        (F.col("id") % 7).alias("ip"),
+    )
+
+    def found(rows, limit):
+        return [r.householdId for r in hot_households(group_sizes(rows), limit).collect()]
+
+    assert found(rows, 500) == ["big"]
+    assert found(rows, 5000) == []
+    assert found(rows.where("false"), 1) == []
+
+
+def test_every_hot_group_is_found(spark):
+    """200 large households among many ordinary ones; 1,500 hot households, all pairs hot."""
+    few = spark.range(200 * 60 + 3000).select(
+        F.when(F.col("id") < 200 * 60, F.concat(F.lit("big"), F.col("id") % 200))
+        .otherwise(F.col("id").cast("string")).alias("householdId"),
+        (F.col("id") % 3).cast("int").alias("ip"), (F.col("id") * 1000).alias("start"),
+    )
+    assert find_hot(few, Limits(hot_rows=60, slice_rows=20)).households.count() == 200
+    many = spark.range(1500 * 6).select(
+        (F.col("id") % 1500).cast("string").alias("householdId"),
+        F.lit(1).alias("ip"), (F.col("id") * 1000).alias("start"),
+    )
+    hot = find_hot(many, Limits(hot_rows=6, slice_rows=2))
+    assert hot.households.count() == 1500 and hot.pair_slices.count() == 1500
+    assert hot.rows.count() == 1500 * 6
+
+
+def test_client_sets_combine_before_they_are_collected(spark):
+    """A run of 100,000 islands of the same 50 clients."""
+    given = spark.range(100_000).select(
+        F.lit("h").alias("householdId"), F.lit(1).alias("ip"), (F.col("id") * 10).alias("start"),
+        (F.col("id") * 10 + 1).alias("end"),
+        F.transform(F.sequence(F.lit(0), F.lit(49)), lambda c: c.cast("string")).alias("clients"),
     )
-    assert hot_households(rows, 500) == ["big"]
-    assert hot_households(rows, 5000) == []
-    assert hot_households(rows.where("false"), 1) == []
+    merged = runs.runs(given)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set(client" in plan
+    (row,) = merged.collect()
+    assert (row.start, row.end, len(row.clients)) == (0, 999_991, 50)
 
 
 @pytest.mark.parametrize("n_slices", [5, 200])
@@ -180,7 +213,7 @@ def test_find_hot(spark):
     )
     assert find_hot(rows, Limits(hot_rows=5000)) == Hot()
     hot = find_hot(rows, Limits(hot_rows=900, slice_rows=100))
-    assert hot.households == ("big",) and hot.pair_slices is None
+    assert [r.householdId for r in hot.households.collect()] == ["big"] and hot.pair_slices is None
     hot = find_hot(rows, Limits(hot_rows=400, slice_rows=100))
     (pair,) = hot.pair_slices.collect()
     assert (pair.householdId, pair.ip) == ("big", 7)

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as driver
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+QUERIES = driver._own_queries()
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def canonical(columns, rows):
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     found = QUERIES[name](spark, SMALL)
-    result = duck.execute(driver.oracle_sql()[name])
+    result = duck.execute(driver.oracles.oracle_sql()[name])
     columns = [c[0] for c in result.description]
     assert sorted(found.columns) == sorted(columns)
     assert canonical(found.columns, map(tuple, found.collect())) == canonical(columns, result.fetchall())

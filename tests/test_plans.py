@@ -3,11 +3,10 @@
 import re
 
 import pytest
-from notation import PLAIN, SLICED, folded_frame, parse
+from notation import PLAIN, SLICED, fixed_slicer, folded_frame, parse
 
 import __spark_entry__ as driver
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import fixed_slicer
 from spanfold.plans import stats
 from spanfold.plans.summary import household_islands, household_summary
 from spanfold.sources.events_view import assignment_input
@@ -86,7 +85,7 @@ def test_facts_combine_before_their_shuffle(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver._own_queries()) == set(driver.oracles.oracle_sql())
 
 
 def test_entry(spark):

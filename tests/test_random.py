@@ -3,11 +3,10 @@
 import random
 
 import pytest
-from notation import PARTLY, PLAIN, SLICED, row, summary_rows
+from notation import PARTLY, PLAIN, SLICED, row, summary_rows, fixed_slicer
 from pyspark.sql import functions as F
 
 from spanfold.operators import islands
-from spanfold.operators.hot import fixed_slicer
 from spanfold.operators.islands import session_islands
 from spanfold.plans.summary import absorbed_runs, household_islands, household_runs, household_summary
 from spanfold.sources.rows import ROW_SCHEMA, spans
