@@ -156,7 +156,7 @@ def test_accepted_parameters(grain_from):
         ({"grain_to": "Hourly"}, "grain_to"),
         ({"date_to": at(1, 2018)}, "not after"),
         ({"date_to": at(1)}, "not after"),
-        ({"customer_ids": ()}, "customer-ids"),
+        ({"customer_ids": ()}, "no customer ids"),
     ],
 )
 def test_refused_parameters(changes, message):
