@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from spanfold.sources.scratch import stored
 
-MARKS = 1 << 20
+MARKS = 1 << 26
+PAGE_BITS = 15
+PAGE = 1 << PAGE_BITS
 BLOCK_ITEMS = 1_024
 BLOCK_SIZE = 2_000_000
 
@@ -58,15 +60,29 @@ def choose_bands(agreement: float, recall: float, most_bands: int, most_rows: in
     raise ValueError(f"{most_bands} bands do not reach a recall of {recall}")
 
 
+def mark(*columns: Column | str) -> Column:
+    """A hash folded onto the bits of a bitmap of fixed size."""
+    return F.xxhash64(*columns).bitwiseAND(MARKS - 1)
+
+
+def bitmaps(marks: DataFrame, column: str) -> DataFrame:
+    """(page, bits): the marks that occur, 4 KB a page, 8 MB in all at most."""
+    return marks.groupBy(F.shiftright(column, PAGE_BITS).alias("_page")).agg(
+        F.bitmap_construct_agg(F.col(column).bitwiseAND(PAGE - 1)).alias("_bits")
+    )
+
+
 def prefiltered(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     """Most rows whose value in ``column`` is not among the ``wanted`` ones fall away before
-    a join shuffles them. What is broadcast is a set of at most ``MARKS`` numbers; where it
-    is more than half full, it would not help, and all rows go on."""
-    mark = F.xxhash64(column).bitwiseAND(MARKS - 1)
-    marked = stored(wanted.select(mark.alias("_mark")).distinct(), "marks")
-    if marked.count() > MARKS // 2:
-        return rows
-    return rows.withColumn("_mark", mark).join(F.broadcast(marked), "_mark", "left_semi").drop("_mark")
+    a join shuffles them. What is broadcast is a bitmap of fixed size; the fuller it is, the
+    more rows go on to the join, which decides."""
+    pages = stored(bitmaps(wanted.select(mark(column).alias("_mark")), "_mark"), "marks")
+    at = F.col("_mark").bitwiseAND(PAGE - 1)
+    byte = F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), at.bitwiseAND(7).cast("int"))
+    marked = rows.withColumn("_mark", mark(column)).withColumn("_page", F.shiftright("_mark", PAGE_BITS))
+    found = marked.join(F.broadcast(pages), "_page").where(bit == 1)
+    return found.select(*rows.columns)
 
 
 def shared_buckets(entries: DataFrame) -> DataFrame:

@@ -151,16 +151,20 @@ def _occurrences(texts: DataFrame, bands: linkage.Bands) -> DataFrame:
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(item, grams) of the wanted items and some others, possibly repeated."""
-    marked = wanted.select(F.col("item").bitwiseAND(linkage.MARKS - 1).alias("mark")).distinct()
-    # at most MARKS numbers
-    some = np.zeros(linkage.MARKS, bool)
-    some[marked.toPandas()["mark"].to_numpy(int)] = True
+    # a paragraph's number is a hash, so its last bits are its mark
+    pages = linkage.bitmaps(
+        wanted.select(F.col("item").bitwiseAND(linkage.MARKS - 1).alias("mark")), "mark"
+    )
+    bits = np.zeros(linkage.MARKS // 8, np.uint8)
+    for page in pages.toLocalIterator():
+        begin = page["_page"] * linkage.PAGE // 8
+        bits[begin : begin + linkage.PAGE // 8] = np.frombuffer(page["_bits"], np.uint8)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _chunks(batches):
-            items = np.flatnonzero(
-                some[found.item & (linkage.MARKS - 1)] & (found.n_words - WORDS + 1 >= LEAST_SHINGLES)
-            )
+            mark = found.item & (linkage.MARKS - 1)
+            marked = (bits[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 > 0
+            items = np.flatnonzero(marked & (found.n_words - WORDS + 1 >= LEAST_SHINGLES))
             items = items[np.unique(found.item[items], return_index=True)[1]]
             sets = [
                 np.unique(found.grams[b : b + n]).view(np.int64)

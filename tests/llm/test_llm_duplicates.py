@@ -96,10 +96,12 @@ def test_components_of_chains_and_stars(spark):
 
 def test_prefilter_loses_nothing(spark, monkeypatch):
     rows, wanted = spark.range(1_000).toDF("key"), spark.range(0, 1_000, 7).toDF("key")
-    for marks in (1 << 4, 1 << 12):
+    for marks in (1 << 4, 1 << 16, 1 << 26):
         monkeypatch.setattr(linkage, "MARKS", marks)
         kept = linkage.prefiltered(rows, "key", wanted)
+        assert kept.columns == ["key"]
         assert kept.join(wanted, "key").count() == wanted.count()
+    assert kept.count() == wanted.count()
 
 
 def test_estimates_are_unbiased_and_bounded():
