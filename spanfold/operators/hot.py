@@ -65,16 +65,12 @@ class Hot:
         )
 
 
-def group_sizes(rows: DataFrame) -> DataFrame:
-    """Rows per (household, ip), counted exactly; they combine before the shuffle."""
-    return rows.groupBy("householdId", "ip").agg(F.count(F.lit(1)).alias("n"))
-
-
-def hot_households(sizes: DataFrame, hot_rows: int) -> DataFrame:
-    """Households with at least ``hot_rows`` rows, all of them."""
+def hot_groups(rows: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
+    """Groups with at least ``hot_rows`` rows, all of them. Rows are counted exactly, and
+    combine before the shuffle."""
     return (
-        sizes.groupBy("householdId").agg(F.sum("n").alias("n")).where(F.col("n") >= hot_rows)
-        .select("householdId")
+        rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_rows)
+        .select(*group)
     )
 
 
@@ -121,20 +117,18 @@ def slicer(table: DataFrame, group: Sequence[str]) -> Step:
 
 
 def find_hot(spans: DataFrame, limits: Limits) -> Hot:
-    """Look for hot households: one pass over two columns. If there are any, their rows
+    """Look for hot households: one pass over one column. If there are any, their rows
     are written once, and their pairs, slices and the roll-up read that table."""
-    sizes = stored(group_sizes(spans), "sizes")
-    households = stored(hot_households(sizes, limits.hot_rows), "hot-households")
+    household, pair = ["householdId"], ["householdId", "ip"]
+    households = stored(hot_groups(spans, household, limits.hot_rows), "hot-households")
     if households.isEmpty():
         return Hot()
-    pair = ["householdId", "ip"]
-    rows = stored(spans.join(households, "householdId", "left_semi"), "hot-rows")
-    pairs = sizes.where(F.col("n") >= limits.hot_rows).select(*pair)
-    rows_of_pairs = rows.join(pairs, pair, "left_semi")
+    rows = stored(spans.join(households, household, "left_semi"), "hot-rows")
+    rows_of_pairs = rows.join(hot_groups(rows, pair, limits.hot_rows), pair, "left_semi")
     pair_slices = stored(slice_table(rows_of_pairs, pair, limits.slice_rows), "pair-slices")
     return Hot(
         households,
-        stored(slice_table(rows, ["householdId"], limits.slice_rows), "household-slices"),
+        stored(slice_table(rows, household, limits.slice_rows), "household-slices"),
         None if pair_slices.isEmpty() else pair_slices,
         rows,
     )

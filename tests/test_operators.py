@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spanfold.functions import clients as client_sets
 from spanfold.functions import spans as span_functions
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import Hot, Limits, find_hot, group_sizes, hot_households, slice_table, slicer
+from spanfold.operators.hot import Hot, Limits, find_hot, hot_groups, slice_table, slicer
 from spanfold.plans.summary import household_timeline, merge_increment
 from spanfold.sources.rows import spans
 
@@ -151,7 +151,7 @@ def test_hot_households(spark):
     )
 
     def found(rows, limit):
-        return [r.householdId for r in hot_households(group_sizes(rows), limit).collect()]
+        return [r.householdId for r in hot_groups(rows, ["householdId"], limit).collect()]
 
     assert found(rows, 500) == ["big"]
     assert found(rows, 5000) == []
