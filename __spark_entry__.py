@@ -238,6 +238,14 @@ def _merge(limits: Limits) -> Query:
     return run
 
 
+def q10_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An increment of the rows of few households; the others pass through."""
+    rows = assignment_input(spark, sf_dir)
+    few = (F.col("customer") == 1) & F.col("householdId").endswith("3")
+    old = stored(summary.household_islands(rows.where(~few)), "islands")
+    return _show_folded(summary.merge_increment(old, summary.household_islands(rows.where(few))))
+
+
 def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source.known_households(assignment_input(spark, sf_dir))
     return rows.select(*_row_columns(), F.col("dt").cast("string").alias("dt")).dropDuplicates()
@@ -503,6 +511,7 @@ def _own_queries() -> dict[str, Query]:
         "q09_household_summary_dense_sliced": _summary(view=dense, hot=SLICE_ALL),
         "q10_merge_increment": _merge(summary.LIMITS),
         "q10_merge_increment_sliced": _merge(SLICE_ALL),
+        "q10_merge_increment_of_few": q10_few,
         "q11_distinct_rows": q11,
         "q12_rollup_by_grain": q12,
         "q13_overall_counts": q13,

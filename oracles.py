@@ -241,7 +241,7 @@ def oracle_sql() -> dict[str, str]:
 
     for name in (
         "q05_islands", "q05_islands_session", "q05_islands_sliced", "q10_merge_increment",
-        "q10_merge_increment_sliced",
+        "q10_merge_increment_sliced", "q10_merge_increment_of_few",
     ):
         sql[name] = folded("islands")
     sql["q05_islands_dense"] = folded("islands", view="dense")

@@ -121,10 +121,16 @@ def household_summary(rows: DataFrame, hot: Limits | Hot = LIMITS) -> DataFrame:
 def merge_increment(
     existing: DataFrame, increment: DataFrame, hot: Limits | Hot = LIMITS
 ) -> DataFrame:
-    """Islands of an increment folded into existing islands. A full re-coalesce, so
-    no overlap is left whatever order increments arrive in."""
-    both = existing.unionByName(increment)
-    return ISLANDS.on_hot(both, Hot.of(both, hot))
+    """Islands of an increment folded into existing islands, which do not overlap each
+    other where the increment has nothing to say. Only the (household, ip) pairs that it
+    touches are coalesced anew, fully, so no overlap is left whatever order increments
+    arrive in; all others pass through unsorted."""
+    on = list(HOUSEHOLD_IP)
+    pairs = increment.select(*on).distinct()
+    touched = existing.join(pairs, on, "left_semi").unionByName(increment)
+    rest = existing.join(pairs, on, "left_anti")
+    coalesced = ISLANDS.on_hot(touched, Hot.of(touched, hot))
+    return coalesced.unionByName(rest.select(*coalesced.columns))
 
 
 def period_of(grain: str) -> Column:

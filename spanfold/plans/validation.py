@@ -70,10 +70,12 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
 
 
 def _same_bounds(left: DataFrame, right: DataFrame, agree: list[str]) -> DataFrame:
+    """Joined by household alone. As two inequalities, the further conditions do not
+    become join keys, which both sides would have to be shuffled by anew."""
     other = right.withColumnsRenamed({c: f"{c}2" for c in agree})
     both = left.join(other, "householdId")
     for column in agree:
-        both = both.where(F.col(column) == F.col(f"{column}2"))
+        both = both.where((F.col(column) <= F.col(f"{column}2")) & (F.col(column) >= F.col(f"{column}2")))
     return both.drop(*[f"{c}2" for c in agree])
 
 

@@ -22,8 +22,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/spanfold-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application. Frames that still read one of
+    them can be used no more, so this is for the owner of a run, at its end."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -7,9 +7,10 @@ from notation import PLAIN, SLICED, fixed_slicer, folded_frame, parse
 
 import __spark_entry__ as driver
 from spanfold.operators import absorb, islands, runs
-from spanfold.plans import stats
-from spanfold.plans.summary import household_islands, household_summary
+from spanfold.plans import stats, validation
+from spanfold.plans.summary import household_islands, household_summary, merge_increment
 from spanfold.sources.events_view import assignment_input
+from spanfold.sources.scratch import stored
 
 SMALL = "/root/testdata/sf0.001"
 MINUTES = fixed_slicer(60_000)
@@ -78,6 +79,30 @@ def test_scan_reads_only_what_the_roll_up_needs(spark):
     assert "IsNotNull(user_id)" in plan
 
 
+def test_an_increment_leaves_other_groups_unsorted(spark, tmp_path):
+    islands_of = folded_frame(spark, parse("A:{1}[1,2] A:{2}[5,6] B:{}[9,9]"))
+    islands_of.write.parquet(f"{tmp_path}/islands")
+    existing = spark.read.parquet(f"{tmp_path}/islands")
+    merged = merge_increment(existing, folded_frame(spark, parse("A:{3}[2,4]")), PLAIN)
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    passed = plan[plan.index("LeftAnti"):]
+    assert "Window" in plan and not re.search("Window|Aggregate.*collect", passed)
+    assert merged.count() == 3
+
+
+def test_one_key_joins_the_sides_of_a_household(spark):
+    rows = assignment_input(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = stored(stats.client_facts(rows), "facts")
+        summary = stored(household_summary(rows, PLAIN), "summary")
+        plan = plan_of(validation.household_consistency(rows, facts, summary))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"hashpartitioning\([^)]*ipCount", plan)
+    assert len(re.findall("Exchange hash", plan)) <= 13
+
+
 def test_facts_combine_before_their_shuffle(spark):
     plan = plan_of(stats.client_facts(assignment_input(spark, SMALL)))
     before_shuffle = plan[plan.index("Exchange"):]

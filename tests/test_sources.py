@@ -9,7 +9,7 @@ from spanfold.sources.job import JobParameters
 from spanfold.sources.rows import (
     ROW_SCHEMA, conform, in_window, read_paths, read_window, union_customers,
 )
-from spanfold.sources.scratch import stored
+from spanfold.sources.scratch import drop_scratch, stored
 from spanfold.sources.sink import SUMMARY_SCHEMA, read_summary, write_summary
 from spanfold.streaming.islands import stream_islands
 
@@ -195,3 +195,13 @@ def test_stream_emits_closed_islands(spark, tmp_path):
     assert minutes[:1] == [(10, 1, 9, ["1", "2"])]
     assert (10, 20, 21, ["3"]) in minutes and (20, 2, 2, ["1"]) in minutes
     assert all(start < 2000 for _, start, _, _ in minutes)
+
+
+def test_the_owner_of_a_run_drops_its_tables(spark):
+    kept = stored(spark.range(3), "numbers")
+    assert kept.count() == 3
+    path = kept.inputFiles()[0]
+    drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
+    assert stored(spark.range(2), "numbers").count() == 2
