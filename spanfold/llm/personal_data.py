@@ -247,6 +247,7 @@ def fit(
     rows = docs.select(text_or_empty(text).alias("_text"))
     share = min(1.0, sample_docs / max(1, rows.count()))
     sample = rows.where(F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = sample.dropDuplicates(["_text"])  # copies are no further evidence
     labelled = sample.select(
         (F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(2)) == 0).alias("held_out"),
         F.explode(_candidates(F.col("_text"))).alias("c"),
@@ -289,7 +290,8 @@ def _calibrated(model: GBTClassificationModel, rows: DataFrame, precision: float
         right = n = 0.0
         for row in sorted((b for b in bins if b["of"] == family), key=lambda b: -b["bin"]):
             right, n = right + row["right"], n + row["n"]
-            if right / n >= precision:
+            # one more of each kind, so that a few lucky ones do not set a threshold
+            if (right + 1) / (n + 2) >= precision:
                 found[family] = row["bin"] / BINS
     return found
 
