@@ -45,8 +45,8 @@ from spanfold.llm.common import pieces
 
 MARK = "▁"
 CHUNK_BYTES = 4 << 20
-REMEMBERED_WORDS = 400_000
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_WORDS = 200_000
+REMEMBERED_PAIRS = 300_000
 _UNIGRAM, _BPE = 1, 2
 SHORT = (2, 1)
 
