@@ -197,7 +197,8 @@ def repeated_passages(
     items = stored(items, "items")
     entries = items.where("keys is not null").select("item", "size", F.posexplode("keys").alias("band", "key"))
     places = stored(linkage.shared_buckets(entries), "places")
-    sets = _sets(texts, places.select("item"))
+    # an item comes from every chunk that it stands in; one copy of its set goes on
+    sets = _sets(texts, places.select("item")).groupBy("item").agg(F.first("grams").alias("grams"))
     placed = places.join(sets, "item").withColumn("weight", F.lit(1).cast("long"))
     pairs = linkage.verified(placed, bands.bands, ["grams"], linkage.jaccard_links(threshold))
     _, clusters = linkage.clustered(pairs)

@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_cases import DOCUMENTS, prose
+from llm_cases import DOCUMENTS, WORDS, prose
 from pyspark.sql import functions as F
 
 from spanfold.llm import embeddings, linkage, near_duplicates, passages
@@ -209,3 +209,16 @@ def test_passage_edge_cases(spark, edge_docs, no_docs):
     assert all(not r.removed for r in found if r.doc_id == 4)
     assert passages.repeated_passages(no_docs).count() == 0
     assert DOCUMENTS.fieldNames()[0] == "doc_id"
+
+
+def test_one_copy_of_a_set_is_verified(spark, monkeypatch):
+    rows = [(n, f"{sentences(n, 2)} {' '.join(WORDS[:12])} {n % 3}.") for n in range(40)]
+    seen, verified = [], linkage.verified
+
+    def watched(placed, *rest):
+        seen.extend(r["item"] for r in placed.select("item").collect())
+        return verified(placed, *rest)
+
+    monkeypatch.setattr(linkage, "verified", watched)
+    passages.repeated_passages(spark.createDataFrame(rows, ["doc_id", "text"]).repartition(8))
+    assert len(seen) == len(set(seen)) > 0
