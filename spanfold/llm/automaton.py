@@ -122,6 +122,16 @@ def reverse(tree):
     return ("rep", reverse(tree[1]), *tree[2:]) if kind == "rep" else tree
 
 
+def beginning(tree):
+    """``tree`` without what may be missing at its end: it matches from the same starts."""
+    if tree[0] != "seq":
+        return tree
+    parts = list(tree[1])
+    while parts and parts[-1][0] == "rep" and parts[-1][2] == 0:
+        parts.pop()
+    return ("seq", parts)
+
+
 class _Nondeterministic:
     def __init__(self) -> None:
         self.free: list[list[int]] = []  # steps that read nothing
@@ -246,7 +256,7 @@ class Compiled:
 def compile_rules(patterns: tuple[str, ...]) -> Compiled:
     trees = [parse(p) for p in patterns]
     return Compiled(
-        determine([reverse(t) for t in trees], anywhere=True),
+        determine([reverse(beginning(t)) for t in trees], anywhere=True),
         tuple(determine([t], anywhere=False) for t in trees),
     )
 

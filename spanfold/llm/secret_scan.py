@@ -55,6 +55,15 @@ class Rule:
     value_only: bool = False
 
 
+# What follows a key's first line: two header lines of encrypted keys, then everything up to
+# the last line; without that (a key cut short) runs of 16 or more and one shorter run.
+# Line ends may be spelled out, blanks or quotes.
+_GAP = r"""([\x09-\x0d\x20"'>]|\\[nrt])"""
+_PEM_REST = (
+    rf"(({_GAP}*(Proc-Type|DEK-Info):\x20*[A-Za-z0-9,-]+)*"
+    rf"(({_GAP}|[A-Za-z0-9+/=])*-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|({_GAP}*[A-Za-z0-9+/=]{{16,}})+({_GAP}+[A-Za-z0-9+/=]+)?))?"
+)
 # Three base rules, whose spans are agreed, and formats of well-known keys.
 BASE = ("assign", "access", "hex")
 RULES = (
@@ -73,7 +82,7 @@ RULES = (
     Rule("stripe", "[rs]k_(live|test)_[A-Za-z0-9]+", least=18),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=20),
     Rule("bearer", any_case("bearer") + r"\x20+[A-Za-z0-9._~+/=-]+", least=23),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----" + _PEM_REST),
     Rule("url_password", r"[a-z]+://[^\x00-\x20/:@]+:[^\x00-\x20/@]+@"),
 )
 

@@ -55,3 +55,32 @@ def test_edge_cases(edge_docs, no_docs):
     assert same.columns == edge_docs.columns
     assert same.exceptAll(edge_docs).count() == 0 and edge_docs.exceptAll(same).count() == 0
     assert secret_scan.find(no_docs).count() == 0
+
+
+def test_private_keys_go_as_a_whole(spark):
+    body = ["MIIEpAIBAAKCAQEA" + "b3Blbn+/" * 6, "NhAAAAAwEAAQAAAQ" + "Q2zL9x" * 8, "c2hvcnQ="]
+    header = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123ABCD", ""]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = {}
+    for n, gap in enumerate(["\n", "\r\n", " ", "\\n", '"\n  "']):
+        texts[10 * n] = (f"é {gap.join([begin, *body, end])} after", "é [SECRET] after")
+        texts[10 * n + 1] = (f"é {gap.join([begin, *body])}, after", "é [SECRET], after")
+        texts[10 * n + 2] = (f"{gap.join([begin, *body[:2]])[:-5]}", "[SECRET]")
+    texts[100] = ("\n".join([begin, *header, *body, end, begin, "c2hvcnQ=", end]), "[SECRET]\n[SECRET]")
+    texts[101] = (f"a line {begin} opens it", "a line [SECRET] opens it")
+    docs = spark.createDataFrame([(n, t) for n, (t, _) in texts.items()], ["doc_id", "text"])
+    assert {r.doc_id: r.text for r in secret_scan.redact(docs).collect()} == {n: t for n, (_, t) in texts.items()}
+    spans = {r.doc_id: r.spans for r in secret_scan.find(docs).collect()}
+    assert all(("pem", t.index(begin)) == (spans[n][0].kind, spans[n][0].start) for n, (t, _) in texts.items())
+
+
+def test_keys_equal_regular_expressions():
+    patterns = tuple(r.pattern for r in RULES if r.kind == "pem")
+    scanner = automaton.Scanner(automaton.compile_rules(patterns))
+    chance = random.Random(2)
+    parts = ["-----BEGIN ", "PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"]
+    parts += ["A1+/" * 4, "abc=", "\n", " ", "\\n", '"', "-", ".", "Proc-Type: 4,ENCRYPTED"]
+    for _ in range(2_000):
+        text = "".join(chance.choice(parts) for _ in range(chance.randint(0, 14))).encode()
+        plain = [(0, m.start(), m.end()) for m in re.finditer(patterns[0].encode(), text)]
+        assert scanner.spans(text) == plain, text
