@@ -222,3 +222,30 @@ def test_one_copy_of_a_set_is_verified(spark, monkeypatch):
     monkeypatch.setattr(linkage, "verified", watched)
     passages.repeated_passages(spark.createDataFrame(rows, ["doc_id", "text"]).repartition(8))
     assert len(seen) == len(set(seen)) > 0
+
+
+def test_unpunctuated_passages_are_found_to_the_word(spark):
+    def words(seed, n):
+        chance = random.Random(seed)
+        return " ".join(f"w{chance.randrange(10**7)}" for _ in range(n))
+
+    rows, shared = [], {}
+    for n, size in enumerate(range(30, 101, 2)):
+        shared[n] = words(n, size)
+        for copy in (0, 1):
+            begin, end = words((n, copy, 1).__repr__(), 70 + n), words((n, copy, 2).__repr__(), 90)
+            rows.append((2 * n + copy, f"é {begin} {shared[n]} {end}"))
+    rows.append((1_000, words("short", 29)))
+    rows.append((1_001, f"{words('other', 50)} {words('short', 29)}"))
+    docs = spark.createDataFrame(rows, ["doc_id", "text"])
+    found = passages.repeated_passages(docs).collect()
+    texts = dict(rows)
+    assert sorted(r.doc_id for r in found) == list(range(2 * len(shared)))
+    exact = 0
+    for r in found:
+        passage, body = shared[r.doc_id // 2], texts[r.doc_id][r.start : r.end]
+        # a paragraph at a border may be alike and not the same
+        assert passage in body and r.n_words == len(body.split()) <= 1.25 * len(passage.split())
+        assert r.removed == (r.doc_id % 2 == 1) and r.kept_doc_id == r.doc_id // 2 * 2
+        exact += passage == body
+    assert exact >= 0.9 * len(found)
