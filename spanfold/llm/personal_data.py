@@ -7,7 +7,7 @@ boosted trees on its format (length, digits, groups) and context (characters aro
 words before it). The trees learn from a bounded sample of documents, where the checks
 label the base formats: a match that passes is personal, one that fails is not; the
 checks themselves are no features. Per family of formats, the threshold is the lowest score
-above which the held-out half of the sample is right often enough. Proposals that overlap
+above which the held-out half of all documents is right often enough. Proposals that overlap
 a base span or a better one are left out.
 
 The trees become one SQL expression, evaluated where the text is; nothing is shuffled.
@@ -243,29 +243,27 @@ def _tree(node, features: Column) -> Column:
 def fit(
     docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION
 ) -> Judge:
-    """Learn from about ``sample_docs`` documents, picked by a hash of the text."""
+    """Learn the trees from half of about ``sample_docs`` documents, picked by a hash of the
+    text, and the thresholds from half of all documents."""
     rows = docs.select(text_or_empty(text).alias("_text"))
     share = min(1.0, sample_docs / max(1, rows.count()))
-    sample = rows.where(F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    held_out = F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(2)) == 0
+    sample = rows.where((F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) < int(share * 1_000_000)) & ~held_out)
     sample = sample.dropDuplicates(["_text"])  # copies are no further evidence
-    labelled = sample.select(
-        (F.pmod(F.xxhash64("_text", F.lit(1)), F.lit(2)) == 0).alias("held_out"),
-        F.explode(_candidates(F.col("_text"))).alias("c"),
-    ).where("c.labelled").select(
-        "held_out", "c.family", F.col("c.base").cast("double").alias("label"), "c.features.*",
-        F.col("c.family").alias("of"),
+    labelled = sample.select(F.explode(_candidates(F.col("_text"))).alias("c")).where("c.labelled").select(
+        "c.family", F.col("c.base").cast("double").alias("label"), "c.features.*", F.col("c.family").alias("of"),
     )
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(
         labelled.drop("family").withColumn("family", _family_number(F.col("of")))
-    ).select("held_out", "of", "label", "vector").cache()
+    ).select("label", "vector").cache()
     try:
-        seen = {r["label"] for r in vectors.where(~F.col("held_out")).select("label").distinct().collect()}
+        seen = {r["label"] for r in vectors.select("label").distinct().collect()}
         if seen != {0.0, 1.0}:
             return Judge(None, {})
         model = GBTClassifier(
             featuresCol="vector", labelCol="label", maxIter=10, maxDepth=3, stepSize=0.3, seed=1
-        ).fit(vectors.where(~F.col("held_out")))
-        return Judge(model, _calibrated(model, vectors.where("held_out"), precision))
+        ).fit(vectors)
+        return Judge(model, _calibrated(model, rows.where(held_out), precision))
     finally:
         vectors.unpersist()
 
@@ -278,13 +276,18 @@ def _family_number(family: Column) -> Column:
 
 
 def _calibrated(model: GBTClassificationModel, rows: DataFrame, precision: float) -> dict[str, float]:
-    from pyspark.ml.functions import vector_to_array
-
-    chance = F.element_at(vector_to_array("probability"), 2)
+    """Thresholds from the labelled candidates of all ``rows``."""
+    score = Judge(model, {}).score(F.col("c.features"))
+    # one row per candidate of a text, so that copies are no further evidence
+    scored = rows.select(
+        F.xxhash64("_text").alias("text"),
+        F.explode(F.filter(_candidates(F.col("_text")), lambda c: c["labelled"])).alias("c"),
+    ).select(
+        "text", F.col("c.family").alias("of"), F.col("c.start").alias("start"),
+        F.col("c.base").cast("double").alias("label"), F.floor(score * BINS).alias("bin"),
+    ).dropDuplicates(["text", "of", "start"])
     # families x BINS rows
-    bins = model.transform(rows).groupBy("of", F.floor(chance * BINS).alias("bin")).agg(
-        F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")
-    ).collect()
+    bins = scored.groupBy("of", "bin").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()
     found = {}
     for family in FAMILIES:
         right = n = 0.0

@@ -90,3 +90,14 @@ def test_edge_cases(edge_docs, no_docs):
     assert {len(r.spans) for r in found.collect()} == {0}
     assert personal_data.fit(no_docs).model is None
     assert personal_data.find(no_docs, judge).count() == 0
+
+
+def test_thresholds_come_from_all_documents(spark):
+    docs = telephone_docs(spark)
+    small = personal_data.fit(docs, sample_docs=60)  # its half has fewer than 18 of a family
+    assert small.model is not None and "phone" in small.thresholds
+    copies = docs.unionByName(docs).unionByName(docs)
+    judge = personal_data.fit(docs, precision=0.9)
+    assert personal_data._calibrated(judge.model, copies.selectExpr("text AS _text"), 0.9) == (
+        personal_data._calibrated(judge.model, docs.selectExpr("text AS _text"), 0.9)
+    )
