@@ -115,5 +115,95 @@ FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN links ON vec_id = links
 """
 
 
+OP11 = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), sized AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY t) < doc_id AS again
+  FROM texts
+), judged AS (
+  SELECT part, doc_id, [
+    len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words),
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(again, false)] AS fails
+  FROM sized
+), marked AS (
+  SELECT part, fails, EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = j.doc_id AND quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = j.doc_id AND toxic = 1) AS toxic
+  FROM judged j
+), combined AS (
+  SELECT part, fails, good, toxic, count(*) AS n FROM marked GROUP BY ALL
+), orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(f) WHERE NOT contains(o, f)
+), steps AS (
+  SELECT o AS filter_order, step, list_transform(generate_series(1, step), lambda i: ascii(o[i]) - 64) AS filters
+  FROM orders, generate_series(1, 5) AS g(step) WHERE length(o) = 5
+), seen AS (
+  SELECT part, filter_order, step, filters[step] AS f, n, good, toxic, fails[filters[step]] AS bad,
+         list_bool_or(list_transform(filters[1:step - 1], lambda i: fails[i])) AS gone,
+         len(list_filter(fails, lambda x: x)) AS n_fails
+  FROM combined, steps
+), counted AS (
+  SELECT part, filter_order, step, f,
+         CAST(coalesce(sum(n) FILTER (WHERE NOT bad AND NOT coalesce(gone, false)), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (WHERE bad AND NOT coalesce(gone, false)), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (WHERE bad AND gone), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (WHERE bad AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n) FILTER (WHERE bad AND good AND NOT coalesce(gone, false)), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n) FILTER (WHERE bad AND toxic AND NOT coalesce(gone, false)), 0) AS BIGINT) AS toxic_lost
+  FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost,
+       toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+OP12 = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), firsts AS (SELECT digest, min(page_id) AS least FROM payloads WHERE n >= 100 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN least <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN least <> page_id THEN least END AS refers_to
+FROM payloads LEFT JOIN firsts USING (digest)
+"""
+
+
+OP13 = r"""
+WITH doc_words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents WHERE text IS NOT NULL
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE text IS NOT NULL
+), sizes AS (SELECT doc_id, count(*) AS n FROM doc_words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM doc_words SEMI JOIN item_terms USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, totals GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf
+         + 8 * (100 - 90 + ((90 * n * docs) // words))))) AS BIGINT) AS score
+  FROM item_terms JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": op3(), "op8_mixing": OP8, "op9_embeddings": OP9}
+    return {
+        "op3_secrets": op3(), "op8_mixing": OP8, "op9_embeddings": OP9, "op11_filter_audit": OP11,
+        "op12_warc": OP12, "op13_lexical_search": OP13,
+    }

@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 
 from spanfold.llm import (
     embeddings,
+    filter_audit,
     fingerprints,
     language,
     language_model,
+    lexical_search,
     mixing,
     near_duplicates,
     passages,
     personal_data,
     secret_scan,
     sentencepieces,
+    warc,
 )
 from spanfold.llm.common import remainder, table, text_or_empty, word_count
 from spanfold.llm.oracles import oracle_sql  # noqa: F401
-from spanfold.sources.scratch import stored
+from spanfold.sources.scratch import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +118,22 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Through files: archives of one gzip stream, normalised, read back by their index."""
+    written = warc.write(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    records = warc.read(warc.normalise(written))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build(table(spark, sf_dir, "documents"), fresh_path(spark, "lexical-index"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language": op1_language,
@@ -127,4 +146,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_embeddings": op9_embeddings,
         "op10_repeated_passages": op10_repeated_passages,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_warc": op12_warc,
+        "op13_lexical_search": op13_lexical_search,
     }

@@ -31,5 +31,5 @@ def test_against_sql(spark, duck, name):
     assert canonical(found.columns, map(tuple, found.collect())) == canonical(columns, result.fetchall())
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
