@@ -46,7 +46,7 @@ MOST_LANGUAGES = 500
 BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = 3
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 BLOCK = 1 << 19
 
 # Where scripts lie in Unicode, first and last code point.

@@ -45,7 +45,7 @@ from spanfold.llm.common import text_or_empty
 from spanfold.sources.scratch import stored
 
 TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BLOCK = 128
 STRETCH = 1_024
 BEST = 10

@@ -9,8 +9,9 @@ stratified one, so the words taken come close to the target.
 Sums are whole numbers of 1 / 2**24 copies: exact, and equal in every rerun.
 
 No task sees a source as a whole. The order is cut into groups (source, size, first three
-hex digits of the md5), sums per group are added up on the aggregated rows, and only rows
-within one group are sorted together.
+hex digits of the md5), documents per group are added up on the aggregated rows (bands of
+sizes, sizes in a band, parts of a size), and only rows within one group are sorted together.
+What a source's documents expect is joined last, from a written table of one row per source.
 
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
 a source of size 0 has target 0 and is not taken; repeated rows are rows of their own; a
@@ -26,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.llm.common import text_or_empty, word_count
+from spanfold.sources.scratch import stored
 
 UNIT_BITS = 24
 UNIT = 1 << UNIT_BITS
+BAND_BITS = 6
 RESULT = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -103,27 +106,32 @@ def mix(
         "_offset",
         F.conv(F.substring(F.md5(F.concat(F.lit(seed), "_key").cast("binary")), 1, 6), 16, 10).cast("long"),
     )
+    goals = stored(goals, "goals")  # a row per source; its size is known where it is joined
     group = ["_key", "_size", "_part"]
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).join(goals, "_key")
-    groups = counts.withColumn("_sum", F.col("_n") * F.col("_units"))
-    by_size = Window.partitionBy("_key").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = groups.groupBy("_key", "_size").agg(F.sum("_sum").alias("_sum")).select(
-        "_key", "_size", _sum(F.col("_sum"), by_size).alias("_smaller")
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    # documents before each size, by way of bands of sizes, so that no task orders a source's sizes
+    band = F.shiftright("_size", BAND_BITS).alias("_band")
+    sizes = counts.groupBy("_key", band, "_size").agg(F.sum("_n").alias("_n"))
+    bands = sizes.groupBy("_key", "_band").agg(F.sum("_n").alias("_n"))
+
+    def before(counted: DataFrame, by: Sequence[str], along: str, name: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+        return counted.select(*by, along, _sum(F.col("_n"), earlier).alias(name))
+
+    starts = (
+        before(counts.withColumn("_band", band), ["_key", "_band", "_size"], "_part", "_in_size")
+        .join(before(sizes, ["_key", "_band"], "_size", "_in_band"), ["_key", "_band", "_size"])
+        .join(before(bands, ["_key"], "_band", "_smaller"), ["_key", "_band"])
+        .select(*group, (F.col("_smaller") + F.col("_in_band") + F.col("_in_size")).alias("_before"))
     )
-    by_part = Window.partitionBy("_key", "_size").orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = groups.join(sizes, ["_key", "_size"]).select(
-        *group, "source_size", "target", "_units",
-        (F.col("_offset") + F.col("_smaller") + _sum(F.col("_sum"), by_part)).alias("_start"),
-    )
-    within = Window.partitionBy(*group).orderBy("_tie", "_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    end = F.col("_start") + F.sum("_units").over(within)
+    within = Window.partitionBy(*group).orderBy("_tie", "_id")
+    # all documents of a source expect equally many copies, so their sum follows from the rank
+    rank = F.col("_before") + F.row_number().over(within)
+    ranked = rows.join(starts, group).withColumn("_rank", rank).join(goals, "_key")
+    end = F.col("_offset") + F.col("_rank") * F.col("_units")
     # a shift is exact where a division would go through doubles
     crossed = F.shiftright(end, UNIT_BITS) - F.shiftright(end - F.col("_units"), UNIT_BITS)
-    return rows.join(starts, group).withColumn("copies", crossed).select(
+    return ranked.withColumn("copies", crossed).select(
         *[F.col("_doc")[c].alias(c) for c in kept],
         F.col("_size").alias("size"), "source_size", "target", "copies",
         (F.col("copies") * F.col("_size")).alias("taken"),

@@ -27,6 +27,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,12 @@ from pyspark.sql.types import (
 from spanfold.llm.common import pieces
 
 MARK = "▁"
-CHUNK_BYTES = 4 << 20
-REMEMBERED_WORDS = 200_000
-REMEMBERED_PAIRS = 300_000
+CHUNK_BYTES = 1 << 20
+# what a worker remembers from chunk to chunk
+REMEMBERED_BYTES = 24 << 20
+REMEMBERED_PAIRS = 200_000
+_WORD_BYTES = 200  # of a short word and its ids, about
+_LONG_WORD = 64
 _UNIGRAM, _BPE = 1, 2
 SHORT = (2, 1)
 
@@ -177,18 +181,34 @@ class WordEncoder:
         return found
 
     def _merged(self, word: str) -> list[str]:
-        """Merge neighbours, the best rank first and the leftmost of equals."""
-        ids, scores = self._model.ids, self._model.scores
-        parts = list(word)
-        while True:
-            best, at = None, -1
-            for n in range(len(parts) - 1):
-                piece = ids.get(parts[n] + parts[n + 1])
-                if piece is not None and (best is None or scores[piece] > best):
-                    best, at = scores[piece], n
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        """Merge neighbours, the best rank first and the leftmost of equals. Pairs wait in a
+        heap; one whose parts have changed since is passed over. n log n for n characters."""
+        find, scores = self._model.ids.get, self._model.scores
+        parts: list[str] = list(word)
+        following = [*range(1, len(parts)), -1]
+        before = [*range(-1, len(parts) - 1)]
+        pairs = [
+            (-scores[piece], at, 2) for at in range(len(parts) - 1)
+            if (piece := find(word[at : at + 2])) is not None
+        ]
+        heapify(pairs)
+        while pairs:
+            _, at, size = heappop(pairs)
+            right = following[at]
+            if right < 0 or not parts[at] or len(parts[at]) + len(parts[right]) != size:
+                continue
+            joined = parts[at] + parts[right]
+            parts[at], parts[right] = joined, ""
+            last = following[at] = following[right]
+            following[right] = -1
+            if last >= 0:
+                before[last] = at
+                if (piece := find(joined + parts[last])) is not None:
+                    heappush(pairs, (-scores[piece], at, size + len(parts[last])))
+            first = before[at]
+            if first >= 0 and (piece := find(parts[first] + joined)) is not None:
+                heappush(pairs, (-scores[piece], first, len(parts[first]) + size))
+        return [part for part in parts if part]
 
     def _ids(self, word: str, parts: list[str]) -> list[int]:
         return self._with_bytes(word, [self._model.ids.get(part, -1) for part in parts])
@@ -209,7 +229,7 @@ class WordEncoder:
 
 
 class TextEncoder:
-    """Encodes texts; remembers words from chunk to chunk, in bounded number."""
+    """Encodes texts; remembers short words from chunk to chunk, in bounded size."""
 
     def __init__(self, model: Model) -> None:
         import sentencepiece
@@ -242,19 +262,22 @@ class TextEncoder:
         cut = [None if t is None else self._cut_up(self._normalize(t)) for t in texts]
         words = set().union(*(line for lines in cut if lines for line in lines))
         new = words - self._known.keys()
-        if len(self._known) + len(new) > REMEMBERED_WORDS:
+        if (len(self._known) + len(new)) * _WORD_BYTES > REMEMBERED_BYTES:
             self._known.clear()
             new = words
         for word, ids in self._words.encode(sorted(new)):
             self._known[word] = array("i", ids).tobytes()
         get = self._known.__getitem__
-        return [
+        found = [
             None if lines is None
             else np.frombuffer(
                 self._newline.join([b"".join(map(get, line)) for line in lines]), np.int32
             )
             for lines in cut
         ]
+        for word in [w for w in new if len(w) > _LONG_WORD]:
+            del self._known[word]
+        return found
 
 
 class TextDecoder:

@@ -48,6 +48,7 @@ from spanfold.sources.scratch import stored
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
+MOST_TASKS = 100_000
 PIECE = 1 << 20
 GZIP = 16 + zlib.MAX_WBITS
 VERSION = b"WARC/1.1"
@@ -291,8 +292,8 @@ def normalise(archives: tuple[DataFrame, str]) -> tuple[DataFrame, str]:
                     n_bytes = out.tell()
                 yield _listed([(archive, n_records, n_bytes)], ["archive", "n_records", "n_bytes"])
 
-    # the largest first and each by itself: an archive is one task's work
-    tasks = listed.repartition(max(1, listed.count()), "archive")
+    # an archive is one task's work
+    tasks = listed.repartition(min(max(1, listed.count()), MOST_TASKS), "archive")
     written = stored(tasks.mapInArrow(work, ARCHIVES), "normalised")
     _remove(spark, streams)
     return written, folder
@@ -333,13 +334,15 @@ RECORDS = (
 def read(archives: tuple[DataFrame, str], payloads: bool = False) -> DataFrame:
     """The pages' records: ``page_id, target_uri, payload_bytes, payload_digest, record_type,
     refers_to``, and with ``payloads`` the payload (null for a revisit)."""
-    _, folder = archives
+    listed, folder = archives
     place = f"{folder}/records"
+    # the index is small for what it stands for, so its size must not choose the tasks
+    n_blocks = listed.agg(F.sum(F.ceil(F.col("n_bytes") / F.lit(BLOCK_BYTES)))).first()[0] or 1
     entries = index(archives).where(F.col("record_type").isin("response", "revisit"))
     block = F.floor(F.col("offset") / F.lit(BLOCK_BYTES)).alias("block")
     blocks = entries.groupBy("archive", block).agg(
         F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("entries")
-    )
+    ).repartition(min(n_blocks, MOST_TASKS), "archive", "block")
     schema = RECORDS + (", payload binary" if payloads else "")
     types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
     names = [part.split()[0] for part in schema.split(", ")]

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 import sentencepiece
@@ -30,6 +31,39 @@ def test_ids_of_the_library(model, texts):
     assert [decoder.decode(f) for f in found] == [t.replace("▁", " ") for t in texts]
 
 
+@pytest.mark.parametrize("run", [" ", "\t", "▁", "  x", "a "])
+def test_long_runs(model, run):
+    """A million characters of one kind, in seconds."""
+    text = "word" + run * (1_000_000 // len(run)) + "end"
+    library = sentencepiece.SentencePieceProcessor(model_proto=model.file)
+    began = time.process_time()
+    (found,) = sentencepieces.TextEncoder(model).encode([text])
+    assert time.process_time() - began < 60
+    assert found.tolist() == library.encode(text)
+
+
+def test_merging_in_order(model):
+    """The heap merges as a scan over all pairs does."""
+    encoder = sentencepieces.WordEncoder(model)
+    chance = random.Random(8)
+
+    def scanned(word):
+        parts = list(word)
+        while True:
+            fits = [
+                (-model.scores[model.ids[a + b]], n) for n, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
+                if a + b in model.ids
+            ]
+            if not fits:
+                return parts
+            at = min(fits)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    for _ in range(400):
+        word = "".join(chance.choice("▁▁ateinrs0=-") for _ in range(chance.randrange(1, 30)))
+        assert encoder._merged(word) == scanned(word)
+
+
 def test_unigram_score_is_the_best(model):
     proto = sentencepiece_model_pb2.ModelProto.FromString(model.file)
     proto.trainer_spec.model_type = 1
@@ -51,7 +85,7 @@ def test_unigram_score_is_the_best(model):
 
 def test_forgetting_changes_nothing(model, texts, monkeypatch):
     whole = [f.tolist() for f in sentencepieces.TextEncoder(model).encode(texts)]
-    monkeypatch.setattr(sentencepieces, "REMEMBERED_WORDS", 50)
+    monkeypatch.setattr(sentencepieces, "REMEMBERED_BYTES", 10_000)
     monkeypatch.setattr(sentencepieces, "REMEMBERED_PAIRS", 20)
     encoder = sentencepieces.TextEncoder(model)
     assert [encoder.encode([t])[0].tolist() for t in texts] == whole
