@@ -8,10 +8,16 @@ columns of documents; the last adds what a trainer reads.
    letters, go. The model learns from the labelled documents that came in.
 2. Near duplicates: of each group of documents that are 0.8 alike in five-word shingles
    (directly or through others) the one with the smallest id stays; rows that repeat it
-   go too.
+   go too. Different texts with one id are documents of their own.
 3. Secrets: every span that a rule finds is replaced by a mark.
 4. Mixing: documents are left out or repeated so that sources reach their weights.
 5. Encoding: piece ids of every text.
+
+Defined cases: a null or empty text goes in the first stage, as it has no letter; a null id
+is like no other document and stays; texts of any length go through whole; rows that
+repeat id and text are one after the second stage; of equally long documents the fourth takes
+those first whose md5 of the id is smaller; an empty table gives an empty one; columns beside the
+five of documents are left out at the first stage.
 """
 
 from __future__ import annotations
@@ -27,6 +33,7 @@ from spanfold.sources.scratch import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_LANGUAGE_SHARE = 0.5
+OTHER_TEXTS = 1 << 62
 # A model and a rule set are no SQL, so the stages are tested against plain versions.
 ORACLE_SQL = None
 
@@ -40,12 +47,27 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where(sure).select(*COLUMNS)
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_id``: the id, but for rows that share one with another text. Of those the
+    smallest text digest keeps the id; the others get one beyond all usual ids."""
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(digest).alias("_least"), F.max(digest).alias("_most")
+    )
+    shared = stored(ids.where("_least < _most").select("doc_id", "_least"), "shared-ids")
+    other = F.xxhash64("doc_id", digest).bitwiseAND(OTHER_TEXTS - 1) + OTHER_TEXTS
+    return docs.join(shared, "doc_id", "left").withColumn(
+        "_id", F.when(F.col("_least") < digest, other).otherwise(F.col("doc_id").cast("long"))
+    ).select(*COLUMNS, "_id")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    gone = near_duplicates.jaccard_join(docs).where(~F.col("kept")).select("doc_id").distinct()
-    rest = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    known = F.col("doc_id").isNotNull()
-    return rest.where(known).dropDuplicates(["doc_id"]).unionByName(rest.where(~known))
+    docs = _told_apart(docs.select(*COLUMNS))
+    found = near_duplicates.jaccard_join(docs.select("_id", "text"), doc_id="_id")
+    gone = found.where(~F.col("kept")).select("_id").distinct()
+    rest = docs.join(gone, "_id", "left_anti")
+    known = F.col("_id").isNotNull()
+    return rest.where(known).dropDuplicates(["_id"]).unionByName(rest.where(~known)).select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
