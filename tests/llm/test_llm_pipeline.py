@@ -1,7 +1,7 @@
 """The pipeline against its stages done plainly on collected rows."""
 
 import corpus_pipeline
-from llm_cases import SMALL
+from llm_cases import DOCUMENTS, SMALL, prose
 from test_llm_duplicates import clusters_of, grams
 
 from spanfold.llm import language, mixing
@@ -47,3 +47,21 @@ def test_edge_cases(spark, edge_docs, no_docs):
             docs = stage(spark, docs, SMALL)
         assert count is None or docs.count() == count
         assert "same_text" in docs.columns and docs.where("text IS NULL OR text = ''").count() == 0
+
+
+def test_texts_that_share_an_id(spark):
+    """A near copy goes, the other text of its id stays; what stays does not depend on order."""
+    other, near = prose(21, 80), prose(22, 80)
+    rows = [
+        (1, near, "en", "a", 1), (5, near + " end", "en", "a", 2), (5, other, "en", "a", 3),
+        (7, prose(23, 70), "en", "a", 4), (7, prose(24, 70), "en", "a", 5), (7, prose(24, 70), "en", "a", 5),
+        (None, other, "en", "a", 6), (9, other, "en", "b", 7),
+    ]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    for frame in (docs, docs.orderBy("n_chars", ascending=False).repartition(3)):
+        kept = corpus_pipeline.drop_near_duplicates(spark, frame, SMALL)
+        assert kept.columns == docs.columns
+        found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+        assert (1, near) in found and (5, near + " end") not in found
+        assert sum(text == other for _, text in found) == 2  # one of 5 and 9, and that without an id
+        assert [(i, t) for i, t in found if i == 7] == sorted((i, t) for i, t in {(r[0], r[1]) for r in rows} if i == 7)
