@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,3 +53,22 @@ def pieces(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         total += size
     if begin < batch.num_rows:
         yield batch.slice(begin)
+
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(work: Work) -> Work:
+    """A Python worker serves many tasks of many stages. At the end of each of this kind it
+    gives freed memory back to the system, which else stays with it."""
+
+    @wraps(work)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return tidied

@@ -39,14 +39,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from spanfold.llm.common import pieces
+from spanfold.llm.common import pieces, tidy
 
 UNKNOWN = "und"
 MOST_LANGUAGES = 500
 BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = 3
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 4 << 20
 BLOCK = 1 << 19
 
 # Where scripts lie in Unicode, first and last code point.
@@ -207,7 +207,7 @@ def fit(
 
     # at most languages x slots rows, whatever the size of the corpus
     counts = (
-        sample.mapInArrow(count, "lang string, slot long, n long")
+        sample.mapInArrow(tidy(count), "lang string, slot long, n long")
         .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = tuple(sorted(counts["lang"].unique()))
@@ -355,4 +355,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[*rest, *RESULT])
 
-    return frame.mapInArrow(read, schema)
+    return frame.mapInArrow(tidy(read), schema)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanfold.llm.common import text_or_empty
+from spanfold.llm.common import text_or_empty, tidy
 from spanfold.sources.scratch import stored
 
 TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
@@ -187,7 +187,7 @@ def build(
         F.col(doc_id).cast("long").alias("id"), text_or_empty(text).cast("binary").alias("text")
     )
     # rows are large: row groups of few of them, so that a task holds few shards
-    rows = texts.mapInArrow(work, SHARD).write.option("parquet.block.size", SHARD_BYTES)
+    rows = texts.mapInArrow(tidy(work), SHARD).write.option("parquet.block.size", SHARD_BYTES)
     rows.option("parquet.block.size.row.check.min", 1).parquet(path)
     return docs.sparkSession.read.schema(SHARD).parquet(path)
 
@@ -343,7 +343,7 @@ def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     texts = items.select(
         F.col(item_id).cast("long").alias("item"), text_or_empty(text).cast("binary").alias("text")
     )
-    return texts.mapInArrow(read, "item long, term string").distinct()
+    return texts.mapInArrow(tidy(read), "item long, term string").distinct()
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
@@ -381,7 +381,7 @@ def _group_best(index: DataFrame, weighted: list, totals: Totals, most: int) ->
             names=["item", "doc_id", "score"],
         )
 
-    return index.mapInArrow(work, "item long, doc_id long, score long")
+    return index.mapInArrow(tidy(work), "item long, doc_id long, score long")
 
 
 def search(

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from spanfold.llm import linkage
+from spanfold.llm.common import tidy
 from spanfold.llm.minhash import MinHash, shingles, word_hashes
 from spanfold.sources.scratch import stored
 
@@ -59,7 +60,7 @@ def _signatures(docs: DataFrame, words: int, bands: linkage.Bands) -> DataFrame:
                 names=["id", "digest", "size", "keys"],
             )
 
-    return docs.mapInArrow(read, "id long, digest binary, size long, keys array<long>")
+    return docs.mapInArrow(tidy(read), "id long, digest binary, size long, keys array<long>")
 
 
 def _with_grams(rows: DataFrame, words: int) -> DataFrame:
@@ -78,7 +79,7 @@ def _with_grams(rows: DataFrame, words: int) -> DataFrame:
 
     ordered = rows.select(*[f.name for f in rest], "text")
     schema = ordered.drop("text").schema.add("grams", ArrayType(LongType()))
-    return ordered.mapInArrow(read, schema)
+    return ordered.mapInArrow(tidy(read), schema)
 
 
 def jaccard_join(

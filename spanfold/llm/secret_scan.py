@@ -29,6 +29,7 @@ from pyspark.sql.types import (
 )
 
 from spanfold.llm.automaton import Scanner, compile_rules
+from spanfold.llm.common import tidy
 
 SPANS = ArrayType(
     StructType(
@@ -145,7 +146,7 @@ def _per_text(
             yield pa.RecordBatch.from_arrays(columns, names=[*rest, column])
 
     schema = StructType([*frame.drop("_bytes").schema.fields, StructField(column, result)])
-    return frame.mapInArrow(read, schema)
+    return frame.mapInArrow(tidy(read), schema)
 
 
 def find(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:

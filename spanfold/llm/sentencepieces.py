@@ -42,7 +42,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from spanfold.llm.common import pieces
+from spanfold.llm.common import pieces, tidy
 
 MARK = "▁"
 CHUNK_BYTES = 1 << 20
@@ -346,7 +346,7 @@ def encode(
                     )
                 yield pa.RecordBatch.from_arrays(columns, names=[*rest, *added])
 
-    return frame.mapInArrow(read, _with_columns(frame, fields[: len(added)]))
+    return frame.mapInArrow(tidy(read), _with_columns(frame, fields[: len(added)]))
 
 
 def decode(encoded: DataFrame, model: Model, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -365,4 +365,4 @@ def decode(encoded: DataFrame, model: Model, ids: str = "ids", text: str = "deco
             made = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*rest, text])
 
-    return frame.mapInArrow(read, _with_columns(frame, [StructField(text, StringType())]))
+    return frame.mapInArrow(tidy(read), _with_columns(frame, [StructField(text, StringType())]))
