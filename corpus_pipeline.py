@@ -37,10 +37,21 @@ OTHER_TEXTS = 1 << 62
 # A model and a rule set are no SQL, so the stages are tested against plain versions.
 ORACLE_SQL = None
 
+# Rows that cross to a Python worker at once, where the session leaves it at Spark's default.
+# Documents are large rows: 10,000 of them are held several times over in an executor's memory.
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SPARK_DEFAULT, FEWER = "10000", "500"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _with_smaller_batches(spark: SparkSession) -> None:
+    if spark.conf.get(ROWS_PER_BATCH) == SPARK_DEFAULT:
+        spark.conf.set(ROWS_PER_BATCH, FEWER)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _with_smaller_batches(spark)
     docs = docs.select(*COLUMNS)
     found = language.identify(docs, language.fit(docs.select("text", "lang")))
     sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
@@ -62,6 +73,7 @@ def _told_apart(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _with_smaller_batches(spark)
     docs = _told_apart(docs.select(*COLUMNS))
     found = near_duplicates.jaccard_join(docs.select("_id", "text"), doc_id="_id")
     gone = found.where(~F.col("kept")).select("_id").distinct()
@@ -71,6 +83,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _with_smaller_batches(spark)
     redacted = secret_scan.redact(docs.select(*COLUMNS))
     return redacted.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -80,6 +93,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _with_smaller_batches(spark)
     encoded = sentencepieces.encode(docs.select(*COLUMNS), piece_model(), same="same_text")
     return encoded.withColumn("n_pieces", F.size("ids").cast("long"))
 
