@@ -26,6 +26,8 @@ from spanfold.operators.hot import Limits, find_hot  # noqa: E402
 from spanfold.operators.islands import session_islands  # noqa: E402
 from spanfold.plans import diff, stats, summary, validation  # noqa: E402
 from spanfold.plans import job as batch  # noqa: E402
+from spanfold.plans.increments import SummaryStore  # noqa: E402
+from spanfold.plans.job import JobMetrics  # noqa: E402
 from spanfold.sources import rows as source  # noqa: E402
 from spanfold.sources import sink  # noqa: E402
 from spanfold.sources.events_view import assignment_input, assignment_input_dense  # noqa: E402
@@ -189,7 +191,7 @@ def q25_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
-def q25_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_broken_rows(spark: SparkSession, sf_dir: str) -> tuple[JobParameters, JobMetrics | None]:
     """Rows without an ip, without a span, and with one that ends before it starts."""
     base = fresh_path(spark, "job")
     rows = assignment_input(spark, sf_dir)
@@ -201,12 +203,25 @@ def q25_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     _write_layout(broken, f"{base}/in/Daily", "customer", "dt")
     job = _job("Daily", (datetime(2023, 1, 1), datetime(2026, 1, 1)), base)
-    batch.run(spark, job)
+    return job, batch.run(spark, job)
+
+
+def q25_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job, _ = _with_broken_rows(spark, sf_dir)
     return batch.read_rejects(spark, job).select(
         "householdId", "ip", *_span(), "customer", F.col("dt").cast("string").alias("dt")
     )
 
 
+def q25_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job counted as rows went by, next to what it published."""
+    job, counted = _with_broken_rows(spark, sf_dir)
+    summary_rows = sink.read_summary(spark, job.output_path).agg(F.count(F.lit(1)).alias("nSummary"))
+    return summary_rows.select(
+        *[F.lit(n).cast("long").alias(f"n{name.capitalize()}") for name, n in vars(counted).items()], "nSummary"
+    )
+
+
 # -- the roll-up ---------------------------------------------------------------
 
 
@@ -241,7 +256,7 @@ def _merge(limits: Limits) -> Query:
 def q10_few(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An increment of the rows of few households; the others pass through."""
     rows = assignment_input(spark, sf_dir)
-    few = (F.col("customer") == 1) & F.col("householdId").endswith("3")
+    few = _few()
     old = stored(summary.household_islands(rows.where(~few)), "islands")
     return _show_folded(summary.merge_increment(old, summary.household_islands(rows.where(few))))
 
@@ -252,20 +267,30 @@ def q11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = assignment_input(spark, sf_dir)
-    hot = find_hot(source.spans(rows), summary.LIMITS)
-
-    def per_period(grain: str) -> DataFrame:
-        length = F.col("timeSpan.endTimeMs") - F.col("timeSpan.startTimeMs")
-        return summary.summary_by_grain(rows, grain, hot).groupBy(
-            F.lit(grain).alias("grain"), F.col("period").cast("string").alias("period")
-        ).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(length).alias("totalMs"),
-            F.sum(F.size("clientIds")).alias("nClients"),
-        )
+    length = F.col("timeSpan.endTimeMs") - F.col("timeSpan.startTimeMs")
+    summaries = summary.summary_by_grains(assignment_input(spark, sf_dir))
+    return summaries.groupBy("grain", F.col("period").cast("string").alias("period")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(length).alias("totalMs"),
+        F.sum(F.size("clientIds")).alias("nClients"),
+    )
 
-    return per_period("Daily").unionByName(per_period("Monthly"))
+
+def _summary_increments(limits: Limits, *parts: Callable[[], Column]) -> Query:
+    """A stored summary of no rows, and increments one after the other."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = assignment_input(spark, sf_dir)
+        store = SummaryStore(spark, fresh_path(spark, "summary-store"), n_buckets=8)
+        for part in parts:
+            store.add(rows.where(part()), limits)
+        return _show_summary(store.summary())
+
+    return run
+
+
+def _few() -> Column:
+    return (F.col("customer") == 1) & F.col("householdId").endswith("3")
 
 
 # -- validation ------------------------------------------------------------------
@@ -512,6 +537,15 @@ def _own_queries() -> dict[str, Query]:
         "q10_merge_increment": _merge(summary.LIMITS),
         "q10_merge_increment_sliced": _merge(SLICE_ALL),
         "q10_merge_increment_of_few": q10_few,
+        "q10_merge_summary_increment": _summary_increments(
+            summary.LIMITS, lambda: F.col("customer") == 0, lambda: F.col("customer") == 1
+        ),
+        "q10_merge_summary_increment_sliced": _summary_increments(
+            SLICE_ALL, lambda: F.col("customer") == 0, lambda: F.col("customer") == 1
+        ),
+        "q10_merge_summary_increment_of_few": _summary_increments(
+            summary.LIMITS, lambda: ~_few(), _few
+        ),
         "q11_distinct_rows": q11,
         "q12_rollup_by_grain": q12,
         "q13_overall_counts": q13,
@@ -539,4 +573,5 @@ def _own_queries() -> dict[str, Query]:
         "q24_first_ordered_difference": _ordered(diff.first_ordered_difference),
         "q25_job_hourly_window": q25_hourly,
         "q25_job_rejects": q25_rejects,
+        "q25_job_metrics": q25_metrics,
     }

@@ -27,7 +27,7 @@ all_rows AS (
          CASE WHEN event_type = 'error' THEN NULL ELSE {client} END AS client,
          epoch_us(ts) // 1000 AS s,
          epoch_us(ts) // 1000 + floor(value * 600000)::bigint AS e,
-         (event_id % 2)::int AS customer, ts::date AS dt
+         (event_id % 2)::int AS customer, ts::date AS dt, event_id
   FROM events
   WHERE {hh} <> '0'
 )"""
@@ -226,7 +226,11 @@ def oracle_sql() -> dict[str, str]:
     sql["q02_scan_partitioned_layout"] = sql["q02_scan_window"]
     sql["q03_union_customers"] = query(ROWS)
 
-    for name in ("q04_sink_roundtrip", "q09_household_summary", "q09_household_summary_sliced"):
+    for name in (
+        "q04_sink_roundtrip", "q09_household_summary", "q09_household_summary_sliced",
+        "q10_merge_summary_increment", "q10_merge_summary_increment_sliced",
+        "q10_merge_summary_increment_of_few",
+    ):
         sql[name] = summary()
     place = (
         "assignmentSummary/HouseholdByIpClientSummary/cust=0_1/tailored/"
@@ -524,4 +528,12 @@ SELECT user_id::varchar AS "householdId", CASE WHEN event_id % 11 <> 0 THEN ip E
 FROM (SELECT *, CASE WHEN event_id % 60 = 0 THEN 1 WHEN event_id % 60 = 1 THEN 2 ELSE 0 END AS ip,
              epoch_us(ts) // 1000 AS s, epoch_us(ts) // 1000 + floor(value * 600000)::bigint AS e FROM events)
 WHERE user_id <> 0 AND (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0)"""
+    sql["q25_job_metrics"] = query(
+        """SELECT (SELECT count(*) FROM all_rows) AS "nRead", (SELECT count(*) FROM kept_rows) AS "nUsable",
+  (SELECT count(*) FROM all_rows) - (SELECT count(*) FROM kept_rows) AS "nRejected",
+  (SELECT count(*) FROM kept_absorbed) AS "nWritten", (SELECT count(*) FROM kept_absorbed) AS "nSummary" """,
+        "kept_rows AS (SELECT * FROM all_rows WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 "
+        "AND event_id % 17 <> 0)",
+        stages("kept_rows", "kept_"),
+    )
     return sql

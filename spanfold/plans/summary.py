@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from spanfold.functions.clients import client_ids
 from spanfold.functions.spans import time_span, utc_date
 from spanfold.operators import absorb, islands, runs
-from spanfold.operators.hot import Hot, Limits, slicer
+from spanfold.operators.hot import Hot, Limits, Step, slicer
 from spanfold.sources.rows import SUMMARY_VERSION, spans
 from spanfold.sources.scratch import stored
 
 HOUSEHOLD = islands.HOUSEHOLD
 HOUSEHOLD_IP = ("householdId", "ip")
 LIMITS = Limits()
+GRAINS = ("Daily", "Monthly")
 
 
 @dataclass(frozen=True)
@@ -60,20 +61,35 @@ def fold(
 ) -> DataFrame:
     """Run the stages over the rows. With ``period``, each period of a row's start
     is folded on its own, as one job per period would."""
-    keys = list(HOUSEHOLD)
+    extra = ()
     if period is not None:
-        rows = rows.withColumn("period", period)
-        keys.append("period")
-    found = spans(rows, extra=keys[1:])
+        rows, extra = rows.withColumn("period", period), ("period",)
+    return fold_spans(spans(rows, extra=extra), stages, hot, extra)
+
+
+def fold_spans(
+    found: DataFrame,
+    stages: Sequence[Stage],
+    hot: Limits | Hot = LIMITS,
+    extra: Sequence[str] = (),
+    expand: Step | None = None,
+) -> DataFrame:
+    """Run the stages over spans, or over islands, by household and the ``extra`` columns.
+    ``expand`` may make several rows of one behind the exchange, and add columns to fold by."""
     hot = Hot.of(found, hot)
+    keys = [*HOUSEHOLD, *extra]
+    expanded = expand or (lambda df: df)
+    # rows that are expanded later move once, by what they have now
+    placed = [k for k in keys if k in found.columns]
 
     def plain(df: DataFrame) -> DataFrame:
-        df = df.repartition(*keys)
+        df = expanded(df.repartition(*placed))
         for stage in stages:
             df = stage.plain(df, keys)
         return df
 
     def sliced(df: DataFrame) -> DataFrame:
+        df = expanded(df)
         for number, stage in enumerate(stages):
             if number and stage.per_ip and hot.pair_slices is not None:
                 df = stored(df, "hot-steps")  # read twice: hot pairs and other ips
@@ -133,13 +149,32 @@ def merge_increment(
     return coalesced.unionByName(rest.select(*coalesced.columns))
 
 
-def period_of(grain: str) -> Column:
-    """Period of a row's start for a coarse grain, as a date."""
-    start = F.col("timeSpan.startTimeMs")
+def _period(grain: str, start: Column) -> Column:
     day = utc_date(start)
     return {"Daily": day, "Monthly": F.trunc(day, "month")}[grain]
 
 
+def period_of(grain: str) -> Column:
+    """Period of a row's start for a coarse grain, as a date."""
+    return _period(grain, F.col("timeSpan.startTimeMs"))
+
+
 def summary_by_grain(rows: DataFrame, grain: str, hot: Limits | Hot = LIMITS) -> DataFrame:
     folded = fold(rows, [ISLANDS, RUNS, ABSORB], hot, period_of(grain))
     return summarize(folded, extra=("period",))
+
+
+def summary_by_grains(
+    rows: DataFrame, grains: Sequence[str] = GRAINS, hot: Limits | Hot = LIMITS
+) -> DataFrame:
+    """The summaries of several grains, told apart by ``grain``, from one scan and one
+    exchange of the rows: a row becomes one per grain where its household already is."""
+    extra = ("grain", "period")
+    each = F.explode(
+        F.array(*(F.struct(F.lit(g).alias("grain"), _period(g, F.col("start")).alias("period")) for g in grains))
+    )
+
+    def expand(df: DataFrame) -> DataFrame:
+        return df.select("*", each.alias("at")).select(*df.columns, "at.grain", "at.period")
+
+    return summarize(fold_spans(spans(rows), [ISLANDS, RUNS, ABSORB], hot, extra, expand), extra)

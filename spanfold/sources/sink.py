@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from spanfold.sources import manifest as published
 from spanfold.sources.rows import CLIENT_ID, TIME_SPAN
 
 MAX_RECORDS_PER_FILE = 2_350_000
@@ -34,4 +35,9 @@ def write_summary(summary: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SUMMARY_SCHEMA).parquet(path).select(*SUMMARY_SCHEMA.fieldNames())
+    """What the current manifest of the folder names as ``summary``; without a manifest, all
+    that is there."""
+    found = published.current(spark, path)
+    if found is None:
+        return spark.read.schema(SUMMARY_SCHEMA).parquet(path).select(*SUMMARY_SCHEMA.fieldNames())
+    return published.read(spark, path, found.parts["summary"], SUMMARY_SCHEMA)
