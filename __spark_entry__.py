@@ -10,7 +10,8 @@ from __future__ import annotations
 import importlib
 import os
 import sys
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from types import ModuleType
 
@@ -24,14 +25,16 @@ from spanfold.functions.clients import NO_CLIENT, client_ids, client_token  # no
 from spanfold.functions.spans import time_span  # noqa: E402
 from spanfold.operators.hot import Limits, find_hot  # noqa: E402
 from spanfold.operators.islands import session_islands  # noqa: E402
-from spanfold.plans import diff, stats, summary, validation  # noqa: E402
+from spanfold.plans import diff, digest, stats, summary, validation  # noqa: E402
 from spanfold.plans import job as batch  # noqa: E402
 from spanfold.plans.increments import SummaryStore  # noqa: E402
 from spanfold.plans.job import JobMetrics  # noqa: E402
+from spanfold.sources import catalog, sink  # noqa: E402
 from spanfold.sources import rows as source  # noqa: E402
-from spanfold.sources import sink  # noqa: E402
 from spanfold.sources.events_view import assignment_input, assignment_input_dense  # noqa: E402
 from spanfold.sources.job import JobParameters  # noqa: E402
+from spanfold.sources.placed import Placed  # noqa: E402
+from spanfold.sources.runs import RunStore  # noqa: E402
 from spanfold.sources.scratch import fresh_path, stored  # noqa: E402
 
 
@@ -143,6 +146,15 @@ def q02_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_rows(source.read_window(spark, path, *WINDOW))
 
 
+def q02_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions that a catalog table knows."""
+    path, table = fresh_path(spark, "assignments"), f"assignments_{uuid.uuid4().hex}"
+    _write_layout(assignment_input(spark, sf_dir), path, "customer", "dt")
+    catalog.create(spark, table, path)
+    catalog.register(spark, table, catalog.partitions_of(spark, path, (0, 1)))
+    return _show_rows(catalog.read_window(spark, table, *WINDOW))
+
+
 def q03(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source.known_households(assignment_input(spark, sf_dir))
     slices = [rows.where(F.col("customer") == c) for c in (0, 1)]
@@ -356,28 +368,60 @@ def q16(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _show_consistency(checked: DataFrame) -> DataFrame:
+    return checked.withColumns({
+        "inputClientIds": _text(F.col("inputClientIds")),
+        "outputClientIds": _text(F.col("outputClientIds")),
+        "sameClientIds": F.col("sameClientIds").cast("int"),
+    })
+
+
+def _show_mismatches(found: DataFrame) -> DataFrame:
+    return found.select(
+        "householdId",
+        *[F.col(c).cast("int").alias(c) for c in ("sameIpCount", "sameBounds", "sameClientIds")],
+    )
+
+
 def _consistency(view) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = view(spark, sf_dir)
-        checked = validation.household_consistency(
-            rows, _facts(rows), _stored_summary_of(rows)
+        return _show_consistency(
+            validation.household_consistency(rows, _facts(rows), _stored_summary_of(rows))
         )
-        return checked.withColumns({
-            "inputClientIds": _text(F.col("inputClientIds")),
-            "outputClientIds": _text(F.col("outputClientIds")),
-            "sameClientIds": F.col("sameClientIds").cast("int"),
-        })
 
     return run
 
 
+def _placed_pair(view, limits: Limits, lose: bool = False) -> Callable[..., Placed]:
+    """Rows, facts and a summary (of all rows or of some) placed by household."""
+
+    def make(spark: SparkSession, sf_dir: str) -> Placed:
+        rows = view(spark, sf_dir)
+        out = _stored_summary_of(_without_some_ips(rows) if lose else rows)
+        return validation.placed_by_household(rows, out, 8, limits)
+
+    return make
+
+
+def _placed_consistency(view, limits: Limits = summary.LIMITS) -> Query:
+    make = _placed_pair(view, limits)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _show_consistency(validation.placed_consistency(make(spark, sf_dir)))
+
+    return run
+
+
+def _placed_mismatches(limits: Limits = summary.LIMITS) -> Query:
+    make = _placed_pair(assignment_input_dense, limits, lose=True)
+    return lambda spark, sf_dir: _show_mismatches(validation.placed_mismatches(make(spark, sf_dir)))
+
+
 def q17_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = assignment_input_dense(spark, sf_dir)
     out = _stored_summary_of(_without_some_ips(rows))
-    return validation.household_mismatches(_facts(rows), out).select(
-        "householdId",
-        *[F.col(c).cast("int").alias(c) for c in ("sameIpCount", "sameBounds", "sameClientIds")],
-    )
+    return _show_mismatches(validation.household_mismatches(_facts(rows), out))
 
 
 def _interleaving_rows(view) -> Query:
@@ -448,6 +492,39 @@ def _customers_compared(compare: Callable[[DataFrame, DataFrame], DataFrame]) ->
     )
 
 
+def _by_digest(compared: Callable[[SparkSession, str], list[DataFrame]]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sides = compared(spark, sf_dir)
+        paths = [fresh_path(spark, "digested") for _ in sides]
+        for df, path in zip(sides, paths, strict=True):
+            digest.write_digested(df, path, n_buckets=16)
+        found = digest.diff_stored(spark, *paths, sides[0].schema)
+        return found.withColumn("dt", F.col("dt").cast("string"))
+
+    return run
+
+
+def _all_and_some(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All rows, and those without some ips of two households: most buckets are equal."""
+    rows = source.known_households(assignment_input_dense(spark, sf_dir))
+    few = (F.col("ip") == 2) & F.col("householdId").isin("5", "15")
+    return [r.select(*_row_columns("dt")) for r in (rows, rows.where(~few))]
+
+
+def q24_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of two summaries, both written in one order."""
+    rows = assignment_input_dense(spark, sf_dir)
+    columns = ("householdId", "ip", "startMs", "endMs", "clients")
+    scans = []
+    for r in (rows, _without_some_ips(rows)):
+        path = fresh_path(spark, "in-order")
+        ordered = _show_summary(_summary_of(r)).select(*columns).orderBy("startMs", "ip", "householdId", "endMs", "clients")
+        ordered.write.option("maxRecordsPerFile", 500).parquet(path)
+        scans.append(spark.read.parquet(path))
+    found = digest.ordered_diff_as_written(*scans, rows_per_chunk=100)
+    return _positions_shown(found, columns)
+
+
 def _two_runs(spark: SparkSession, sf_dir: str) -> list[validation.ValidationRun]:
     rows = assignment_input_dense(spark, sf_dir)
     return [
@@ -464,6 +541,22 @@ def q23_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.span_statistics(_summary_of(assignment_input(spark, sf_dir)))
 
 
+def _positions_shown(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    def shown(side: str) -> Column:
+        fields = F.concat_ws("|", *[F.col(f"{side}.{c}") for c in columns])
+        return F.when(F.col(side).isNotNull(), fields).alias(side)
+
+    return found.select("position", shown("expected"), shown("actual"))
+
+
+def q22_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs from what a run store kept of them."""
+    store = RunStore(spark, fresh_path(spark, "runs"))
+    for name, run in zip(("all", "some"), _two_runs(spark, sf_dir), strict=True):
+        store.save(name, run)
+    return diff.compare_exact(store.load("all"), store.load("some"))
+
+
 def _ordered(compare: Callable[..., DataFrame]) -> Query:
     columns = ("householdId", "ip", "startMs", "endMs", "clients")
 
@@ -474,12 +567,7 @@ def _ordered(compare: Callable[..., DataFrame]) -> Query:
             for r in (rows, _without_some_ips(rows))
         ]
 
-        def shown(side: str) -> Column:
-            fields = F.concat_ws("|", *[F.col(f"{side}.{c}") for c in columns])
-            return F.when(F.col(side).isNotNull(), fields).alias(side)
-
-        found = compare(*both, order_by=["startMs", "ip"])
-        return found.select("position", shown("expected"), shown("actual"))
+        return _positions_shown(compare(*both, order_by=["startMs", "ip"]), columns)
 
     return run
 
@@ -514,6 +602,7 @@ def _own_queries() -> dict[str, Query]:
         "q01_scan_merged_schema": q01_merged,
         "q02_scan_window": q02,
         "q02_scan_partitioned_layout": q02_partitioned,
+        "q02_scan_catalog_partitions": q02_catalog,
         "q03_union_customers": q03,
         "q04_sink_roundtrip": q04,
         "q04_job_output_path": q04_job,
@@ -555,6 +644,12 @@ def _own_queries() -> dict[str, Query]:
         "q17_household_consistency": _consistency(assignment_input),
         "q17_household_consistency_dense": _consistency(dense),
         "q17_household_mismatches": q17_mismatches,
+        "q17_household_consistency_placed": _placed_consistency(assignment_input),
+        "q17_household_consistency_placed_hot": _placed_consistency(
+            assignment_input, Limits(hot_rows=60)
+        ),
+        "q17_household_mismatches_placed": _placed_mismatches(),
+        "q17_household_mismatches_placed_hot": _placed_mismatches(Limits(hot_rows=215)),
         "q18_interleaving_ips": _interleaving(assignment_input),
         "q18_interleaving_ips_dense": _interleaving(dense),
         "q18_unknown_clients": q18_unknown,
@@ -565,12 +660,16 @@ def _own_queries() -> dict[str, Query]:
         "q21_dataset_diff": _customers_compared(diff.dataset_diff),
         "q21_first_difference": _customers_compared(diff.first_difference),
         "q21_multiset_difference": _customers_compared(diff.multiset_difference),
+        "q21_diff_by_digest": _by_digest(_two_customers),
+        "q21_diff_by_digest_of_few": _by_digest(_all_and_some),
+        "q22_compare_stored_runs": q22_stored,
         "q22_compare_runs": lambda s, d: diff.compare_exact(*_two_runs(s, d)),
         "q22_compare_statistics": lambda s, d: diff.compare_statistics(*_two_runs(s, d)),
         "q23_describe_spans": q23,
         "q23_describe_summary": q23_summary,
         "q24_ordered_diff": _ordered(diff.ordered_diff),
         "q24_first_ordered_difference": _ordered(diff.first_ordered_difference),
+        "q24_ordered_diff_as_written": q24_as_written,
         "q25_job_hourly_window": q25_hourly,
         "q25_job_rejects": q25_rejects,
         "q25_job_metrics": q25_metrics,

@@ -223,7 +223,8 @@ def oracle_sql() -> dict[str, str]:
     )
     in_window = " WHERE customer IN (0, 1) AND dt >= DATE '2024-01-05' AND dt < DATE '2024-01-20'"
     sql["q02_scan_window"] = query(ROWS + in_window)
-    sql["q02_scan_partitioned_layout"] = sql["q02_scan_window"]
+    for name in ("q02_scan_partitioned_layout", "q02_scan_catalog_partitions"):
+        sql[name] = sql["q02_scan_window"]
     sql["q03_union_customers"] = query(ROWS)
 
     for name in (
@@ -321,6 +322,9 @@ FROM absorbed o LEFT JOIN ip_stats x ON x.hh = o.hh AND x.ip = o.ip AND x.emptie
             all_stages, hh, view=view,
         )
 
+    for name in ("q17_household_consistency_placed", "q17_household_consistency_placed_hot"):
+        sql[name] = sql["q17_household_consistency"]
+
     sql["q17_household_mismatches"] = query(
         """SELECT hh AS "householdId", ips_ok::int AS "sameIpCount", bounds_ok::int AS "sameBounds",
   clients_ok::int AS "sameClientIds" FROM mismatches
@@ -328,6 +332,9 @@ WHERE NOT (ips_ok AND bounds_ok AND clients_ok)""",
         LOST, stages("lost"), household_stats("all_rows", "absorbed"), MISMATCHES, view="dense",
     )
 
+    for name in ("q17_household_mismatches_placed", "q17_household_mismatches_placed_hot"):
+        sql[name] = sql["q17_household_mismatches"]
+
     for suffix, view in (("", "default"), ("_dense", "dense")):
         sql[f"q18_interleaving_ips{suffix}"] = query(
             'SELECT hh AS "householdId", ip, s AS "startMs", e AS "endMs" FROM interleaving',
@@ -414,6 +421,16 @@ seen{n} AS (
         "FROM d WHERE n_expected <> n_actual",
         *customers,
     )
+    sql["q21_diff_by_digest"] = sql["q21_dataset_diff"]
+    of_all = "hh, ip, coalesce(client::varchar, '') AS client, dt FROM all_rows"
+    sql["q21_diff_by_digest_of_few"] = query(
+        f'SELECT {keys}, n_expected AS "nExpected", n_actual AS "nActual" '
+        "FROM d WHERE n_expected <> n_actual",
+        f"every AS (SELECT {of_all})",
+        f"fewer AS (SELECT {of_all} WHERE NOT (ip = 2 AND hh IN ('5', '15')))",
+        diff("d", "every", "fewer", "hh, ip, client, dt"),
+        view="dense",
+    )
     sql["q21_first_difference"] = sql["q21_dataset_diff"] + " ORDER BY hh, ip, client, dt LIMIT 1"
     sql["q21_multiset_difference"] = query(
         f"""SELECT 'expected' AS side, {keys} FROM (SELECT * FROM seen0 EXCEPT ALL SELECT * FROM seen1)
@@ -499,6 +516,7 @@ UNION ALL SELECT 'actual', {keys} FROM (SELECT * FROM seen1 EXCEPT ALL SELECT *
     ordered_diff = """SELECT coalesce(a.position, b.position) AS position, a.r AS expected, b.r AS actual
 FROM ordered a FULL JOIN l_ordered b ON a.position = b.position WHERE a.r IS DISTINCT FROM b.r"""
     sql["q24_ordered_diff"] = query(ordered_diff, *positions, view="dense")
+    sql["q24_ordered_diff_as_written"] = sql["q24_ordered_diff"]
     sql["q24_first_ordered_difference"] = query(
         ordered_diff + " ORDER BY 1 LIMIT 1", *positions, view="dense"
     )
@@ -536,4 +554,5 @@ WHERE user_id <> 0 AND (event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17
         "AND event_id % 17 <> 0)",
         stages("kept_rows", "kept_"),
     )
+    sql["q22_compare_stored_runs"] = sql["q22_compare_runs"]
     return sql

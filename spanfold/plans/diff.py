@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanfold.plans.validation import ValidationRun
+from spanfold.sources.runs import Results
 from spanfold.sources.scratch import stored
 
 COPIES_PER_BLOCK = 10_000
@@ -172,7 +172,7 @@ def compare_runs(expected: Mapping[str, DataFrame], actual: Mapping[str, DataFra
     return reduce(DataFrame.unionByName, [compared(name) for name in expected])
 
 
-def compare_exact(expected: ValidationRun, actual: ValidationRun) -> DataFrame:
+def compare_exact(expected: Results, actual: Results) -> DataFrame:
     """Two validation runs over the same keys: their statistics, then their results row by
     row."""
     statistics = compare_statistics(expected, actual).withColumn(
@@ -181,6 +181,6 @@ def compare_exact(expected: ValidationRun, actual: ValidationRun) -> DataFrame:
     return statistics.unionByName(compare_runs(expected.tables(), actual.tables()))
 
 
-def compare_statistics(expected: ValidationRun, actual: ValidationRun) -> DataFrame:
+def compare_statistics(expected: Results, actual: Results) -> DataFrame:
     """Two validation runs whose ids may differ: only counts and statistics."""
     return compare_runs(expected.statistics(), actual.statistics())

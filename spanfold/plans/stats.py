@@ -97,12 +97,18 @@ def household_input_totals(facts: DataFrame) -> DataFrame:
 
 
 def household_output_totals(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("householdId").agg(
-        F.count_distinct("ip").alias("ipCount"),
-        F.count_distinct("timeSpan").alias("outputTimeSpanCount"),
-        F.count(F.lit(1)).alias("outputRecordCount"),
+    """Two distinct counts, each by a grouping of its own: as one aggregation they would copy
+    every row per count and move it by more than its household."""
+    spans = summary.groupBy("householdId", "timeSpan").agg(F.count(F.lit(1)).alias("n"))
+    per_span = spans.groupBy("householdId").agg(
+        F.count("timeSpan").alias("outputTimeSpanCount"),
+        F.sum("n").alias("outputRecordCount"),
         *_bounds(),
     )
+    ips = summary.groupBy("householdId").agg(F.count_distinct("ip").alias("ipCount"))
+    return ips.join(per_span, "householdId").select(
+        "householdId", "ipCount", "outputTimeSpanCount", "outputRecordCount", "minStartTime", "maxEndTime"
+    )
 
 
 def household_span_counts(rows: DataFrame) -> DataFrame:

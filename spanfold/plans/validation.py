@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanfold.functions.spans import covers
+from spanfold.operators.hot import Limits
 from spanfold.plans.stats import (
+    accepted,
     client_facts,
     client_ip_counts,
     client_sets,
@@ -29,6 +31,7 @@ from spanfold.plans.stats import (
     span_statistics,
     summary_clients,
 )
+from spanfold.sources.placed import Placed, place
 from spanfold.sources.scratch import stored
 
 HOUSEHOLD_IP = ["householdId", "ip"]
@@ -44,6 +47,59 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
     their client sets and a score; ordered by score. Households that do not agree
     are absent here: see ``household_mismatches``."""
     n_households = summary.agg(F.count_distinct("householdId")).scalar()
+    scored = _consistent_households(rows, facts, summary, n_households)
+    return scored.orderBy("householdIdEncoding", "minStartTime")
+
+
+def placed_consistency(placed: Placed) -> DataFrame:
+    """The same over ``rows``, ``facts`` and ``summary`` that are placed by household."""
+    n_households = placed.whole("summary").agg(F.count_distinct("householdId")).scalar()
+    scored = placed.over(
+        lambda rows, facts, summary: _consistent_households(rows, facts, summary, n_households),
+        "rows", "facts", "summary",
+    )
+    return scored.orderBy("householdIdEncoding", "minStartTime")
+
+
+def placed_by_household(
+    rows: DataFrame, summary: DataFrame, n_buckets: int = 200, limits: Limits | None = None
+) -> Placed:
+    """What the checks of one summary read: ``rows`` (usable ones, four columns), their client
+    ``facts`` and the ``summary``, placed by household. One exchange of the rows in all."""
+    usable = accepted(rows).select("householdId", "ip", "clientId", "timeSpan")
+    placed = place(usable, "rows", n_buckets, limits).with_derived("facts", client_facts, "rows")
+    return placed.with_placed("summary", summary)
+
+
+def placed_mismatches(placed: Placed) -> DataFrame:
+    """Of ordinary households whole client sets are compared, where they are; of hot ones id by
+    id, as ``household_mismatches`` does."""
+    return placed.over(_mismatches_of_sets, "facts", "summary", hot=household_mismatches)
+
+
+def _mismatches_of_sets(facts: DataFrame, summary: DataFrame) -> DataFrame:
+    named = facts.where(F.size("clientId") != 0)
+    left = household_input_totals(facts).join(client_sets(named, "clients"), "householdId", "left")
+    right = household_output_totals(summary).join(
+        client_sets(summary_clients(summary), "clients"), "householdId", "left"
+    )
+    compared = left.alias("i").join(right.alias("o"), "householdId", "full_outer")
+
+    def same(name: str) -> Column:
+        return F.col(f"i.{name}").eqNullSafe(F.col(f"o.{name}"))
+
+    on_both = F.col("i.ipCount").isNotNull() & F.col("o.ipCount").isNotNull()
+    return compared.select(
+        "householdId",
+        same("ipCount").alias("sameIpCount"),
+        (same("minStartTime") & same("maxEndTime")).alias("sameBounds"),
+        (on_both & same("clients")).alias("sameClientIds"),
+    ).where("NOT (sameIpCount AND sameBounds AND sameClientIds)")
+
+
+def _consistent_households(
+    rows: DataFrame, facts: DataFrame, summary: DataFrame, n_households: Column
+) -> DataFrame:
     agree = ["ipCount", "minStartTime", "maxEndTime"]
     # one key, so sides placed by household stay there; the client sets come last
     both = _same_bounds(household_input_totals(facts), household_output_totals(summary), agree)
@@ -66,7 +122,7 @@ def household_consistency(rows: DataFrame, facts: DataFrame, summary: DataFrame)
         _same_clients().alias("sameClientIds"),
         "inputRecordCount",
         "outputRecordCount",
-    ).orderBy("householdIdEncoding", "minStartTime")
+    )
 
 
 def _same_bounds(left: DataFrame, right: DataFrame, agree: list[str]) -> DataFrame:

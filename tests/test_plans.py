@@ -7,8 +7,14 @@ from notation import PLAIN, SLICED, fixed_slicer, folded_frame, parse
 
 import __spark_entry__ as driver
 from spanfold.operators import absorb, islands, runs
+from spanfold.operators.hot import Limits
 from spanfold.plans import stats, validation
-from spanfold.plans.summary import household_islands, household_summary, merge_increment
+from spanfold.plans.summary import (
+    household_islands,
+    household_summary,
+    merge_increment,
+    summary_by_grains,
+)
 from spanfold.sources.events_view import assignment_input
 from spanfold.sources.scratch import stored
 
@@ -103,6 +109,64 @@ def test_one_key_joins_the_sides_of_a_household(spark):
     assert len(re.findall("Exchange hash", plan)) <= 13
 
 
+def shuffles_by_household(df):
+    df.count()
+    return [e for e in exchanges(df) if re.match(r"hashpartitioning.*householdId#", e)]
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_placed_datasets_are_compared_where_they_are(spark, without_broadcasts):
+    """No check of placed datasets shuffles by household, nor does storing their facts."""
+    rows = assignment_input(spark, SMALL)
+    out = stored(household_summary(rows, PLAIN), "summary")
+    placed = validation.placed_by_household(rows, out, 4)
+    for found in (
+        validation.placed_consistency(placed),
+        validation.placed_mismatches(placed),
+        placed.over(validation.spans_outside_household, "facts", "summary"),
+        placed.over(stats.client_facts, "rows"),
+    ):
+        assert not shuffles_by_household(found), plan_of(found)
+    assert shuffles_by_household(validation.household_mismatches(stats.client_facts(rows), out))
+    # joined by household and more: Spark keeps the buckets only if it is told so
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    for check in (validation.unknown_clients, validation.interleaving_ips):
+        found = placed.over(check, "facts", "summary")
+        assert not shuffles_by_household(found), plan_of(found)
+    placed.drop()
+
+
+def test_placed_hot_households_are_checked_too(spark):
+    rows = assignment_input(spark, SMALL)
+    lost = rows.where("not (ip = 2 and householdId like '%5')").where("householdId <> '7'")
+    out = stored(household_summary(lost, PLAIN), "summary")
+    placed = validation.placed_by_household(rows, out, 4, Limits(hot_rows=70))
+    n_hot = placed.hot_households.count()
+    assert 0 < n_hot < rows.select("householdId").distinct().count() - 1
+    facts = stats.client_facts(rows)
+    for found, expected in (
+        (validation.placed_mismatches(placed), validation.household_mismatches(facts, out)),
+        (validation.placed_consistency(placed), validation.household_consistency(rows, facts, out)),
+    ):
+        found, expected = ([str(r) for r in df.collect()] for df in (found, expected))
+        assert sorted(found) == sorted(expected) and found
+    placed.drop()
+
+
+def test_several_grains_come_from_one_scan_and_one_exchange(spark):
+    plan = plan_of(summary_by_grains(assignment_input(spark, SMALL)))
+    (only,) = re.findall(r"Exchange ([^\n]*)", plan)
+    assert only.startswith("hashpartitioning(householdId") and "period" not in only.split(")")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+
+
 def test_facts_combine_before_their_shuffle(spark):
     plan = plan_of(stats.client_facts(assignment_input(spark, SMALL)))
     before_shuffle = plan[plan.index("Exchange"):]
