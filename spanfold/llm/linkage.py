@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanfold.sources.scratch import stored
+from spanfold.sources.scratch import release, stored
 
 MARKS = 1 << 26
 PAGE_BITS = 15
@@ -256,7 +256,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         hooked = smaller.unionByName(least.select("u", F.col("m").alias("v")))
-        now = stored(hooked.distinct(), "edges")
+        before, now = now, stored(hooked.distinct(), "edges")
+        release(before)
 
 
 def clustered(found: DataFrame) -> tuple[DataFrame, DataFrame]:
