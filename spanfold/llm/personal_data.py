@@ -5,10 +5,17 @@ Generators of high recall propose spans in every text: the four base formats, an
 Base spans that pass their check always stay. Every other proposal is judged by gradient
 boosted trees on its format (length, digits, groups) and context (characters around it,
 words before it). The trees learn from a bounded sample of documents, where the checks
-label the base formats: a match that passes is personal, one that fails is not; the
-checks themselves are no features. Per family of formats, the threshold is the lowest score
-above which the held-out half of all documents is right often enough. Proposals that overlap
-a base span or a better one are left out.
+label the base formats: a match that passes is personal, one that fails is not. What a family's
+check looks at is hidden from its trees (``DECIDES``), so that they learn from the context and
+from the rest of the format, which proposals without a check share. Per family of formats, the
+threshold is the lowest score above which the held-out half of all documents is right often
+enough; a family's few labels count together with ``PRIOR`` ones at the rate of all families.
+
+Proposals that overlap are picked best first: base spans, then by score (of equals the one that
+starts first, then by kind), each unless it overlaps one that was picked. Sorted by start they
+fall into clusters that touch no other, and only within a cluster proposals are compared. So a
+text with very many proposals takes about linear time unless they overlap each other in long
+chains.
 
 The trees become one SQL expression, evaluated where the text is; nothing is shuffled.
 
@@ -17,7 +24,8 @@ very many matches stays close to linear.
 
 Defined cases: a null or empty text has no spans; without both kinds of labels in the
 sample only base spans are found; texts of any length are read whole; repeated rows are rows
-of their own; input columns named like result columns are replaced.
+of their own; an empty table gives an empty result; input columns named like result columns
+are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +44,8 @@ BLOCK = 64
 SAMPLE_DOCS = 20_000
 PRECISION = 0.95
 BINS = 50
+PRIOR = 4
+SWEEP = 256
 
 # The base formats. A match begins where its run of characters does, or where
 # the match before ended; that is what a search from the left finds, without trying every
@@ -52,12 +62,12 @@ BASE = {
 WIDE = {
     "email_like": (
         "email",
-        rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[\[(] ?at ?[\])] ?[{_DOMAIN}]++(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[{_DOMAIN}]++)++",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]++ ?[\[(] ?(?i:at) ?[\])] ?[{_DOMAIN}]++(?:(?:\.| ?[\[(] ?(?i:dot) ?[\])] ?)[{_DOMAIN}]++)++",
     ),
     "phone_like": ("phone", r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
 }
 # What must occur in a text for a format to be searched at all.
-_NEEDS = {"email": "@", "ip": ".", "phone": "+", "email_like": "at"}
+_NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _HINTS = {
     "email": "mail|contact|write|reply",
     "ip": r"\bip\b|host|server|address|login",
@@ -68,6 +78,11 @@ FAMILIES = tuple(BASE)
 FEATURES = (
     "family", "length", "digits", "signs", "groups", "kinds", "before", "after", "hint", "zero",
 )
+# What the check of a family decides by, or what shows it.
+DECIDES = {
+    "email": (), "ip": ("length", "digits"), "card": ("length", "digits"),
+    "phone": ("length", "digits", "kinds", "groups", "signs"),
+}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -134,7 +149,7 @@ def _placed(text: Column, pattern: str, needs: str | None) -> Column:
         F.regexp_extract_all(text, regex, F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps")
     )
     placed = _let(found, place)
-    wanted = F.contains(text, F.lit(needs)) if needs else text.rlike("[0-9]")
+    wanted = F.contains(text, F.lit(needs)) if needs else text.rlike("[0-9]|[\\[(] ?(?i:at) ?[\\])]")
     return F.when(wanted, placed).otherwise(nothing)
 
 
@@ -182,7 +197,13 @@ def _features(family: str, c: Column) -> Column:
         F.when(F.lower(c["left"]).rlike(_HINTS[family]), 1.0).otherwise(0.0),
         F.when(value.startswith("0"), 1.0).otherwise(0.0),
     ]
-    return F.struct(*[n.cast("double").alias(name) for n, name in zip(number, FEATURES, strict=True)])
+    hidden = F.lit(-1.0)
+    return F.struct(
+        *[
+            (hidden if name in DECIDES[family] else n.cast("double")).alias(name)
+            for n, name in zip(number, FEATURES, strict=True)
+        ]
+    )
 
 
 def _candidates(text: Column) -> Column:
@@ -288,17 +309,100 @@ def _calibrated(model: GBTClassificationModel, rows: DataFrame, precision: float
     ).dropDuplicates(["text", "of", "start"])
     # families x BINS rows
     bins = scored.groupBy("of", "bin").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()
+    return thresholds([(b["of"], b["bin"], b["right"], b["n"]) for b in bins], precision)
+
+
+def thresholds(bins: list[tuple[str, int, float, int]], precision: float) -> dict[str, float]:
+    """Per family the lowest score from which on enough is right, of (family, bin, right, all)."""
     found = {}
     for family in FAMILIES:
-        right = n = 0.0
-        for row in sorted((b for b in bins if b["of"] == family), key=lambda b: -b["bin"]):
-            right, n = right + row["right"], n + row["n"]
-            # one more of each kind, so that a few lucky ones do not set a threshold
-            if (right + 1) / (n + 2) >= precision:
-                found[family] = row["bin"] / BINS
+        right = n = all_right = all_n = 0.0
+        for score in sorted({b for _, b, _, _ in bins}, reverse=True):
+            for of, at, good, count in bins:
+                if at == score:
+                    all_right, all_n = all_right + good, all_n + count
+                    if of == family:
+                        right, n = right + good, n + count
+            rate = (all_right + 1) / (all_n + 2)
+            if (right + PRIOR * rate) / (n + PRIOR) >= precision:
+                found[family] = score / BINS
     return found
 
 
+PICKED = "struct<start:bigint,end:bigint,score:double,kind:string,base:boolean>"
+
+
+def _clusters(sorted_spans: Column) -> Column:
+    """Spans in order of their starts, cut where none reaches over. Block by block, so that no
+    long array is copied for each span."""
+    nothing = F.array().cast(f"array<{PICKED}>")
+    none = F.array().cast(f"array<array<{PICKED}>>")
+
+    def state(open_: Column, reach: Column, closed: Column) -> Column:
+        return F.struct(open_.alias("open"), reach.alias("reach"), closed.alias("closed"))
+
+    def one(a: Column, s: Column) -> Column:
+        return F.when(
+            s["start"] < a["reach"],
+            state(F.concat(a["open"], F.array(s)), F.greatest(a["reach"], s["end"]), a["closed"]),
+        ).otherwise(
+            state(
+                F.array(s), s["end"],
+                F.when(F.size(a["open"]) > 0, F.concat(a["closed"], F.array(a["open"]))).otherwise(a["closed"]),
+            )
+        )
+
+    def block(a: Column, spans: Column) -> Column:
+        inner = F.aggregate(spans, state(a["open"], a["reach"], none), one)
+        return _let(
+            inner,
+            lambda i: F.struct(
+                i["open"].alias("open"), i["reach"].alias("reach"),
+                F.concat(a["blocks"], F.array(i["closed"])).alias("blocks"),
+            ),
+        )
+
+    last = F.floor((F.size(sorted_spans) - 1) / SWEEP).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(sorted_spans, b * SWEEP + 1, SWEEP))
+    begin = F.struct(
+        nothing.alias("open"), F.lit(-1).cast("bigint").alias("reach"),
+        F.array().cast(f"array<array<array<{PICKED}>>>").alias("blocks"),
+    )
+    whole = F.aggregate(
+        blocks, begin, block, lambda a: F.concat(F.flatten(a["blocks"]), F.array(a["open"]))
+    )
+    return F.when(F.size(sorted_spans) == 0, none).otherwise(whole)
+
+
+def _best_first(cluster: Column) -> Column:
+    """Of spans that may overlap, each unless it overlaps a better one that stays."""
+
+    def overlap(a: Column, b: Column) -> Column:
+        return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+    def order(s: Column) -> Column:
+        return F.struct(
+            (~s["base"]).alias("rank"), (-s["score"]).alias("score"), s["start"].alias("start"),
+            s["kind"].alias("kind"), s.alias("span"),
+        )
+
+    def take(kept: Column, o: Column) -> Column:
+        free = o["span"]["base"] | ~F.exists(kept, lambda k: overlap(k, o["span"]))
+        return F.when(free, F.concat(kept, F.array(o["span"]))).otherwise(kept)
+
+    picked = F.aggregate(
+        F.array_sort(F.transform(cluster, order)), F.array().cast(f"array<{PICKED}>"), take
+    )
+    return F.when(F.size(cluster) == 1, cluster).otherwise(picked)
+
+
+def pick(spans: Column) -> Column:
+    """What stays of proposals (start, end, score, kind, base)."""
+    return _let(
+        F.array_sort(spans), lambda s: F.flatten(F.transform(_clusters(s), _best_first))
+    )
+
+
 def find(docs: DataFrame, judge: Judge, text: str = "text") -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans`` (kind, start, end; by kind, then start)."""
     def shown(c: Column) -> Column:
@@ -309,39 +413,36 @@ def find(docs: DataFrame, judge: Judge, text: str = "text") -> DataFrame:
     def of_kind(spans: Column, kind: str) -> Column:
         return F.filter(spans, lambda s: s["kind"] == kind)
 
-    def overlap(a: Column, b: Column) -> Column:
-        return (a["start"] < b["end"]) & (b["start"] < a["end"])
+    def judged(found: Column) -> Column:
+        def one(c: Column) -> Column:
+            score = F.when(c["base"], 2.0).otherwise(judge.score(c["features"]))
+            return F.struct(shown(c).alias("s"), score.alias("score"), c["base"].alias("base"), c["family"].alias("family"))
 
-    def picked(found: Column) -> Column:
-        base = F.filter(found, lambda c: c["base"])
-        judged = F.transform(
-            F.filter(found, lambda c: ~c["base"]),
-            lambda c: F.struct(c.alias("c"), judge.score(c["features"]).alias("score")),
+        accepted = F.filter(
+            F.transform(found, one), lambda j: j["base"] | judge.accepts(j["family"], j["score"])
         )
-        accepted = F.filter(judged, lambda j: judge.accepts(j["c"]["family"], j["score"]))
-
-        def best(others: Column) -> Column:
-            return F.filter(
-                others,
-                lambda j, at: ~F.exists(base, lambda b: overlap(j["c"], b))
-                & ~F.exists(
-                    others,
-                    lambda o: overlap(j["c"], o["c"])
-                    & (
-                        (o["score"] > j["score"])
-                        | ((o["score"] == j["score"]) & (o["c"]["start"] < j["c"]["start"]))
-                        | (
-                            (o["score"] == j["score"]) & (o["c"]["start"] == j["c"]["start"])
-                            & (o["c"]["kind"] < j["c"]["kind"])
-                        )
-                    ),
-                ),
-            )
+        return F.transform(
+            accepted,
+            lambda j: F.struct(
+                j["s"]["start"].alias("start"), j["s"]["end"].alias("end"), j["score"].alias("score"),
+                j["s"]["kind"].alias("kind"), j["base"].alias("base"),
+            ),
+        )
+
+    def picked(found: Column) -> Column:
+        def span(s: Column) -> Column:
+            return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+
+        kept = F.transform(F.filter(found, lambda c: c["base"]), shown)
+
+        def listed(all_: Column) -> Column:
+            more = F.transform(F.filter(all_, lambda s: ~s["base"]), span)
+            by_kind = F.flatten(F.array(*[F.array_sort(of_kind(more, f"{f}_like")) for f in FAMILIES]))
+            return F.struct(kept.alias("base"), F.concat(kept, by_kind).alias("all"))
 
-        more = F.transform(_let(accepted, best), lambda j: shown(j["c"]))
-        kept = F.transform(base, shown)
-        by_kind = F.flatten(F.array(*[F.array_sort(of_kind(more, f"{f}_like")) for f in FAMILIES]))
-        return F.struct(kept.alias("base"), F.concat(kept, by_kind).alias("all"))
+        if not judge.thresholds:
+            return F.struct(kept.alias("base"), kept.alias("all"))
+        return _let(pick(judged(found)), listed)
 
     found = _let(_candidates(text_or_empty(text)), picked)
     kept = [c for c in docs.columns if c not in ("base_spans", "spans", "_found")]

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from llm_cases import prose
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -101,3 +103,71 @@ def test_thresholds_come_from_all_documents(spark):
     assert personal_data._calibrated(judge.model, copies.selectExpr("text AS _text"), 0.9) == (
         personal_data._calibrated(judge.model, docs.selectExpr("text AS _text"), 0.9)
     )
+
+
+def best_first(spans):
+    kept = []
+    for s in sorted(spans, key=lambda s: (not s[4], -s[2], s[0], s[3], s[1])):
+        if s[4] or not any(s[0] < k[1] and k[0] < s[1] for k in kept):
+            kept.append(s)
+    return sorted(kept)
+
+
+def test_picking_against_brute_force(spark):
+    chance = random.Random(4)
+    rows = []
+    for n in range(60):
+        found = []
+        for _ in range(chance.choice([0, 1, 3, 40, 700])):
+            start = chance.randrange(0, 4_000)
+            base = chance.random() < 0.2
+            found.append((start, start + chance.randrange(1, 25), 2.0 if base else round(chance.random(), 1), chance.choice("abc"), base))
+        rows.append((n, list(dict.fromkeys(found))))
+    # a chain in which each beats the one before: the first stays beside the third
+    rows.append((60, [(0, 10, 0.5, "a", False), (8, 20, 0.6, "a", False), (18, 30, 0.7, "a", False)]))
+    df = spark.createDataFrame(rows, f"id int, spans array<{personal_data.PICKED}>")
+    for row in df.select("id", personal_data.pick(F.col("spans")).alias("kept")).collect():
+        assert sorted(map(tuple, row.kept)) == best_first(rows[row.id][1]), row.id
+    assert [s[0] for s in best_first(rows[60][1])] == [0, 18]
+
+
+def test_very_many_proposals_in_one_text(spark):
+    judge = personal_data.fit(telephone_docs(spark), precision=0.9)
+    text = "call 917-555-1234 or +1 (917) 555-1234, 4111 1111 1111 1112, a@b.cc; " * 25_000
+    docs = spark.createDataFrame([(1, text)], ["doc_id", "text"])
+    began = time.monotonic()
+    (row,) = personal_data.find(docs, judge).select(F.size("base_spans").alias("base"), F.size("spans").alias("all")).collect()
+    assert time.monotonic() - began < 60
+    assert row.base == 50_000 and row.all >= 75_000
+
+
+def card_docs(spark):
+    """Numbers of one format, told apart by what stands before them."""
+    rows = []
+    for n in range(300):
+        body = f"{410000000000000 + n * 7919}"
+        total = sum(d - 9 * (d > 9) for d in (int(c) * (2 - k % 2) for k, c in enumerate(body)))
+        check = (10 - total % 10) % 10
+        rows.append((2 * n, f"{prose(n, 6)} card {body}{check} {prose(n, 3)}"))
+        rows.append((2 * n + 1, f"{prose(n, 6)} batch {body}{(check + 1 + n % 9) % 10} {prose(n, 3)}"))
+    return spark.createDataFrame(rows, ["doc_id", "text"])
+
+
+def test_context_is_learned(spark):
+    judge = personal_data.fit(card_docs(spark))
+    importance = dict(zip(personal_data.FEATURES, judge.model.featureImportances.toArray(), strict=True))
+    assert importance["hint"] > 0.5 and importance["digits"] == 0 == importance["length"]
+    ask = spark.createDataFrame(
+        [(1, "my card 4111111111111112 (a slip)"), (2, "batch 4111111111111112")], ["doc_id", "text"]
+    )
+    first, second = sorted(personal_data.find(ask, judge).collect(), key=lambda r: r.doc_id)
+    assert [s.kind for s in first.spans] == ["card_like"] and second.spans == [] == first.base_spans
+
+
+def test_few_labels_count_with_those_of_all_families():
+    many = [("card", 40, 97, 100), ("card", 10, 0, 100)]
+    assert personal_data.thresholds(many, 0.95)["card"] == 0.8
+    # none of its own: the rate of all; a few of its own move it
+    assert personal_data.thresholds(many, 0.95)["phone"] == 0.8
+    assert "phone" not in personal_data.thresholds([*many, ("phone", 40, 0, 3)], 0.95)
+    assert personal_data.thresholds([], 0.95) == {}
