@@ -10,12 +10,15 @@ The prediction is the language that labels most letters, the score its share of
 go to the language that comes first in the model (by code point).
 
 The model is fitted on a bounded sample: about ``docs_per_language`` labelled texts per
-language, picked by a hash of the text. Its size is languages x buckets.
+language, picked by a hash of the text, for the ``most_languages`` languages with the most labelled
+texts. Its size is languages x buckets; beyond ``WIDE`` languages n-grams share buckets, twice as
+many for twice the languages, so that it stays below 50 MB.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and no spans;
 so is every text if nothing was learned. A text none of whose scripts was seen in training
 takes the language of most training letters. Rows with a null language or text teach
-nothing. A text of any length is read whole: letters are scored block by block, and only
+nothing, nor do languages beyond ``most_languages``. An empty table gives an empty result. A text of
+any length is read whole: letters are scored block by block, and only
 word scores are kept. Repeated rows are rows of their own; input columns named like result
 columns are replaced.
 """
@@ -43,6 +46,7 @@ from spanfold.llm.common import pieces, tidy
 
 UNKNOWN = "und"
 MOST_LANGUAGES = 500
+WIDE = 64
 BITS = 16
 BUCKETS = 1 << BITS
 ORDERS = 3
@@ -163,22 +167,28 @@ class Model:
     # (script, language), whether the language uses the script
     scripts: np.ndarray
     fallback: int
+    # buckets of n-grams that count as one are 2 ** shared
+    shared: int = 0
 
 
 def fit(
     labelled: DataFrame, text: str = "text", lang: str = "lang",
     docs_per_language: int = 2_000, smoothing: float = 0.5, least_share: float = 0.01,
+    most_languages: int = MOST_LANGUAGES,
 ) -> Model:
-    """Learn from labelled texts. ``docs_per_language`` bounds (in the mean) the sample."""
+    """Learn from labelled texts. ``docs_per_language`` bounds (in the mean) the sample,
+    ``most_languages`` what can be predicted."""
     rows = labelled.select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).take(MOST_LANGUAGES + 1)
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    n = F.lit(0)
-    for size in sizes:
-        n = F.when(F.col("lang") == size["lang"], size["n"]).otherwise(n)
+    by_size = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = {r["lang"]: r["n"] for r in by_size.limit(most_languages).collect()}
+    languages = tuple(sorted(sizes))
+    number = {name: k for k, name in enumerate(languages)}
+    shared = (max(0, len(languages) - 1) // WIDE).bit_length()
+    n = F.lit(None).cast("long")
+    for name, size in sizes.items():
+        n = F.when(F.col("lang") == name, size).otherwise(n)
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) * n < docs_per_language * (1 << 20))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,30 +208,30 @@ def fit(
                             )
                         seen += np.bincount(block.script, minlength=OTHER + 1)
         for name, total in grams.items():
-            both = np.concatenate([total, scripts[name]])
+            both = np.concatenate([total.reshape(-1, 1 << shared).sum(axis=1), scripts[name]])
             some = np.flatnonzero(both)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(some)), pa.array(some), pa.array(both[some])],
+                [pa.array(np.full(len(some), number[name])), pa.array(some), pa.array(both[some])],
                 names=["lang", "slot", "n"],
             )
 
-    # at most languages x slots rows, whatever the size of the corpus
+    # bounded by the size of the model, whatever the size of the corpus
     counts = (
-        sample.mapInArrow(tidy(count), "lang string, slot long, n long")
-        .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+        sample.mapInArrow(tidy(count), "lang long, slot long, n long")
+        .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     )
-    languages = tuple(sorted(counts["lang"].unique()))
-    dense = np.zeros((ORDERS * BUCKETS + OTHER + 1, len(languages)))
-    number = {name: k for k, name in enumerate(languages)}
-    dense[counts["slot"].to_numpy(int), counts["lang"].map(number).to_numpy(int)] = counts["n"]
-    grams = dense[: ORDERS * BUCKETS].reshape(ORDERS, BUCKETS, -1) + smoothing
-    seen = dense[ORDERS * BUCKETS :]
+    buckets = BUCKETS >> shared
+    dense = np.zeros((ORDERS * buckets + OTHER + 1, len(languages)))
+    dense[counts["slot"].to_numpy(), counts["lang"].to_numpy()] = counts["n"].to_numpy()
+    grams = dense[: ORDERS * buckets].reshape(ORDERS, buckets, -1) + smoothing
+    seen = dense[ORDERS * buckets :]
     letters = seen.sum(axis=0)
     return Model(
         languages,
         np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32),
         seen >= least_share * np.maximum(letters, 1),
         int(np.argmax(letters)) if languages else 0,
+        shared,
     )
 
 
@@ -233,9 +243,10 @@ def _word_scores(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     for block in words.blocks():
         begins = np.cumsum(block.sizes) - block.sizes
         here = slice(block.first, block.first + len(begins))
-        letter = model.weights[0][block.buckets[0]]
+        shared = np.uint32(model.shared)
+        letter = model.weights[0][block.buckets[0] >> shared]
         for order in range(1, ORDERS):
-            letter += model.weights[order][block.buckets[order]]
+            letter += model.weights[order][block.buckets[order] >> shared]
         scores[here] += np.add.reduceat(letter, begins, axis=0) / ORDERS
         for script in np.unique(block.script):
             most[here, script] += np.add.reduceat((block.script == script).astype(np.int32), begins)
@@ -339,9 +350,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text", switch: float =
     )
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
 
+    # a word has a score for each language
+    most_bytes = CHUNK_BYTES * 16 // max(16, len(model.languages))
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "_text", CHUNK_BYTES):
+            for part in pieces(batch, "_text", most_bytes):
                 texts = [t or "" for t in part.column("_text").to_pylist()]
                 found = label_texts(texts, model, switch)
                 columns = [

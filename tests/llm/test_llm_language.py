@@ -65,3 +65,20 @@ def test_scripts_narrow_the_candidates(spark):
     ask = spark.createDataFrame([("незнакомые слова",), ("中文",), ("other words",)], ["text"])
     found = [r.lang_pred for r in language.identify(ask, model).collect()]
     assert found[0] == "ru" and found[2] == "en" and found[1] in ("en", "ru")
+
+
+def test_any_number_of_labels(spark, monkeypatch):
+    """Many labels share buckets of n-grams and are told apart still; those beyond the bound are
+    the rarest."""
+    rows = []
+    for n in range(150):
+        word = "".join(chr(97 + int(c)) for c in np.random.default_rng(n).integers(0, 26, 9))
+        rows += [(" ".join([word, word[::-1], word[2:]] * 4), f"l{n:03}")] * (2 if n < 140 else 1)
+    docs = spark.createDataFrame(rows, ["text", "lang"])
+    model = language.fit(docs)
+    assert len(model.languages) == 150 and model.shared == 2
+    assert model.weights.nbytes <= 3 * language.BUCKETS * language.WIDE * 4
+    found = language.identify(docs.distinct(), model).select("lang", "lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.9 * len(found)
+    few = language.fit(docs, most_languages=140)
+    assert few.languages == tuple(f"l{n:03}" for n in range(140))
