@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from spanfold.sources.scratch import release, stored
 
 MARKS = 1 << 26
+LEAST_MARKS, MOST_MARKS = 1 << 20, 1 << 28
 PAGE_BITS = 15
 PAGE = 1 << PAGE_BITS
 BLOCK_ITEMS = 1_024
@@ -60,22 +61,26 @@ def choose_bands(agreement: float, recall: float, most_bands: int, most_rows: in
     raise ValueError(f"{most_bands} bands do not reach a recall of {recall}")
 
 
-def mark(*columns: Column | str) -> Column:
-    """A hash folded onto the bits of a bitmap of fixed size."""
-    return F.xxhash64(*columns).bitwiseAND(MARKS - 1)
-
-
 def bitmaps(marks: DataFrame, column: str) -> DataFrame:
-    """(page, bits): the marks that occur, 4 KB a page, 8 MB in all at most."""
+    """(page, bits): the marks that occur, 4 KB a page."""
     return marks.groupBy(F.shiftright(column, PAGE_BITS).alias("_page")).agg(
         F.bitmap_construct_agg(F.col(column).bitwiseAND(PAGE - 1)).alias("_bits")
     )
 
 
 def prefiltered(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Most rows whose value in ``column`` is not among the ``wanted`` ones fall away before
-    a join shuffles them. What is broadcast is a bitmap of fixed size; the fuller it is, the
-    more rows go on to the join, which decides."""
+    """Most rows whose value in ``column`` is not among the ``wanted`` ones (a written table) fall
+    away before a join shuffles them. What is broadcast is a bitmap with some 64 bits per wanted
+    row, ``MOST_MARKS`` at most. Where that would be too full to tell rows apart, all rows go on
+    to the join, which decides in any case."""
+    n = wanted.count()
+    if n > MOST_MARKS // 2:
+        return rows
+    marks = min(MOST_MARKS, max(LEAST_MARKS, 1 << (64 * n).bit_length()))
+
+    def mark(name: str) -> Column:
+        return F.xxhash64(name).bitwiseAND(marks - 1)
+
     pages = stored(bitmaps(wanted.select(mark(column).alias("_mark")), "_mark"), "marks")
     at = F.col("_mark").bitwiseAND(PAGE - 1)
     byte = F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
@@ -86,7 +91,7 @@ def prefiltered(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 
 
 def shared_buckets(entries: DataFrame) -> DataFrame:
-    """(item, places): per item the buckets it shares with others, each (band, key, blocks).
+    """(item, places), written: per item the buckets it shares with others, each (band, key, blocks).
 
     ``entries`` has a row per item and band: item, size (of its payload), band, key.
     """
@@ -105,9 +110,12 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
         F.greatest(F.ceil(F.col("n") / BLOCK_ITEMS), F.ceil(F.col("sizes") / BLOCK_SIZE)).alias("blocks"),
     )
     # at most one place per band
-    return members.join(kept, bucket).groupBy("item").agg(
+    places = members.join(kept, bucket).groupBy("item").agg(
         F.collect_list(F.struct("band", "key", "blocks")).alias("places")
     )
+    places = stored(places, "places")
+    release(crowded, members)
+    return places
 
 
 def verified(placed: DataFrame, n_bands: int, payload: Sequence[str], verify: Verify) -> DataFrame:

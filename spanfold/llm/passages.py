@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from spanfold.llm import linkage
 from spanfold.llm.common import pieces, text_or_empty
 from spanfold.llm.minhash import MinHash, mixed, shingles, word_hashes
-from spanfold.sources.scratch import stored
+from spanfold.sources.scratch import release, stored
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -234,6 +234,7 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
     anchor are the same wherever it stands, a group of them is one row."""
     anchors = stored(_anchors(texts, size), "anchors")
     bits, differ = _marked(anchors), _marked(anchors.where("differ"))
+    release(anchors)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -383,7 +384,7 @@ def repeated_passages(
     )
     items = stored(items, "items")
     entries = items.where("keys is not null").select("item", "size", F.posexplode("keys").alias("band", "key"))
-    places = stored(linkage.shared_buckets(entries), "places")
+    places = linkage.shared_buckets(entries)
     # an item comes from every chunk that it stands in; one copy of its set goes on
     sets = _sets(texts, places.select("item")).groupBy("item").agg(F.first("grams").alias("grams"))
     placed = places.join(sets, "item").withColumn("weight", F.lit(1).cast("long"))
@@ -400,6 +401,7 @@ def repeated_passages(
     repeated = stored(
         similar.where(F.col("first.id") < F.col("last_id")).unionByName(same).drop("last_id"), "repeated"
     )
+    release(items, places, clusters)
     rows = linkage.prefiltered(found.drop("keys"), "item", repeated).join(repeated, "item").withColumn(
         "removed", F.struct("id", "start") != F.col("first")
     )

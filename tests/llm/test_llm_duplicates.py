@@ -102,6 +102,8 @@ def test_prefilter_loses_nothing(spark, monkeypatch):
         assert kept.columns == ["key"]
         assert kept.join(wanted, "key").count() == wanted.count()
     assert kept.count() == wanted.count()
+    monkeypatch.setattr(linkage, "MOST_MARKS", 16)  # too many to tell apart: all go on
+    assert linkage.prefiltered(rows, "key", wanted).count() == 1_000
 
 
 def test_estimates_are_unbiased_and_bounded():
