@@ -45,10 +45,10 @@ from pyspark.sql.types import (
 from spanfold.llm.common import pieces, tidy
 
 MARK = "▁"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
 # what a worker remembers from chunk to chunk
-REMEMBERED_BYTES = 24 << 20
-REMEMBERED_PAIRS = 200_000
+REMEMBERED_BYTES = 40 << 20
+REMEMBERED_PAIRS = 300_000
 _WORD_BYTES = 200  # of a short word and its ids, about
 _LONG_WORD = 64
 _UNIGRAM, _BPE = 1, 2
