@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanfold.llm import linkage
-from spanfold.llm.common import pieces, text_or_empty
+from spanfold.llm.common import pieces, text_or_empty, tidy
 from spanfold.llm.minhash import MinHash, mixed, shingles, word_hashes
 from spanfold.sources.scratch import release, stored
 
@@ -84,17 +84,16 @@ def laid_out(texts: list[bytes], least: int) -> Words | None:
     starts, ends = edges[::2], edges[1::2]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    owner = np.searchsorted(offsets, starts, "right") - 1
-    line = np.cumsum(data == 10)[starts]
+    first = np.searchsorted(starts, offsets)  # of each text
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.append(first, len(starts))))
+    number = np.arange(len(starts)) - first[owner]
     closes = _SENTENCE_END[data[ends - 1]]
-    closes[:-1] |= line[1:] != line[:-1]
-    points = np.cumsum((data & 0xC0) != 0x80)
-    before = np.where(offsets > 0, points[np.maximum(offsets - 1, 0)], 0)[owner]
-    number = np.arange(len(words)) - np.searchsorted(owner, owner)
-    return Words(
-        starts, ends, owner, number, word_hashes(words), closes,
-        points[starts] - 1 - before, points[ends - 1] - before,
-    )
+    line_ends = np.searchsorted(starts, np.flatnonzero(data == 10)) - 1  # the word before
+    closes[line_ends[(line_ends >= 0) & (line_ends < len(starts) - 1)]] = True
+    # code points: less the bytes that go on with a character
+    inner = np.flatnonzero(data.view(np.int8) < -64)
+    begin, stop, offsets = (at - np.searchsorted(inner, at) if len(inner) else at for at in (starts, ends, offsets))
+    return Words(starts, ends, owner, number, word_hashes(words), closes, begin - offsets[owner], stop - offsets[owner])
 
 
 @dataclass(frozen=True)
@@ -222,7 +221,7 @@ def _anchors(texts: DataFrame, size: int) -> DataFrame:
                         names=["id", "item", "windows"],
                     )
 
-    found = texts.mapInArrow(read, "id long, item long, windows long").groupBy("item").agg(
+    found = texts.mapInArrow(tidy(read), "id long, item long, windows long").groupBy("item").agg(
         F.min("id").alias("least"), F.max("id").alias("most"),
         (F.min("windows") != F.max("windows")).alias("differ"),
     )
@@ -266,7 +265,7 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
                     names=["id", "item", *_PLACE],
                 )
 
-    return texts.mapInArrow(read, "id long, item long, " + ", ".join(f"{c} int" for c in _PLACE))
+    return texts.mapInArrow(tidy(read), "id long, item long, " + ", ".join(f"{c} int" for c in _PLACE))
 
 
 def _same_windows(texts: DataFrame, size: int) -> DataFrame:
@@ -324,7 +323,7 @@ def _occurrences(texts: DataFrame, bands: linkage.Bands) -> DataFrame:
             )
 
     return texts.mapInArrow(
-        read,
+        tidy(read),
         "id long, number long, word long, n_words long, start long, end long, item long, keys array<long>",
     )
 
@@ -364,7 +363,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(found.item[items]), pa.array(sets, pa.list_(pa.int64()))], names=["item", "grams"]
             )
 
-    return texts.mapInArrow(read, "item long, grams array<long>")
+    return texts.mapInArrow(tidy(read), "item long, grams array<long>")
 
 
 def repeated_passages(
