@@ -119,7 +119,7 @@ def cut(texts: list[bytes]) -> Paragraphs | None:
     last = np.ones(len(hashes), bool)
     pair = mixed(hashes[1:] + np.uint64(3) * mixed(hashes[:-1]))
     last[1:-1] = pair[:-1] % np.uint64(CUT_ONE_IN) == 0
-    last[0] = len(hashes) == 1
+    last[:-1] &= words.number[:-1] > 0  # a pair is of one text, whatever stands before it
     last |= words.closes
     stop = np.flatnonzero(last) + 1
     begin = np.concatenate([[0], stop[:-1]])

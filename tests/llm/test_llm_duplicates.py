@@ -251,3 +251,17 @@ def test_unpunctuated_passages_are_found_to_the_word(spark):
         assert r.removed == (r.doc_id % 2 == 1) and r.kept_doc_id == r.doc_id // 2 * 2
         exact += passage == body
     assert exact >= 0.9 * len(found)
+
+
+def test_paragraphs_do_not_depend_on_the_texts_read_with_them():
+    chance = random.Random(5)
+    texts = [
+        " ".join(f"w{chance.randrange(10**6)}" for _ in range(chance.randrange(5, 60))).encode() for _ in range(300)
+    ]
+    together = passages.cut(texts)
+    for n, text in enumerate(texts):
+        alone = passages.cut([text])
+        mine = together.text == n
+        for name in ("item", "word", "n_words", "start", "end"):
+            expected = [] if alone is None else getattr(alone, name).tolist()
+            assert getattr(together, name)[mine].tolist() == expected
