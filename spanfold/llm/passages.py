@@ -384,8 +384,10 @@ def repeated_passages(
     items = stored(items, "items")
     entries = items.where("keys is not null").select("item", "size", F.posexplode("keys").alias("band", "key"))
     places = linkage.shared_buckets(entries)
-    # an item comes from every chunk that it stands in; one copy of its set goes on
-    sets = _sets(texts, places.select("item")).groupBy("item").agg(F.first("grams").alias("grams"))
+    # read where an item stands first; it may come from other texts too, and one copy of its set goes on
+    first = items.select("item", "first.id").join(places.select("item"), "item").select("id").distinct()
+    first = stored(first, "first")
+    sets = _sets(linkage.prefiltered(texts, "id", first), places.select("item")).groupBy("item").agg(F.first("grams").alias("grams"))
     placed = places.join(sets, "item").withColumn("weight", F.lit(1).cast("long"))
     pairs = linkage.verified(placed, bands.bands, ["grams"], linkage.jaccard_links(threshold))
     _, clusters = linkage.clustered(pairs)
@@ -400,7 +402,7 @@ def repeated_passages(
     repeated = stored(
         similar.where(F.col("first.id") < F.col("last_id")).unionByName(same).drop("last_id"), "repeated"
     )
-    release(items, places, clusters)
+    release(items, places, clusters, first)
     rows = linkage.prefiltered(found.drop("keys"), "item", repeated).join(repeated, "item").withColumn(
         "removed", F.struct("id", "start") != F.col("first")
     )
