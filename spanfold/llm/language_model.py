@@ -1,29 +1,31 @@
 """Scoring texts with a probabilistic suffix tree over words, on top of a unigram score.
 
-Texts are lower-cased (A-Z only) and read as words, then one end. Unigram (base) score: a
-token seen c times of N, among V distinct ones, has probability (c + 1) / (N + V + 1).
-
-The tree's symbols are the words that make up at least 1e-4 of all tokens (10,000 at most, by
-that very bound) and one symbol for all rarer words, which share its probability as their
-base scores say; texts begin with a symbol of their own. Contexts grow level by level: a
-run of symbols that makes up at least 1e-5 of all tokens is a candidate, and what follows it
-is counted over all training texts. Next-symbol distributions are smoothed with that of
-the context one symbol shorter, which also gets the mass of followers below 1e-6 of all
-tokens. A candidate becomes a state if it diverges enough: the log-likelihood it wins over
-the shorter context on its own counts must exceed half a log of N per follower; suffixes of
-states are states. Every token is scored in its longest suffix state. As all
-distributions go back to the base, the score is the base score plus, per token, the log
-ratio of state and base.
-
-Words travel as 64-bit hashes (two words of one hash would count as one). Words of at least
-1e-5 of all tokens (100,000 at most) are looked up where a text is read; only the rarer
-ones are shuffled to their counts, so no word is a hot key.
-
-Sizes: the tree is bounded by the shares above, whatever the corpus; word and follower
-counts grow with the corpus and stay distributed.
+Texts are lower-cased (A-Z only) and read as words, then one end, which also stands before the
+first word. Unigram (base) score: a token seen c times of N, among V distinct ones, has
+probability (c + 1) / (N + V + 1).
+
+The tree's symbols are all words. Contexts grow level by level: a run of words seen at least
+``LEAST`` times is a candidate, and what follows it is counted over all training texts; a run
+can be that frequent only if it is so without its first and without its last word. Followers
+seen less often leave their mass to the context one word shorter, with whose distribution each
+is smoothed: P(s | c) = n(c, s) / (n(c) + w) + spare(c) * P(s | shorter c), spare(c) being what
+the listed followers leave. A candidate becomes a state if it diverges enough: the
+log-likelihood it wins over the shorter context on its own counts must exceed half a log of N
+per follower; suffixes of states are states. Every token is scored in its longest suffix state.
+
+So the log-probability of a text is a sum over its runs of up to ``depth`` + 1 words: a word
+brings its base probability, a run that ends with a state's listed follower the logarithm of
+P(s | c) / (spare(c) P(s | shorter c)), and a run that is a state log spare(c) for the token
+after it. All this is one written table (run, value), which grows with the corpus and stays
+distributed; runs of at least ``COMMON_SHARE`` of all tokens (100,000 of each length at most, by
+that very bound) are looked up where a text is read, the rarer ones are shuffled to their
+values, so none is a hot key. Runs travel as 64-bit hashes (two of one hash would count as
+one). A bitmap of fixed size keeps most runs without a value out of the shuffle; where the
+corpus fills it, more of them go on to the join, which decides in any case.
 
 Defined cases: a null text is an empty one: one token, its end; without training texts the
-scores are 0. Texts of any length are read whole. Repeated rows are rows of their own; input
+scores are 0; an empty table has no scores. Texts of any length are read whole. Repeated rows are
+rows of their own and score the same; nothing depends on order, so there are no ties; input
 columns named like result columns are replaced.
 """
 
@@ -32,6 +34,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,17 +42,25 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanfold.llm.common import pieces
+from spanfold.llm import linkage
+from spanfold.llm.common import pieces, tidy
 from spanfold.llm.minhash import word_hashes
-from spanfold.sources.scratch import stored
+from spanfold.sources.scratch import release, stored
 
 DEPTH = 2
-BEGIN, RARE, FIRST = 0, 1, 2
-SYMBOL_SHARE = 1e-4
-CONTEXT_SHARE = COMMON_SHARE = 1e-5
-FOLLOWER_SHARE = 1e-6
+LEAST = 2
+WEIGHT = 8.0  # how many observations the shorter context's distribution stands for
+COMMON_SHARE = 1e-5
 CHUNK_BYTES = 4 << 20
 
+# Fixed values of xxHash64.
+_PRIMES = tuple(
+    np.uint64(p)
+    for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5,
+    )
+)
+
 
 def _words(texts: list[bytes | None]) -> list[list[bytes]]:
     # bytes: lower() is A-Z only, split() is at the six ASCII blanks
@@ -63,6 +74,37 @@ def _hashes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(flat).view(np.int64), sizes
 
 
+def _turned(values: np.ndarray, by: int) -> np.ndarray:
+    return (values << np.uint64(by)) | (values >> np.uint64(64 - by))
+
+
+def run_keys(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Key of a run, from those of the run without its last and without its first word. The
+    same as ``xxhash64(context, suffix)`` in SQL."""
+    one, two, three, four, five = _PRIMES
+    key = np.full(len(context), 42, np.uint64)
+    for values in (context, suffix):
+        key = key + (five + np.uint64(8))
+        key ^= _turned(values.view(np.uint64) * two, 31) * one
+        key = _turned(key, 27) * one + four
+        key = (key ^ (key >> np.uint64(33))) * two
+        key = (key ^ (key >> np.uint64(29))) * three
+        key ^= key >> np.uint64(32)
+    return key.view(np.int64)
+
+
+def runs(hashes: np.ndarray, sizes: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For contexts of one word, two, and so on, per token: the context's key, the key of the run
+    without the context's first word, and whether the text goes back that far. Before a text's
+    first word stands the end of the text before, which is an end like its own."""
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    key = hashes
+    for length in range(1, depth + 1):
+        context = np.roll(key, 1)
+        yield context, key, place >= length - 1
+        key = run_keys(context, key)
+
+
 def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Place of each value, or -1."""
     if not len(sorted_values):
@@ -71,101 +113,32 @@ def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == values, at, -1)
 
 
-@dataclass(frozen=True)
-class Level:
-    """States with contexts of one length. ``followers`` are context * symbols + symbol;
-    ``ratio`` is log10 of a follower's probability over its base probability, ``rest`` the
-    log10 factor from the shorter context's probability to that of any other symbol."""
-
-    contexts: np.ndarray
-    rest: np.ndarray
-    followers: np.ndarray
-    ratio: np.ndarray
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Marks of the keys; they are hashes, so their last bits are their marks."""
+    pages = linkage.bitmaps(keys.select(F.col("key").bitwiseAND(linkage.MARKS - 1).alias("mark")), "mark")
+    bits = np.zeros(linkage.MARKS // 8, np.uint8)
+    for page in pages.toLocalIterator():
+        begin = page["_page"] * linkage.PAGE // 8
+        bits[begin : begin + linkage.PAGE // 8] = np.frombuffer(page["_bits"], np.uint8)
+    return bits
 
 
-@dataclass(frozen=True)
-class Tree:
-    words: np.ndarray  # hashes of the words that are symbols, sorted
-    levels: tuple[Level, ...]
-
-    @property
-    def symbols(self) -> int:
-        return len(self.words) + FIRST
-
-    def read(self, hashes: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """Contexts of one to ``depth`` symbols of every token, and its symbol."""
-        at = _found(self.words, hashes)
-        symbol = np.where(at >= 0, at + FIRST, RARE)
-        place = np.arange(len(hashes)) + depth * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-        laid = np.full(len(hashes) + depth * (len(sizes) + 1), BEGIN, np.int64)
-        laid[place] = symbol
-        contexts, code, scale = [], np.zeros(len(hashes), np.int64), 1
-        for back in range(1, depth + 1):
-            code = code + laid[place - back] * scale
-            scale *= self.symbols
-            contexts.append(code)
-        return contexts, symbol
-
-    def ratios(self, contexts: list[np.ndarray], symbol: np.ndarray) -> np.ndarray:
-        """log10 of probability over base probability, per token. As suffixes of states are
-        states, each level either knows the follower or passes on the level before."""
-        ratio = np.zeros(len(symbol))
-        for context, level in zip(contexts, self.levels, strict=False):
-            at = _found(level.contexts, context)
-            state = np.flatnonzero(at >= 0)
-            follower = _found(level.followers, context[state] * self.symbols + symbol[state])
-            known = follower >= 0
-            ratio[state[known]] = level.ratio[follower[known]]
-            ratio[state[~known]] += level.rest[at[state[~known]]]
-        return ratio
-
-
-def grown(
-    tree: Tree, base: np.ndarray, contexts: np.ndarray, sizes: np.ndarray, followers: np.ndarray,
-    counts: np.ndarray, tokens: int, weight: float = 8.0,
-) -> tuple[Level, np.ndarray]:
-    """A further level of all candidates, and which of them diverge enough.
-
-    ``weight`` is how many observations the shorter context's distribution stands for.
-    """
-    symbols, depth = tree.symbols, len(tree.levels) + 1
-    owner = _found(contexts, followers // symbols)
-    owner, followers, counts = owner[owner >= 0], followers[owner >= 0], counts[owner >= 0]
-    symbol, context = followers % symbols, followers // symbols
-    shorter = [context % symbols**length for length in range(1, depth)]
-    before = tree.ratios(shorter, symbol)
-    listed = np.bincount(owner, counts, len(contexts))
-    spare = (weight + sizes - listed) / (sizes + weight)
-    share = counts / (sizes + weight)[owner] + spare[owner] * base[symbol] * 10.0**before
-    ratio = np.log10(share / base[symbol])
-    won = np.bincount(owner, counts * (ratio - before), len(contexts)) + (sizes - listed) * np.log10(spare)
-    kinds = np.bincount(owner, minlength=len(contexts)) + 1
-    diverges = won > 0.5 * np.log10(tokens + 1) * kinds
-    return Level(contexts, np.log10(spare), followers, ratio), diverges
-
-
-def pruned(tree: Tree, diverges: list[np.ndarray]) -> Tree:
-    """Only states, and the suffixes that lead to them."""
-    levels: list[Level] = []
-    needed = np.empty(0, np.int64)
-    for number in range(len(tree.levels), 0, -1):
-        level = tree.levels[number - 1]
-        keep = diverges[number - 1] | np.isin(level.contexts, needed)
-        contexts = level.contexts[keep]
-        some = np.isin(level.followers // tree.symbols, contexts)
-        levels.append(Level(contexts, level.rest[keep], level.followers[some], level.ratio[some]))
-        needed = np.unique(contexts % tree.symbols ** (number - 1))
-    return Tree(tree.words, tuple(reversed(levels)))
+def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    mark = keys & (linkage.MARKS - 1)
+    return (bits[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 > 0
 
 
 @dataclass(frozen=True)
 class Model:
-    tree: Tree
     tokens: int
     distinct: int
-    counts: DataFrame  # word (hash), n
-    common: np.ndarray  # hashes of the common words, sorted
-    common_n: np.ndarray
+    depth: int
+    values: DataFrame  # key, n, known, gain (base), ratio: what a run adds to a score
+    common: np.ndarray  # keys of the common runs, sorted
+    known: np.ndarray
+    gain: np.ndarray
+    ratio: np.ndarray
+    marks: np.ndarray  # of runs of two words or more that have a value
 
 
 def _as_bytes(docs: DataFrame, text: str, *rest: Column) -> DataFrame:
@@ -177,69 +150,110 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batch, "_text", CHUNK_BYTES):
             hashes, _ = _hashes(_words(part.column("_text").to_pylist()))
             found, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["key", "n"])
 
 
-def _count_followers(texts: DataFrame, tree: Tree, depth: int, contexts: np.ndarray | None) -> DataFrame:
-    """(code, n): how often a symbol follows a context of ``depth`` symbols, out of
-    ``contexts`` if given; the code is context * symbols + symbol."""
+def _count_runs(texts: DataFrame, length: int, marks: np.ndarray | None) -> DataFrame:
+    """(context, suffix, n) of runs of ``length`` words and a follower, seen ``LEAST`` times; where
+    ``marks`` are given, only of those with context and suffix among them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "_text", CHUNK_BYTES):
-                hashes, sizes = _hashes(_words(part.column("_text").to_pylist()))
-                all_contexts, symbol = tree.read(hashes, sizes, depth)
-                code = all_contexts[-1] * tree.symbols + symbol
-                if contexts is not None:
-                    code = code[_found(contexts, all_contexts[-1]) >= 0]
-                found, n = np.unique(code, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["code", "n"])
+                *_, (context, suffix, there) = runs(*_hashes(_words(part.column("_text").to_pylist())), length)
+                if marks is not None:
+                    there &= _has(marks, context) & _has(marks, suffix)
+                context, suffix = context[there], suffix[there]
+                _, at, n = np.unique(run_keys(context, suffix), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(context[at]), pa.array(suffix[at]), pa.array(n)], names=["context", "suffix", "n"]
+                )
 
-    return texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(tidy(count), "context long, suffix long, n long")
+    return counted.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 
 
-def _pairs(rows: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
-    found = rows.select(key, "n").toPandas().sort_values(key)
-    return found[key].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+def _level(counted: DataFrame, shorter: DataFrame) -> DataFrame:
+    """Probabilities of the counted followers. ``shorter`` has key, n and p, the probability of
+    a run's last word after the others, for runs one word shorter."""
+    contexts = counted.groupBy("context").agg(F.sum("n").alias("listed"), F.count("n").alias("kinds"))
+    contexts = contexts.join(shorter.select(F.col("key").alias("context"), F.col("n").alias("size")), "context")
+    contexts = contexts.withColumn("spare", (F.col("size") - F.col("listed") + WEIGHT) / (F.col("size") + WEIGHT))
+    rows = counted.join(shorter.select(F.col("key").alias("suffix"), F.col("p").alias("before")), "suffix")
+    return rows.join(contexts, "context").select(
+        F.xxhash64("context", "suffix").alias("key"), "context", "suffix", "n", "size", "listed", "kinds", "spare",
+        "before", (F.col("n") / (F.col("size") + WEIGHT) + F.col("spare") * F.col("before")).alias("p"),
+    )
 
 
-def fit(docs: DataFrame, text: str = "text", depth: int = DEPTH) -> Model:
-    """Learn from all ``docs``."""
+def _states(levels: list[DataFrame], tokens: int) -> list[DataFrame]:
+    """(context, n, rest) per level: contexts that diverge, and the suffixes of longer ones."""
+    states: list[DataFrame] = []
+    needed = None
+    for number in range(len(levels) - 1, -1, -1):
+        level = levels[number]
+        left = F.first("size") - F.first("listed")
+        found = level.groupBy("context").agg(
+            F.first("size").alias("n"), F.log10(F.first("spare")).alias("rest"),
+            (F.sum(F.col("n") * F.log10(F.col("p") / F.col("before"))) + left * F.log10(F.first("spare"))).alias("won"),
+            (0.5 * math.log10(tokens + 1) * (F.first("kinds") + 1)).alias("price"),
+        )
+        kept = F.col("won") > F.col("price")
+        if needed is not None:
+            found = found.join(needed.withColumn("needed", F.lit(True)), "context", "left")
+            kept = kept | F.col("needed").isNotNull()
+        here = stored(found.where(kept).select("context", "n", "rest"), "states")
+        states.append(here)
+        if number:
+            of = levels[number - 1].select(F.col("key").alias("context"), F.col("suffix"))
+            needed = here.join(of, "context").select(F.col("suffix").alias("context")).distinct()
+    return states[::-1]
+
+
+def fit(docs: DataFrame, text: str = "text", depth: int = DEPTH, common_share: float = COMMON_SHARE) -> Model:
+    """Learn from all ``docs``: contexts of up to ``depth`` words."""
     texts = _as_bytes(docs, text)
     words = stored(
-        texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
-        "counts",
+        texts.mapInArrow(tidy(_count_words), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words"
     )
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("n").alias("distinct")).first()
     tokens, distinct = sums["tokens"], sums["distinct"]
-    common, common_n = _pairs(words.where(F.col("n") >= max(1.0, tokens * COMMON_SHARE)), "word")
-    frequent = common_n >= tokens * SYMBOL_SHARE
-    tree = Tree(common[frequent], ())
-    base = np.full(tree.symbols, np.nan)
-    base[FIRST:] = (common_n[frequent] + 1) / (tokens + distinct + 1)
-    base[RARE] = 1 - base[FIRST:].sum()
-    diverges: list[np.ndarray] = []
-    candidates = None
+    shorter = words.withColumn("p", (F.col("n") + 1) / F.lit(float(tokens + distinct + 1)))
+    marks = None
+    levels: list[DataFrame] = []
     for length in range(1, depth + 1):
-        counted = stored(_count_followers(texts, tree, length, candidates), "followers")
-        context = F.expr(f"code div {tree.symbols}").alias("context")
-        contexts, sizes = _pairs(
-            counted.groupBy(context).agg(F.sum("n").alias("n")).where(
-                F.col("n") >= max(2.0, tokens * CONTEXT_SHARE)
-            ),
-            "context",
-        )
-        followers, counts = _pairs(
-            counted.where(F.col("n") >= max(2.0, tokens * FOLLOWER_SHARE)), "code"
-        )
-        level, enough = grown(tree, base, contexts, sizes, followers, counts, tokens)
-        tree = Tree(tree.words, (*tree.levels, level))
-        diverges.append(enough)
-        candidates = followers[counts >= max(2.0, tokens * CONTEXT_SHARE)]
-    return Model(pruned(tree, diverges), tokens, distinct, words, common, common_n)
+        counted = stored(_count_runs(texts, length, marks), "runs")
+        levels.append(stored(_level(counted, shorter), "level"))
+        release(counted)
+        shorter = levels[-1].select("key", "n", "p")
+        if length < depth:
+            marks = _bitmap(shorter)
+    states = _states(levels, tokens)
+    none = F.lit(0.0)
+    parts = [words.select("key", "n", F.lit(1).cast("long").alias("known"), F.log10(F.col("n") + 1.0).alias("gain"), none.alias("ratio"))]
+    for level, known in zip(levels, states, strict=True):
+        listed = level.join(known.select("context"), "context", "left_semi")
+        added = F.log10(F.col("p") / (F.col("spare") * F.col("before")))
+        for rows, key, value in ((known, "context", F.col("rest")), (listed, "key", added)):
+            parts.append(
+                rows.select(
+                    F.col(key).alias("key"), "n", F.lit(0).cast("long").alias("known"), none.alias("gain"), value.alias("ratio")
+                )
+            )
+    values = stored(
+        reduce(DataFrame.unionByName, parts).groupBy("key").agg(
+            F.max("n").alias("n"), *(F.sum(c).alias(c) for c in ("known", "gain", "ratio"))
+        ),
+        "values",
+    )
+    release(words, *levels, *states)
+    common = values.where(F.col("n") >= max(1.0, tokens * common_share)).toPandas().sort_values("key")
+    columns = (common[c].to_numpy() for c in ("key", "known", "gain", "ratio"))
+    return Model(tokens, distinct, depth, values, *columns, _bitmap(values.where("known = 0")))
 
 
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+_SUMS = ("_known", "_gain", "_ratio")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -247,7 +261,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_
     rest = [c for c in docs.columns if c not in (*RESULT, text)]
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")
     rows = _as_bytes(docs, text, key.alias("_id"), *map(F.col, rest))
-    common, logs, tree = model.common, np.log10(model.common_n + 1.0), model.tree
+    common, marks, depth = model.common, model.marks, model.depth
+    # the last one is for what is not common, found at -1
+    known, gain, ratio = (np.append(v, 0) for v in (model.known, model.gain, model.ratio))
 
     def keys(part: pa.RecordBatch, texts: list[bytes | None]) -> np.ndarray:
         ids = part.column("_id").to_pylist()
@@ -261,55 +277,54 @@ def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_
             for part in pieces(batch, "_text", CHUNK_BYTES):
                 texts = part.column("_text").to_pylist()
                 hashes, sizes = _hashes(_words(texts))
-                left = _found(common, hashes) < 0
                 owner = np.repeat(keys(part, texts), sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[left]), pa.array(owner[left])], names=["word", "row"]
-                )
+                left = _found(common, hashes) < 0
+                found = [(hashes[left], owner[left])]
+                for context, suffix, there in runs(hashes, sizes, depth):
+                    run = run_keys(context, suffix)
+                    left = np.flatnonzero(there & _has(marks, run))
+                    left = left[_found(common, run[left]) < 0]
+                    found.append((run[left], owner[left]))
+                for run, row in found:
+                    yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(row)], names=["key", "row"])
 
     def per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "_text", CHUNK_BYTES):
                 texts = part.column("_text").to_pylist()
                 hashes, sizes = _hashes(_words(texts))
-                at = _found(common, hashes)
                 first = np.cumsum(sizes) - sizes
-                gain = np.append(logs, 0.0)[at]  # -1 is the last: not a common word
-                contexts, symbol = tree.read(hashes, sizes, max(1, len(tree.levels)))
-                ratio = tree.ratios(contexts, symbol)
+                at = _found(common, hashes)
+                added = ratio[at]
+                for context, suffix, there in runs(hashes, sizes, depth):
+                    run = run_keys(context, suffix)
+                    some = np.flatnonzero(there & _has(marks, run))
+                    added[some] += ratio[_found(common, run[some])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[part.column(c) for c in rest],
                         pa.array(keys(part, texts)),
                         pa.array(sizes),
-                        pa.array(np.add.reduceat((at >= 0).astype(np.int64), first)),
-                        pa.array(np.add.reduceat(gain, first)),
-                        pa.array(np.add.reduceat(ratio, first)),
+                        *(pa.array(np.add.reduceat(v, first)) for v in (known[at], gain[at], added)),
                     ],
-                    names=[*rest, "_row", "n_tokens", "_known", "_gain", "_ratio"],
+                    names=[*rest, "_row", "n_tokens", *_SUMS],
                 )
 
     schema = docs.select(*rest).schema
-    for name, kind in (("_row", "long"), ("n_tokens", "long"), ("_known", "long"), ("_gain", "double"), ("_ratio", "double")):
+    for name, kind in (("_row", "long"), ("n_tokens", "long"), *zip(_SUMS, ("long", "double", "double"), strict=True)):
         schema = schema.add(name, kind)
-    found = stored(rows.mapInArrow(per_text, schema), "scores")
-    looked_up = rows.mapInArrow(rare, "word long, row long").join(model.counts, "word")
-    rarer = looked_up.groupBy("row").agg(
-        F.count(F.lit(1)).alias("_rare"), F.sum(F.log10(F.col("n") + 1.0)).alias("_more")
-    )
+    found = stored(rows.mapInArrow(tidy(per_text), schema), "scores")
+    looked_up = rows.mapInArrow(tidy(rare), "key long, row long").join(model.values.drop("n"), "key")
+    rarer = looked_up.groupBy("row").agg(*(F.sum(c[1:]).alias(c) for c in _SUMS))
     # equal rows have one key and share its sums
     times = found.groupBy("_row").agg(F.count(F.lit(1)).alias("_times"))
     sums = times.join(rarer, times["_row"] == rarer["row"]).select(
-        "_row", (F.col("_rare") / F.col("_times")).cast("long").alias("_rare"),
-        (F.col("_more") / F.col("_times")).alias("_more"),
+        "_row", *((F.col(c) / F.col("_times")).alias("_more" + c) for c in _SUMS)
     )
     whole = found.join(sums, "_row", "left")
+    n_known, base, ratios = (F.col(c) + F.coalesce("_more" + c, F.lit(0.0)) for c in _SUMS)
     price = math.log10(model.tokens + 1 * (model.distinct + 1))
     return whole.select(
-        "*",
-        (F.col("_gain") + F.coalesce("_more", F.lit(0.0)) - F.col("n_tokens") * price).alias("base_score"),
-    ).select(
-        *rest, "n_tokens", (F.col("_known") + F.coalesce("_rare", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score",
-        (F.col("base_score") + F.col("_ratio")).alias("score"),
-    )
+        *rest, "n_tokens", n_known.cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        (base - F.col("n_tokens") * price).alias("base_score"), ratios.alias("_ratios"),
+    ).select("*", (F.col("base_score") + F.col("_ratios")).alias("score")).drop("_ratios")

@@ -1,53 +1,120 @@
 import collections
+import itertools
 import math
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from spanfold.llm import language_model
 from spanfold.llm.common import remainder
 
+WEIGHT, LEAST = language_model.WEIGHT, language_model.LEAST
+
 
 def tokens(text):
     return [*(text or "").encode().lower().split(), b""]
 
 
-def test_base_score_against_plain_counts(spark, small_docs):
+class Plain:
+    """The same model, run by run in dictionaries."""
+
+    def __init__(self, texts, depth):
+        self.counts = collections.Counter(w for t in texts for w in t)
+        self.total = sum(self.counts.values())
+        self.followers = collections.defaultdict(collections.Counter)
+        for text in texts:
+            laid = (b"", *text)
+            for at in range(1, len(laid)):
+                for length in range(1, min(depth, at) + 1):
+                    self.followers[laid[at - length : at]][laid[at]] += 1
+        self.size = {c: sum(f.values()) for c, f in self.followers.items()}
+        self.listed = {c: {s: n for s, n in f.items() if n >= LEAST} for c, f in self.followers.items()}
+        self.listed = {c: f for c, f in self.listed.items() if f}
+        self.states = set()
+        for context, f in self.listed.items():
+            spare = self.spare(context)
+            won = sum(n * math.log10(self.p(context, s) / self.p(context[1:], s)) for s, n in f.items())
+            won += (self.size[context] - sum(f.values())) * math.log10(spare)
+            if won > 0.5 * math.log10(self.total + 1) * (len(f) + 1):
+                self.states.update(context[k:] for k in range(len(context)))
+
+    def spare(self, context):
+        size = self.size[context]
+        return (size - sum(self.listed[context].values()) + WEIGHT) / (size + WEIGHT)
+
+    def p(self, context, symbol):
+        if not context:
+            return (self.counts[symbol] + 1) / (self.total + len(self.counts) + 1)
+        before = self.p(context[1:], symbol)
+        if context not in self.listed:
+            return before
+        return self.listed[context].get(symbol, 0) / (self.size[context] + WEIGHT) + self.spare(context) * before
+
+    def longest(self, laid, at, depth):
+        for length in range(min(depth, at), 0, -1):
+            if laid[at - length : at] in self.states:
+                return laid[at - length : at]
+        return ()
+
+    def score(self, text, depth):
+        laid = (b"", *text)
+        return sum(math.log10(self.p(self.longest(laid, at, depth), laid[at])) for at in range(1, len(laid)))
+
+
+@pytest.mark.parametrize("depth, common_share", [(2, 1e-3), (3, 2.0)])
+def test_scores_against_a_plain_model(spark, small_docs, depth, common_share):
     docs = small_docs.select("doc_id", "text")
     held_out = remainder("doc_id", 7) == 2
-    model = language_model.fit(docs.where(~held_out))
+    model = language_model.fit(docs.where(~held_out), depth=depth, common_share=common_share)
     found = language_model.score(docs.withColumn("held_out", held_out), model).collect()
     texts = {r.doc_id: tokens(r.text) for r in docs.collect()}
     train = [t for d, t in texts.items() if zlib.crc32(str(d).encode()) % 7 != 2]
-    counts = collections.Counter(w for t in train for w in t)
-    total = sum(counts.values())
+    plain = Plain(train, depth)
+    assert plain.states and any(len(s) == 2 for s in plain.states)
     for row in found:
         words = texts[row.doc_id]
-        assert (row.n_tokens, row.train_tokens) == (len(words), total)
-        assert row.n_known == sum(counts[w] > 0 for w in words)
-        plain = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in words)
-        assert abs(row.base_score - plain) < 1e-6 * abs(plain)
+        assert (row.n_tokens, row.train_tokens) == (len(words), plain.total)
+        assert row.n_known == sum(plain.counts[w] > 0 for w in words)
+        base = sum(math.log10(plain.p((), w)) for w in words)
+        assert abs(row.base_score - base) < 1e-6 * abs(base)
+        whole = plain.score(words, depth)
+        assert abs(row.score - whole) < 1e-6 * abs(whole)
     unseen = [r for r in found if r.held_out]
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
 def test_distributions_sum_to_one(small_docs):
-    tree = language_model.fit(small_docs.select("text")).tree
-    model = language_model.fit(small_docs.select("text"))
-    common = model.common_n >= model.tokens * language_model.SYMBOL_SHARE
-    base = np.zeros(tree.symbols)
-    base[2:] = (model.common_n[common] + 1) / (model.tokens + model.distinct + 1)
-    base[1] = 1 - base.sum()
-    every = np.arange(1, tree.symbols)
-    for depth, level in enumerate(tree.levels, 1):
-        assert len(level.contexts)
-        for context in level.contexts[:20]:
-            contexts = [np.full(len(every), context % tree.symbols**k) for k in range(1, depth + 1)]
-            share = base[every] * 10.0 ** tree.ratios(contexts, every)
-            assert abs(share.sum() - 1) < 1e-6
-    # suffixes of states are states
-    assert np.isin(tree.levels[1].contexts % tree.symbols, tree.levels[0].contexts).all()
+    texts = [tokens(r.text) for r in small_docs.select("text").limit(40).collect()]
+    plain = Plain(texts, 2)
+    symbols = [*plain.counts, b"never seen"]
+    for context in itertools.islice(plain.listed, 20):
+        assert abs(sum(plain.p(context, s) for s in symbols) - 1) < 1e-9
+
+
+def test_what_is_gathered_grows_with_the_corpus(spark):
+    few = spark.createDataFrame([(f"a{i} b{i} c{i}",) for i in range(50) for _ in range(3)], ["text"])
+    many = spark.createDataFrame([(f"a{i} b{i} c{i}",) for i in range(500) for _ in range(3)], ["text"])
+    sizes = [language_model.fit(d).values.where("known = 0").count() for d in (few, many)]
+    assert sizes[0] >= 2 * 50 and sizes[1] >= 2 * 500  # what follows a word here, whatever its share
+
+
+def test_a_text_seen_twice_scores_apart(spark):
+    words = [f"w{i}" for i in range(60)]
+    once = [" ".join(words[(i * k + k) % 60] for i in range(40)) for k in (7, 11, 13, 17, 19, 23)]
+    docs = spark.createDataFrame([(t,) for t in (*once, once[0])], ["text"])
+    model = language_model.fit(docs)
+    ask = spark.createDataFrame([(1, once[0]), (2, once[1])], ["doc_id", "text"])
+    twice, single = sorted(language_model.score(ask, model).collect(), key=lambda r: r.doc_id)
+    assert twice.score - twice.base_score > single.score - single.base_score + 10
+
+
+def test_keys_are_those_of_sql(spark):
+    values = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, (50, 2), np.int64)
+    rows = spark.createDataFrame(values.tolist(), "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("key")).collect()
+    a, b, key = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+    assert (language_model.run_keys(a, b) == key).all()
 
 
 def test_ratios_are_those_of_the_longest_state(spark):
