@@ -101,8 +101,8 @@ def test_what_is_gathered_grows_with_the_corpus(spark):
 
 
 def test_a_text_seen_twice_scores_apart(spark):
-    words = [f"w{i}" for i in range(60)]
-    once = [" ".join(words[(i * k + k) % 60] for i in range(40)) for k in (7, 11, 13, 17, 19, 23)]
+    picks = np.random.default_rng(5).integers(0, 2000, (60, 40))
+    once = [" ".join(f"w{i}" for i in row) for row in picks]
     docs = spark.createDataFrame([(t,) for t in (*once, once[0])], ["text"])
     model = language_model.fit(docs)
     ask = spark.createDataFrame([(1, once[0]), (2, once[1])], ["doc_id", "text"])
