@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from spanfold.llm import linkage
 from spanfold.llm.common import pieces, text_or_empty, tidy
-from spanfold.llm.minhash import MinHash, mixed, shingles, word_hashes
+from spanfold.llm.minhash import MinHash, mixed, placed_hashes, shingles, word_places
 from spanfold.sources.scratch import release, stored
 
 WORDS = 5
@@ -54,8 +54,6 @@ CUT_ONE_IN = 32
 CHUNK_BYTES = 4 << 20
 
 _PLACE = ("word", "n_words", "start", "size", "head", "head_size", "tail", "tail_size")
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[[ord(c) for c in ".!?"]] = True
 
@@ -70,18 +68,30 @@ class Words:
     number: np.ndarray  # place in that text
     hashes: np.ndarray
     closes: np.ndarray  # ends a sentence or a line
-    begin: np.ndarray  # code points, in the text
-    stop: np.ndarray
+    inner: np.ndarray  # bytes that go on with a character
+    offsets: np.ndarray  # of each text, bytes
+
+    def _points(self, places: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Code points in the text, which are bytes less those that go on with a character."""
+        of = self.offsets[self.owner[at]]
+        if not len(self.inner):
+            return places - of
+        first = np.searchsorted(self.inner, self.offsets)[self.owner[at]]
+        return places - of - (np.searchsorted(self.inner, places) - first)
+
+    def begin(self, at: np.ndarray) -> np.ndarray:
+        return self._points(self.starts[at], at)
+
+    def stop(self, at: np.ndarray) -> np.ndarray:
+        return self._points(self.ends[at], at)
 
 
 def laid_out(texts: list[bytes], least: int) -> Words | None:
     laid = b"\n".join(texts)
-    words = laid.split()
-    if len(words) < least:
+    starts, ends = word_places(laid)
+    if len(starts) < least:
         return None
-    data = np.frombuffer(laid, np.uint8)
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[data], [True]]).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
+    data, hashes = np.frombuffer(laid, np.uint8), placed_hashes(laid, starts, ends)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
     first = np.searchsorted(starts, offsets)  # of each text
@@ -90,10 +100,7 @@ def laid_out(texts: list[bytes], least: int) -> Words | None:
     closes = _SENTENCE_END[data[ends - 1]]
     line_ends = np.searchsorted(starts, np.flatnonzero(data == 10)) - 1  # the word before
     closes[line_ends[(line_ends >= 0) & (line_ends < len(starts) - 1)]] = True
-    # code points: less the bytes that go on with a character
-    inner = np.flatnonzero(data.view(np.int8) < -64)
-    begin, stop, offsets = (at - np.searchsorted(inner, at) if len(inner) else at for at in (starts, ends, offsets))
-    return Words(starts, ends, owner, number, word_hashes(words), closes, begin - offsets[owner], stop - offsets[owner])
+    return Words(starts, ends, owner, number, hashes, closes, np.flatnonzero(data.view(np.int8) < -64), offsets)
 
 
 @dataclass(frozen=True)
@@ -139,7 +146,7 @@ def cut(texts: list[bytes]) -> Paragraphs | None:
     fresh = np.flatnonzero(np.diff(text, prepend=-1))
     number = np.arange(len(text)) - np.repeat(fresh, np.diff(np.append(fresh, len(text))))
     return Paragraphs(
-        text, number, words.number[begin], stop - begin, words.begin[begin], words.stop[stop - 1],
+        text, number, words.number[begin], stop - begin, words.begin(begin), words.stop(stop - 1),
         item.view(np.int64), grams, first,
     )
 
@@ -252,10 +259,10 @@ def _windows(texts: DataFrame, size: int) -> DataFrame:
                 at = np.concatenate([found.first[group], each])
                 after = np.concatenate([found.last[group], each]) + size
                 words, (head, tail) = found.words, found.foreign(at, after)
-                begin, stop = words.begin[at], words.stop[after - 1]
+                begin, stop = words.begin(at), words.stop(after - 1)
                 columns = [
-                    words.number[at], after - at, begin, stop - begin, head, words.begin[at + head] - begin,
-                    tail, stop - words.stop[after - 1 - tail],
+                    words.number[at], after - at, begin, stop - begin, head, words.begin(at + head) - begin,
+                    tail, stop - words.stop(after - 1 - tail),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
