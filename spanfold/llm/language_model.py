@@ -20,8 +20,10 @@ after it. All this is one written table (run, value), which grows with the corpu
 distributed; runs of at least ``COMMON_SHARE`` of all tokens (100,000 of each length at most, by
 that very bound) are looked up where a text is read, the rarer ones are shuffled to their
 values, so none is a hot key. Runs travel as 64-bit hashes (two of one hash would count as
-one). A bitmap of fixed size keeps most runs without a value out of the shuffle; where the
-corpus fills it, more of them go on to the join, which decides in any case.
+one), those of a range of hashes and a piece of the texts in one row of a table; the ranges
+are as many as the runs ask for, so that what meets in one task is bounded. A bitmap of fixed
+size keeps most runs without a value out of the shuffle; where the corpus fills it, more of
+them go on to the values, which decide in any case.
 
 Defined cases: a null text is an empty one: one token, its end; without training texts the
 scores are 0; an empty table has no scores. Texts of any length are read whole. Repeated rows are
@@ -38,20 +40,22 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanfold.llm import linkage
 from spanfold.llm.common import pieces, tidy
-from spanfold.llm.minhash import word_hashes
+from spanfold.llm.minhash import placed_hashes, word_hashes, word_places
 from spanfold.sources.scratch import release, stored
 
 DEPTH = 2
 LEAST = 2
 WEIGHT = 8.0  # how many observations the shorter context's distribution stands for
 COMMON_SHARE = 1e-5
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
+CHUNK_TEXTS = 1 << 16  # so that 16 bits tell a text
+RANGE = 1 << 19  # about how many runs, or values, make a range
 
 # Fixed values of xxHash64.
 _PRIMES = tuple(
@@ -62,16 +66,48 @@ _PRIMES = tuple(
 )
 
 
-def _words(texts: list[bytes | None]) -> list[list[bytes]]:
-    # bytes: lower() is A-Z only, split() is at the six ASCII blanks
-    return [(t or b"").lower().split() for t in texts]
+def _hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, the end of each text last, and the number of tokens per text."""
+    # bytes: lower() is A-Z only, words are cut at the six ASCII blanks
+    laid = b"\n".join(t or b"" for t in texts).lower()
+    starts, ends = word_places(laid)
+    after = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts)))
+    sizes = np.diff(np.searchsorted(starts, after), prepend=0) + 1
+    hashes = np.full(len(starts) + len(texts), word_hashes([b""])[0])
+    inside = np.ones(len(hashes), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    hashes[inside] = placed_hashes(laid, starts, ends)
+    return hashes.view(np.int64), sizes
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of the texts, with the hashes and sizes of them."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, CHUNK_TEXTS):
+            for part in pieces(batch.slice(begin, CHUNK_TEXTS), "_text", CHUNK_BYTES):
+                yield part, *_hashes(part.column("_text").to_pylist())
 
 
-def _hashes(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, the end of each text last, and the number of tokens per text."""
-    flat = [w for text in words for w in (*text, b"")]
-    sizes = np.fromiter((len(text) + 1 for text in words), np.int64, len(words))
-    return word_hashes(flat).view(np.int64), sizes
+def _ranges(count: int) -> int:
+    return max(1, -(-count // RANGE))
+
+
+def _range(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Which of so many equal ranges a key is in."""
+    high = keys.view(np.uint64) >> np.uint64(32)
+    return ((high * np.uint64(ranges)) >> np.uint64(32)).astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
+
+
+def _packed(number: np.ndarray, ranges: int, *columns: np.ndarray) -> list[pa.Array]:
+    """The ranges that occur, and what each holds of the columns; ``number`` ascends."""
+    edges = np.searchsorted(number, np.arange(ranges + 1))
+    some = np.flatnonzero(np.diff(edges))
+    cut = [[c[edges[r] : edges[r + 1]].tobytes() for r in some] for c in columns]
+    return [pa.array(some.astype(np.int32)), *(pa.array(c, pa.binary()) for c in cut)]
+
+
+def _unpacked(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
 def _turned(values: np.ndarray, by: int) -> np.ndarray:
@@ -113,10 +149,10 @@ def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == values, at, -1)
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
+def _bitmap(keys: DataFrame, marks: int = linkage.MARKS) -> np.ndarray:
     """Marks of the keys; they are hashes, so their last bits are their marks."""
-    pages = linkage.bitmaps(keys.select(F.col("key").bitwiseAND(linkage.MARKS - 1).alias("mark")), "mark")
-    bits = np.zeros(linkage.MARKS // 8, np.uint8)
+    pages = linkage.bitmaps(keys.select(F.col("key").bitwiseAND(marks - 1).alias("mark")), "mark")
+    bits = np.zeros(marks // 8, np.uint8)
     for page in pages.toLocalIterator():
         begin = page["_page"] * linkage.PAGE // 8
         bits[begin : begin + linkage.PAGE // 8] = np.frombuffer(page["_bits"], np.uint8)
@@ -124,7 +160,7 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    mark = keys & (linkage.MARKS - 1)
+    mark = keys & (8 * len(bits) - 1)
     return (bits[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 > 0
 
 
@@ -133,7 +169,7 @@ class Model:
     tokens: int
     distinct: int
     depth: int
-    values: DataFrame  # key, n, known, gain (base), ratio: what a run adds to a score
+    values: DataFrame  # key, n, known, gain (base), ratio: what a run adds to a score, in up to two rows
     common: np.ndarray  # keys of the common runs, sorted
     known: np.ndarray
     gain: np.ndarray
@@ -146,31 +182,40 @@ def _as_bytes(docs: DataFrame, text: str, *rest: Column) -> DataFrame:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in pieces(batch, "_text", CHUNK_BYTES):
-            hashes, _ = _hashes(_words(part.column("_text").to_pylist()))
-            found, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["key", "n"])
+    for _, hashes, _ in _parts(batches):
+        found, n = np.unique(hashes, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["key", "n"])
 
 
-def _count_runs(texts: DataFrame, length: int, marks: np.ndarray | None) -> DataFrame:
+def _count_runs(texts: DataFrame, length: int, marks: np.ndarray | None, ranges: int) -> DataFrame:
     """(context, suffix, n) of runs of ``length`` words and a follower, seen ``LEAST`` times; where
     ``marks`` are given, only of those with context and suffix among them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "_text", CHUNK_BYTES):
-                *_, (context, suffix, there) = runs(*_hashes(_words(part.column("_text").to_pylist())), length)
-                if marks is not None:
-                    there &= _has(marks, context) & _has(marks, suffix)
-                context, suffix = context[there], suffix[there]
-                _, at, n = np.unique(run_keys(context, suffix), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(context[at]), pa.array(suffix[at]), pa.array(n)], names=["context", "suffix", "n"]
-                )
+        for _, hashes, sizes in _parts(batches):
+            *_, (context, suffix, there) = runs(hashes, sizes, length)
+            if marks is not None:
+                there &= _has(marks, context) & _has(marks, suffix)
+            context, suffix = context[there], suffix[there]
+            keys, at, n = np.unique(run_keys(context, suffix).view(np.uint64), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                _packed(_range(keys, ranges), ranges, context[at], suffix[at], n.astype(np.uint32)),
+                names=["range", "context", "suffix", "n"],
+            )
+
+    def add(counted: pa.Table) -> pa.Table:
+        context, suffix = (_unpacked(counted, c, np.int64) for c in ("context", "suffix"))
+        keys = run_keys(context, suffix)
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.add.reduceat(_unpacked(counted, "n", np.uint32)[order].astype(np.int64), first)
+        often = n >= LEAST
+        at = order[first[often]]
+        return pa.table({"context": context[at], "suffix": suffix[at], "n": n[often]})
 
-    counted = texts.mapInArrow(tidy(count), "context long, suffix long, n long")
-    return counted.groupBy("context", "suffix").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    counted = texts.mapInArrow(tidy(count), "range int, context binary, suffix binary, n binary")
+    return counted.groupBy("range").applyInArrow(add, "context long, suffix long, n long")
 
 
 def _level(counted: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -222,7 +267,7 @@ def fit(docs: DataFrame, text: str = "text", depth: int = DEPTH, common_share: f
     marks = None
     levels: list[DataFrame] = []
     for length in range(1, depth + 1):
-        counted = stored(_count_runs(texts, length, marks), "runs")
+        counted = stored(_count_runs(texts, length, marks, _ranges(tokens)), "runs")
         levels.append(stored(_level(counted, shorter), "level"))
         release(counted)
         shorter = levels[-1].select("key", "n", "p")
@@ -240,91 +285,127 @@ def fit(docs: DataFrame, text: str = "text", depth: int = DEPTH, common_share: f
                     F.col(key).alias("key"), "n", F.lit(0).cast("long").alias("known"), none.alias("gain"), value.alias("ratio")
                 )
             )
-    values = stored(
-        reduce(DataFrame.unionByName, parts).groupBy("key").agg(
-            F.max("n").alias("n"), *(F.sum(c).alias(c) for c in ("known", "gain", "ratio"))
-        ),
-        "values",
-    )
+    values = stored(reduce(DataFrame.unionByName, parts), "values")
     release(words, *levels, *states)
-    common = values.where(F.col("n") >= max(1.0, tokens * common_share)).toPandas().sort_values("key")
+    # a run can be a state and a listed follower too
+    often = values.where(F.col("n") >= max(1.0, tokens * common_share)).groupBy("key")
+    common = often.agg(*(F.sum(c).alias(c) for c in ("known", "gain", "ratio"))).toPandas().sort_values("key")
     columns = (common[c].to_numpy() for c in ("key", "known", "gain", "ratio"))
-    return Model(tokens, distinct, depth, values, *columns, _bitmap(values.where("known = 0")))
+    marks = _bitmap(values.where("known = 0"), linkage.MOST_MARKS)
+    return Model(tokens, distinct, depth, values, *columns, marks)
 
 
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-_SUMS = ("_known", "_gain", "_ratio")
+_SUMS = ("known", "gain", "ratio")
+_ANSWER = ("chunk", "text", *_SUMS, "row", "n_tokens")
+_ANSWER_TYPE = "chunk long, text binary, known binary, gain binary, ratio binary, row binary, n_tokens binary"
+_KINDS = {"text": np.uint16, "known": np.int64, "gain": np.float64, "ratio": np.float64, "row": np.int64, "n_tokens": np.int64}
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the text, with the scores of it."""
-    rest = [c for c in docs.columns if c not in (*RESULT, text)]
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")
-    rows = _as_bytes(docs, text, key.alias("_id"), *map(F.col, rest))
+def _asked(rows: DataFrame, model: Model, ranges: int) -> DataFrame:
+    """Per piece of the texts and range, the runs that are not common and which text each is of;
+    and per piece, in any range, what its common ones add to each text."""
     common, marks, depth = model.common, model.marks, model.depth
     # the last one is for what is not common, found at -1
     known, gain, ratio = (np.append(v, 0) for v in (model.known, model.gain, model.ratio))
 
-    def keys(part: pa.RecordBatch, texts: list[bytes | None]) -> np.ndarray:
-        ids = part.column("_id").to_pylist()
-        return np.array(
-            [xxhash.xxh3_64_intdigest((t or b"") + b"\0" + i) for t, i in zip(texts, ids, strict=True)],
-            np.uint64,
-        ).view(np.int64)
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "_text", CHUNK_BYTES):
-                texts = part.column("_text").to_pylist()
-                hashes, sizes = _hashes(_words(texts))
-                owner = np.repeat(keys(part, texts), sizes)
-                left = _found(common, hashes) < 0
-                found = [(hashes[left], owner[left])]
-                for context, suffix, there in runs(hashes, sizes, depth):
-                    run = run_keys(context, suffix)
-                    left = np.flatnonzero(there & _has(marks, run))
-                    left = left[_found(common, run[left]) < 0]
-                    found.append((run[left], owner[left]))
-                for run, row in found:
-                    yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(row)], names=["key", "row"])
-
-    def per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "_text", CHUNK_BYTES):
-                texts = part.column("_text").to_pylist()
-                hashes, sizes = _hashes(_words(texts))
-                first = np.cumsum(sizes) - sizes
-                at = _found(common, hashes)
-                added = ratio[at]
-                for context, suffix, there in runs(hashes, sizes, depth):
-                    run = run_keys(context, suffix)
-                    some = np.flatnonzero(there & _has(marks, run))
-                    added[some] += ratio[_found(common, run[some])]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(c) for c in rest],
-                        pa.array(keys(part, texts)),
-                        pa.array(sizes),
-                        *(pa.array(np.add.reduceat(v, first)) for v in (known[at], gain[at], added)),
-                    ],
-                    names=[*rest, "_row", "n_tokens", *_SUMS],
-                )
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId() << 32
+        for number, (part, hashes, sizes) in enumerate(_parts(batches)):
+            text = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+            at = _found(common, hashes)
+            added = ratio[at]
+            left = at < 0
+            found = [(hashes[left], text[left])]
+            for context, suffix, there in runs(hashes, sizes, depth):
+                run = run_keys(context, suffix)
+                some = np.flatnonzero(there & _has(marks, run))
+                place = _found(common, run[some])
+                added[some] += ratio[place]
+                left = some[place < 0]
+                found.append((run[left], text[left]))
+            keys, text = (np.concatenate(c) for c in zip(*found, strict=True))
+            of = _range(keys, ranges)
+            order = np.argsort(of, kind="stable")
+            asked = _packed(of[order], ranges, keys[order], text[order])
+            first = np.cumsum(sizes) - sizes
+            sums = (
+                np.add.reduceat(v, first).astype(_KINDS[c]).tobytes()
+                for c, v in zip(_SUMS, (known[at], gain[at], added), strict=True)
+            )
+            own = dict(zip(_SUMS, sums, strict=True))
+            own["row"], own["n_tokens"] = part.column("_row").to_numpy().tobytes(), sizes.astype(np.int64).tobytes()
+            own |= {"range": number % ranges, "text": np.arange(len(sizes), dtype=np.uint16).tobytes()}
+            schema = pa.schema([("range", pa.int32()), ("key", pa.binary()), ("chunk", pa.int64())])
+            for name in _ANSWER[1:]:
+                schema = schema.append(pa.field(name, pa.binary()))
+            rows = [own, *({"range": r, "key": k, "text": t} for r, k, t in zip(*(c.to_pylist() for c in asked), strict=True))]
+            yield pa.RecordBatch.from_pylist([r | {"chunk": task + number} for r in rows], schema)
+
+    return rows.mapInArrow(tidy(ask), "range int, key binary, " + _ANSWER_TYPE)
+
+
+def _answered(asked: pa.Table, values: pa.Table) -> pa.Table:
+    """Per piece, what the runs it asked for add to its texts."""
+    key = values.column("key").to_numpy()
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+    key = key[first]
+    sums = [np.add.reduceat(values.column(c).to_numpy()[order], first) if len(key) else np.zeros(0) for c in _SUMS]
+    answers = []
+    for row in asked.to_pylist():
+        if row["key"] is None:
+            answers.append({c: row[c] for c in _ANSWER})
+            continue
+        at = _found(key, np.frombuffer(row["key"], np.int64))
+        text = np.frombuffer(row["text"], np.uint16)[at >= 0]
+        at = at[at >= 0]
+        some = np.flatnonzero(np.bincount(text))
+        if len(some):
+            answer = {"chunk": row["chunk"], "text": some.astype(np.uint16).tobytes()}
+            for c, v in zip(_SUMS, sums, strict=True):
+                answer[c] = np.bincount(text, v[at])[some].astype(_KINDS[c]).tobytes()
+            answers.append(answer)
+    schema = pa.schema([("chunk", pa.int64()), *((c, pa.binary()) for c in _ANSWER[1:])])
+    return pa.Table.from_pylist(answers, schema)
+
+
+def _summed(answers: pa.Table) -> pa.Table:
+    """The texts of a piece, with all sums."""
+    own, rest = None, []
+    for row in answers.to_pylist():
+        found = {c: np.frombuffer(row[c], _KINDS[c]) for c in _KINDS if row[c] is not None}
+        if "row" in found:
+            own = found
+        else:
+            rest.append(found)
+    total = {c: own[c].copy() for c in _SUMS}
+    for found in rest:
+        for c in _SUMS:
+            total[c][found["text"]] += found[c]
+    return pa.table({"_row": own["row"], "_tokens": own["n_tokens"], **{"_" + c: total[c] for c in _SUMS}})
 
-    schema = docs.select(*rest).schema
-    for name, kind in (("_row", "long"), ("n_tokens", "long"), *zip(_SUMS, ("long", "double", "double"), strict=True)):
-        schema = schema.add(name, kind)
-    found = stored(rows.mapInArrow(tidy(per_text), schema), "scores")
-    looked_up = rows.mapInArrow(tidy(rare), "key long, row long").join(model.values.drop("n"), "key")
-    rarer = looked_up.groupBy("row").agg(*(F.sum(c[1:]).alias(c) for c in _SUMS))
-    # equal rows have one key and share its sums
-    times = found.groupBy("_row").agg(F.count(F.lit(1)).alias("_times"))
-    sums = times.join(rarer, times["_row"] == rarer["row"]).select(
-        "_row", *((F.col(c) / F.col("_times")).alias("_more" + c) for c in _SUMS)
+
+def score(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` without the text, with the scores of it."""
+    rest = [c for c in docs.columns if c not in (*RESULT, text)]
+    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    row = F.xxhash64(key, F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_row")
+    ranges = _ranges(model.values.count())
+    high = F.shiftrightunsigned("key", 32)
+    values = model.values.withColumn("range", F.shiftright(high * F.lit(ranges).cast("long"), 32).cast("int"))
+    asked = _asked(_as_bytes(docs, text, row), model, ranges)
+    answers = asked.groupBy("range").cogroup(values.select("range", "key", *_SUMS).groupBy("range")).applyInArrow(
+        _answered, _ANSWER_TYPE
     )
-    whole = found.join(sums, "_row", "left")
-    n_known, base, ratios = (F.col(c) + F.coalesce("_more" + c, F.lit(0.0)) for c in _SUMS)
+    found = answers.groupBy("chunk").applyInArrow(_summed, "_row long, _tokens long, _known long, _gain double, _ratio double")
+    # equal rows have one key and share its sums
+    sums = stored(found.groupBy("_row").agg(*(F.max(c).alias(c) for c in ("_tokens", "_known", "_gain", "_ratio"))), "sums")
+    whole = docs.select(*rest, row).join(sums, "_row")
     price = math.log10(model.tokens + 1 * (model.distinct + 1))
+    base = F.col("_gain") - F.col("_tokens") * price
     return whole.select(
-        *rest, "n_tokens", n_known.cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (base - F.col("n_tokens") * price).alias("base_score"), ratios.alias("_ratios"),
-    ).select("*", (F.col("base_score") + F.col("_ratios")).alias("score")).drop("_ratios")
+        *rest, F.col("_tokens").alias("n_tokens"), F.col("_known").alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("_ratio")).alias("score"),
+    )
