@@ -53,7 +53,8 @@ DEPTH = 2
 LEAST = 2
 WEIGHT = 8.0  # how many observations the shorter context's distribution stands for
 COMMON_SHARE = 1e-5
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+ASK_BYTES = 2 << 20
 CHUNK_TEXTS = 1 << 16  # so that 16 bits tell a text
 RANGE = 1 << 19  # about how many runs, or values, make a range
 
@@ -80,11 +81,11 @@ def _hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes.view(np.int64), sizes
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _parts(batches: Iterator[pa.RecordBatch], most_bytes: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Pieces of the texts, with the hashes and sizes of them."""
     for batch in batches:
         for begin in range(0, batch.num_rows, CHUNK_TEXTS):
-            for part in pieces(batch.slice(begin, CHUNK_TEXTS), "_text", CHUNK_BYTES):
+            for part in pieces(batch.slice(begin, CHUNK_TEXTS), "_text", most_bytes):
                 yield part, *_hashes(part.column("_text").to_pylist())
 
 
@@ -141,12 +142,39 @@ def runs(hashes: np.ndarray, sizes: np.ndarray, depth: int) -> Iterator[tuple[np
         key = run_keys(context, key)
 
 
-def _found(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Place of each value, or -1."""
-    if not len(sorted_values):
-        return np.full(len(values), -1)
-    at = np.minimum(np.searchsorted(sorted_values, values), len(sorted_values) - 1)
-    return np.where(sorted_values[at] == values, at, -1)
+class Lookup:
+    """Places of keys in a sorted table of distinct ones, as unsigned numbers. They are hashes, so
+    their first bits tell about where one stands: in a cell that mostly holds one key or none."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys.view(np.uint64)
+        if len(keys):
+            self._least, span = self.keys[0], int(self.keys[-1] - self.keys[0])
+            self._shift = np.uint64(max(0, span.bit_length() - (4 * len(keys)).bit_length()))
+            self._last = span >> int(self._shift)
+            cells = (self.keys - self._least) >> self._shift
+            self._first = np.searchsorted(cells, np.arange(self._last + 2, dtype=np.uint64)).astype(np.int32)
+
+    def found(self, values: np.ndarray) -> np.ndarray:
+        """Place of each value, or -1."""
+        if not len(self.keys):
+            return np.full(len(values), -1)
+        values = values.view(np.uint64)
+        cell = np.minimum((values - self._least) >> self._shift, np.uint64(self._last)).view(np.int64)
+        first = self._first[cell]
+        at = np.minimum(first, len(self.keys) - 1)
+        there = self.keys[at] == values
+        more = np.flatnonzero(~there & (self._first[cell + 1] - first > 1))
+        at[more] = np.minimum(np.searchsorted(self.keys, values[more]), len(self.keys) - 1)
+        there[more] = self.keys[at[more]] == values[more]
+        return np.where(there, at, -1)
+
+
+def _firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys as unsigned numbers, and where in it each of them comes first."""
+    order = np.argsort(keys.view(np.uint64))
+    keys = keys[order]
+    return order, np.flatnonzero(np.concatenate([[len(keys) > 0], keys[1:] != keys[:-1]]))
 
 
 def _bitmap(keys: DataFrame, marks: int = linkage.MARKS) -> np.ndarray:
@@ -170,7 +198,7 @@ class Model:
     distinct: int
     depth: int
     values: DataFrame  # key, n, known, gain (base), ratio: what a run adds to a score, in up to two rows
-    common: np.ndarray  # keys of the common runs, sorted
+    common: Lookup  # keys of the common runs
     known: np.ndarray
     gain: np.ndarray
     ratio: np.ndarray
@@ -197,18 +225,18 @@ def _count_runs(texts: DataFrame, length: int, marks: np.ndarray | None, ranges:
             if marks is not None:
                 there &= _has(marks, context) & _has(marks, suffix)
             context, suffix = context[there], suffix[there]
-            keys, at, n = np.unique(run_keys(context, suffix).view(np.uint64), return_index=True, return_counts=True)
+            keys = run_keys(context, suffix)
+            order, first = _firsts(keys)
+            n = np.diff(np.append(first, len(keys)))
+            at = order[first]
             yield pa.RecordBatch.from_arrays(
-                _packed(_range(keys, ranges), ranges, context[at], suffix[at], n.astype(np.uint32)),
+                _packed(_range(keys[at], ranges), ranges, context[at], suffix[at], n.astype(np.uint32)),
                 names=["range", "context", "suffix", "n"],
             )
 
     def add(counted: pa.Table) -> pa.Table:
         context, suffix = (_unpacked(counted, c, np.int64) for c in ("context", "suffix"))
-        keys = run_keys(context, suffix)
-        order = np.argsort(keys)
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        order, first = _firsts(run_keys(context, suffix))
         n = np.add.reduceat(_unpacked(counted, "n", np.uint32)[order].astype(np.int64), first)
         often = n >= LEAST
         at = order[first[often]]
@@ -289,10 +317,11 @@ def fit(docs: DataFrame, text: str = "text", depth: int = DEPTH, common_share: f
     release(words, *levels, *states)
     # a run can be a state and a listed follower too
     often = values.where(F.col("n") >= max(1.0, tokens * common_share)).groupBy("key")
-    common = often.agg(*(F.sum(c).alias(c) for c in ("known", "gain", "ratio"))).toPandas().sort_values("key")
-    columns = (common[c].to_numpy() for c in ("key", "known", "gain", "ratio"))
+    common = often.agg(*(F.sum(c).alias(c) for c in _SUMS)).toPandas()
+    keys = common["key"].to_numpy()
+    order, _ = _firsts(keys)
     marks = _bitmap(values.where("known = 0"), linkage.MOST_MARKS)
-    return Model(tokens, distinct, depth, values, *columns, marks)
+    return Model(tokens, distinct, depth, values, Lookup(keys[order]), *(common[c].to_numpy()[order] for c in _SUMS), marks)
 
 
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -311,16 +340,16 @@ def _asked(rows: DataFrame, model: Model, ranges: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
-        for number, (part, hashes, sizes) in enumerate(_parts(batches)):
+        for number, (part, hashes, sizes) in enumerate(_parts(batches, ASK_BYTES)):
             text = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-            at = _found(common, hashes)
+            at = common.found(hashes)
             added = ratio[at]
             left = at < 0
             found = [(hashes[left], text[left])]
             for context, suffix, there in runs(hashes, sizes, depth):
                 run = run_keys(context, suffix)
                 some = np.flatnonzero(there & _has(marks, run))
-                place = _found(common, run[some])
+                place = common.found(run[some])
                 added[some] += ratio[place]
                 left = some[place < 0]
                 found.append((run[left], text[left]))
@@ -333,14 +362,20 @@ def _asked(rows: DataFrame, model: Model, ranges: int) -> DataFrame:
                 np.add.reduceat(v, first).astype(_KINDS[c]).tobytes()
                 for c, v in zip(_SUMS, (known[at], gain[at], added), strict=True)
             )
-            own = dict(zip(_SUMS, sums, strict=True))
-            own["row"], own["n_tokens"] = part.column("_row").to_numpy().tobytes(), sizes.astype(np.int64).tobytes()
-            own |= {"range": number % ranges, "text": np.arange(len(sizes), dtype=np.uint16).tobytes()}
-            schema = pa.schema([("range", pa.int32()), ("key", pa.binary()), ("chunk", pa.int64())])
-            for name in _ANSWER[1:]:
-                schema = schema.append(pa.field(name, pa.binary()))
-            rows = [own, *({"range": r, "key": k, "text": t} for r, k, t in zip(*(c.to_pylist() for c in asked), strict=True))]
-            yield pa.RecordBatch.from_pylist([r | {"chunk": task + number} for r in rows], schema)
+            every = np.arange(len(sizes), dtype=np.uint16)
+            own = (every.tobytes(), *sums, part.column("_row").to_numpy().tobytes(), sizes.astype(np.int64).tobytes())
+            names = ["range", "key", *_ANSWER]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number % ranges], pa.int32()), pa.nulls(1, pa.binary()), pa.array([task + number]),
+                    *(pa.array([c], pa.binary()) for c in own),
+                ],
+                names=names,
+            )
+            where, key, text = asked
+            chunk = pa.array(np.full(len(where), task + number))
+            none = pa.nulls(len(where), pa.binary())
+            yield pa.RecordBatch.from_arrays([where, key, chunk, text, *[none] * (len(_ANSWER) - 2)], names=names)
 
     return rows.mapInArrow(tidy(ask), "range int, key binary, " + _ANSWER_TYPE)
 
@@ -348,22 +383,21 @@ def _asked(rows: DataFrame, model: Model, ranges: int) -> DataFrame:
 def _answered(asked: pa.Table, values: pa.Table) -> pa.Table:
     """Per piece, what the runs it asked for add to its texts."""
     key = values.column("key").to_numpy()
-    order = np.argsort(key)
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
-    key = key[first]
+    order, first = _firsts(key)
+    lookup = Lookup(key[order[first]])
     sums = [np.add.reduceat(values.column(c).to_numpy()[order], first) if len(key) else np.zeros(0) for c in _SUMS]
     answers = []
-    for row in asked.to_pylist():
-        if row["key"] is None:
-            answers.append({c: row[c] for c in _ANSWER})
+    for number in range(asked.num_rows):
+        row = {c: asked.column(c)[number] for c in ("key", *_ANSWER)}
+        if not row["key"].is_valid:
+            answers.append({c: row[c].as_py() for c in _ANSWER})
             continue
-        at = _found(key, np.frombuffer(row["key"], np.int64))
-        text = np.frombuffer(row["text"], np.uint16)[at >= 0]
+        at = lookup.found(np.frombuffer(row["key"].as_buffer(), np.int64))
+        text = np.frombuffer(row["text"].as_buffer(), np.uint16)[at >= 0]
         at = at[at >= 0]
         some = np.flatnonzero(np.bincount(text))
         if len(some):
-            answer = {"chunk": row["chunk"], "text": some.astype(np.uint16).tobytes()}
+            answer = {"chunk": row["chunk"].as_py(), "text": some.astype(np.uint16).tobytes()}
             for c, v in zip(_SUMS, sums, strict=True):
                 answer[c] = np.bincount(text, v[at])[some].astype(_KINDS[c]).tobytes()
             answers.append(answer)

@@ -137,3 +137,36 @@ def test_edge_cases(edge_docs, no_docs):
     untaught = language_model.fit(no_docs)
     rows = language_model.score(edge_docs.where(F.col("doc_id") > 0), untaught).collect()
     assert {(r.train_tokens, r.n_known, r.score) for r in rows} == {(0, 0, 0.0)}
+
+
+def test_lookup_finds_the_keys_and_no_others():
+    chance = np.random.default_rng(7)
+    crowded = np.arange(40, dtype=np.uint64) + np.uint64(1 << 63)
+    for keys in (chance.integers(0, 1 << 64, 5000, np.uint64), crowded, crowded[:1], crowded[:0]):
+        keys = np.unique(np.concatenate([keys, chance.integers(0, 1 << 64, len(keys) // 9, np.uint64)]))
+        others = chance.integers(0, 1 << 64, 3000, np.uint64)
+        ask = np.concatenate([keys[::-1], others, keys - np.uint64(1), keys + np.uint64(1)])
+        place = {k: n for n, k in enumerate(keys.tolist())}
+        assert language_model.Lookup(keys.view(np.int64)).found(ask.view(np.int64)).tolist() == [
+            place.get(v, -1) for v in ask.tolist()
+        ]
+
+
+def test_pieces_and_ranges_do_not_show(spark, small_docs, monkeypatch):
+    docs = small_docs.select("doc_id", "text").limit(120).localCheckpoint()
+
+    def scores(docs):
+        model = language_model.fit(docs, common_share=1e-2)
+        return {r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in language_model.score(docs, model).collect()}
+
+    whole = scores(docs.coalesce(1))
+    monkeypatch.setattr(language_model, "RANGE", 2_000)
+    cut = scores(docs.repartition(5))
+    assert len(whole) == len(cut) == 120
+    assert all(cut[d] == pytest.approx(found, rel=1e-9) for d, found in whole.items())
+
+
+def test_runs_travel_packed(spark, small_docs):
+    texts = language_model._as_bytes(small_docs, "text").coalesce(1)
+    plan = language_model._count_runs(texts, 1, None, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Aggregate" not in plan
