@@ -65,10 +65,15 @@ def tidy(work: Work) -> Work:
     @wraps(work)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from work(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-        if trim is not None:
-            trim(0)
+        give_back()
 
     return tidied
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

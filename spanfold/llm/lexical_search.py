@@ -6,7 +6,9 @@ bytes of variable length. Beside each block stand its last document and its best
 occurrences and document length: those that no other posting of the block beats in both. What a
 posting adds to a score grows with the one and falls with the other, so the block's maximum is
 that of its best pairs, whatever the totals of the corpus are by then. Shards depend on nothing
-but their own documents.
+but their own documents. All that a shard holds is bytes, numbers in seven bits each, and shards
+cross to Python one at a time: as arrays of whole numbers a row was three times as large, and the
+JVM and Arrow held several rows side by side, each more than once.
 
 ``search`` takes items in groups, finds the weight of each of their terms by adding up list
 sizes over all shards, and reads each shard once per group. In a shard, an item's lists are
@@ -34,14 +36,16 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanfold.llm.common import text_or_empty, tidy
+from spanfold.llm.common import give_back, text_or_empty, tidy
 from spanfold.sources.scratch import stored
 
 TERMS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
@@ -52,16 +56,16 @@ BEST = 10
 GROUP_ITEMS = 512
 NO_ID = np.iinfo(np.int64).max
 
-_ARRAYS = {
-    "doc_ids": pa.int64(), "lengths": pa.int64(), "terms": pa.string(), "sizes": pa.int64(),
-    "lasts": pa.int32(), "ends": pa.int64(), "pair_ends": pa.int64(), "pair_tfs": pa.int64(),
-    "pair_lengths": pa.int64(),
-}
-SHARD = (
-    "doc_ids array<long>, lengths array<long>, terms array<string>, sizes array<long>, "
-    "lasts array<int>, ends array<long>, pair_ends array<long>, pair_tfs array<long>, "
-    "pair_lengths array<long>, data binary"
-)
+# Postings of which a shard is encoded at once.
+SLICE = 1 << 16
+# Rows of a table that cross to or from a Python worker at once: texts, shards, and terms of a shard.
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_A_BATCH, SHARDS_A_BATCH, TERMS_A_BATCH = 500, 1, 1 << 14
+
+# What ``packed`` writes; beside them the ids as they are, the terms' bytes and the postings.
+_PACKED = ("lengths", "term_bytes", "sizes", "lasts", "block_bytes", "pairs", "pair_tfs", "pair_lengths")
+_BYTES = ("doc_ids", "terms", *_PACKED, "data")
+SHARD = "docs long, words long, " + ", ".join(f"{name} binary" for name in _BYTES)
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -123,35 +127,61 @@ class _Shard:
         missing = np.array([i is None for i in self._ids])
         order = np.lexsort((ids, missing))
         lengths = np.array([len(f) for f in self._found], np.int64)[order]
-        docs = np.repeat(np.arange(len(order)), lengths)
-        postings, tfs = np.unique(
-            (np.concatenate([self._found[n] for n in order]).astype(np.int64) << 32) | docs, return_counts=True
-        )
-        term, doc = postings >> 32, postings & 0xFFFFFFFF
-        sizes = np.bincount(term, minlength=len(self._numbers))
-        list_begins = np.cumsum(sizes) - sizes
-        place = np.arange(len(term)) - np.repeat(list_begins, sizes)
-        opens = np.flatnonzero(place % BLOCK == 0)
-        closes = np.concatenate([opens[1:], [len(term)]]) - 1
-        # distances within a block; its first posting is told from the block before
-        before = np.concatenate([[-1], doc[:-1]])
-        before[list_begins] = -1
-        data, n_bytes = packed(np.column_stack([doc - before - 1, tfs - 1]).ravel())
-        byte_ends = np.cumsum(n_bytes)[2 * closes + 1]
-        pairs = _best_pairs(np.repeat(np.arange(len(opens)), closes - opens + 1), tfs, lengths[doc])
-        arrays = {
-            "doc_ids": pa.array(ids[order], mask=missing[order]), "lengths": lengths,
-            "terms": [t.decode("utf-8", "replace") for t in self._numbers], "sizes": sizes,
-            "lasts": doc[closes].astype(np.int32), "ends": byte_ends,
-            "pair_ends": np.cumsum(np.bincount(pairs[0], minlength=len(opens))),
-            "pair_tfs": pairs[1], "pair_lengths": pairs[2],
+        postings = np.concatenate([self._found[n] for n in order], dtype=np.int64)
+        self._found = []  # from here on they are postings
+        postings <<= 32
+        postings |= np.repeat(np.arange(len(order)), lengths)
+        postings.sort()
+        first = np.ones(len(postings), bool)
+        np.not_equal(postings[1:], postings[:-1], out=first[1:])
+        begins = np.flatnonzero(first)
+        tfs = np.diff(begins, append=len(postings))
+        postings = postings[begins]
+        terms = pa.array([t.decode("utf-8", "replace") for t in self._numbers], pa.string())
+        sizes = np.bincount(postings >> 32, minlength=len(terms))
+        postings &= 0xFFFFFFFF
+        encoded = _encoded(postings, tfs, sizes, lengths)
+        offsets = np.frombuffer(terms.buffers()[1], np.int32, len(terms) + 1)
+        row = {
+            "doc_ids": ids[order].tobytes(), "terms": terms.buffers()[2].to_pybytes()[: offsets[-1]],
+            "lengths": _bytes(lengths), "term_bytes": _bytes(np.diff(offsets)), "sizes": _bytes(sizes), **encoded,
         }
-        columns = [
-            pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, _ARRAYS[name]))
-            for name, values in arrays.items()
-        ]
-        columns.append(pa.array([data.tobytes()], pa.binary()))
-        return pa.RecordBatch.from_arrays(columns, names=[*arrays, "data"])
+        columns = [pa.array([len(order)], pa.int64()), pa.array([int(lengths.sum())], pa.int64())]
+        columns += [pa.array([row[name]], pa.binary()) for name in _BYTES]
+        return pa.RecordBatch.from_arrays(columns, names=["docs", "words", *_BYTES])
+
+
+def _bytes(values: np.ndarray) -> bytes:
+    return packed(values)[0].tobytes()
+
+
+def _encoded(docs: np.ndarray, tfs: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> dict[str, bytes]:
+    """Blocks and their best pairs, from the documents and occurrences of one list after the other."""
+    list_begins = np.cumsum(sizes) - sizes
+    n_blocks = -(-sizes // BLOCK)
+    number = np.arange(int(n_blocks.sum())) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    opens = np.append(np.repeat(list_begins, n_blocks) + BLOCK * number, len(docs))
+    found: dict[str, list[bytes]] = defaultdict(list)
+    begin = 0
+    while begin < len(number):
+        end = max(begin + 1, int(np.searchsorted(opens, opens[begin] + SLICE, side="right")) - 1)
+        low, high = opens[begin], opens[end]
+        doc, tf, bounds = docs[low:high], tfs[low:high], opens[begin : end + 1] - low
+        # distances within a block; its first posting is told from the block before
+        before = np.concatenate([[docs[low - 1]], doc[:-1]])
+        before[bounds[:-1][number[begin:end] == 0]] = -1
+        data, n_bytes = packed(np.column_stack([doc - before - 1, tf - 1]).ravel())
+        block, pair_tfs, pair_lengths = _best_pairs(
+            np.repeat(np.arange(end - begin), np.diff(bounds)), tf, lengths[doc]
+        )
+        found["data"].append(data.tobytes())
+        found["lasts"].append(_bytes(doc[bounds[1:] - 1]))
+        found["block_bytes"].append(_bytes(np.add.reduceat(n_bytes, 2 * bounds[:-1])))
+        found["pairs"].append(_bytes(np.bincount(block, minlength=end - begin)))
+        found["pair_tfs"].append(_bytes(pair_tfs))
+        found["pair_lengths"].append(_bytes(pair_lengths))
+        begin = end
+    return {name: b"".join(parts) for name, parts in found.items()}
 
 
 def _best_pairs(block: np.ndarray, tfs: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -165,6 +195,18 @@ def _best_pairs(block: np.ndarray, tfs: np.ndarray, lengths: np.ndarray) -> tupl
     return block[best], tfs[best], lengths[best]
 
 
+@contextmanager
+def _rows_per_batch(spark: SparkSession, most: int) -> Iterator[None]:
+    """For queries that run here. Spark's 10,000 texts or shards are more than a task should hold;
+    a session that has fewer keeps them."""
+    before = spark.conf.get(ROWS_PER_BATCH)
+    spark.conf.set(ROWS_PER_BATCH, str(min(int(before), most) if int(before) > 0 else most))
+    try:
+        yield
+    finally:
+        spark.conf.set(ROWS_PER_BATCH, before)
+
+
 def build(
     docs: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -177,9 +219,11 @@ def build(
             for number, cell in zip(batch.column("id"), batch.column("text"), strict=True):
                 shard.add(number.as_py(), cell.as_py())
                 if shard.n_bytes >= shard_bytes:
-                    if (row := shard.row()) is not None:
+                    row, shard = shard.row(), _Shard()
+                    if row is not None:
                         yield row
-                    shard = _Shard()
+                    row = None
+                    give_back()
         if (row := shard.row()) is not None:
             yield row
 
@@ -188,7 +232,8 @@ def build(
     )
     # rows are large: row groups of few of them, so that a task holds few shards
     rows = texts.mapInArrow(tidy(work), SHARD).write.option("parquet.block.size", SHARD_BYTES)
-    rows.option("parquet.block.size.row.check.min", 1).parquet(path)
+    with _rows_per_batch(docs.sparkSession, TEXTS_A_BATCH):
+        rows.option("parquet.block.size.row.check.min", 1).parquet(path)
     return docs.sparkSession.read.schema(SHARD).parquet(path)
 
 
@@ -219,8 +264,9 @@ class _Lists:
         self._row, self._totals = row, totals
         n_blocks = -(-row["sizes"] // BLOCK)
         ends = np.cumsum(n_blocks)
+        held = pc.is_in(row["terms"], value_set=pa.array(wanted, pa.string())).to_numpy(zero_copy_only=False)
         self._at = {
-            t: (int(ends[n] - n_blocks[n]), int(ends[n])) for n, t in enumerate(row["terms"]) if t in wanted
+            row["terms"][n].as_py(): (int(ends[n] - n_blocks[n]), int(ends[n])) for n in np.flatnonzero(held)
         }
         parts = totals.impact(row["pair_tfs"], row["pair_lengths"])
         pair_ends = row["pair_ends"]
@@ -346,18 +392,40 @@ def item_terms(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     return texts.mapInArrow(tidy(read), "item long, term string").distinct()
 
 
+def _numbers(batch: pa.RecordBatch, name: str, n: int) -> np.ndarray:
+    return unpacked(np.frombuffer(batch.column(name)[n].as_buffer(), np.uint8))
+
+
+def _terms(batch: pa.RecordBatch, n: int) -> pa.StringArray:
+    ends = np.cumsum(_numbers(batch, "term_bytes", n))
+    offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32))
+    return pa.StringArray.from_buffers(len(ends), offsets, batch.column("terms")[n].as_buffer())
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict[str, np.ndarray]]:
     for n in range(batch.num_rows):
-        row = {}
-        for name in _ARRAYS:
-            values = batch.column(name)[n].values
-            row[name] = values.to_pylist() if name == "terms" else (
-                values.fill_null(NO_ID) if name == "doc_ids" else values
-            ).to_numpy(zero_copy_only=False)
+        row = {name: _numbers(batch, name, n) for name in _PACKED if name != "term_bytes"}
+        row["doc_ids"] = np.frombuffer(batch.column("doc_ids")[n].as_buffer(), np.int64)
+        row["terms"] = _terms(batch, n)
+        row["ends"], row["pair_ends"] = np.cumsum(row.pop("block_bytes")), np.cumsum(row.pop("pairs"))
         row["data"] = batch.column("data")[n].as_buffer()
         yield row
 
 
+def _list_sizes(index: DataFrame) -> DataFrame:
+    """(term, n): of each list of each shard."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                sizes = pa.array(_numbers(batch, "sizes", n), pa.int64())
+                lists = pa.RecordBatch.from_arrays([_terms(batch, n), sizes], names=["term", "n"])
+                for begin in range(0, lists.num_rows, TERMS_A_BATCH):
+                    yield lists.slice(begin, TERMS_A_BATCH)
+
+    return index.select("terms", "term_bytes", "sizes").mapInArrow(tidy(read), "term string, n long")
+
+
 def _group_best(index: DataFrame, weighted: list, totals: Totals, most: int) -> DataFrame:
     """(item, doc_id, score): per task the best documents of each item of a group."""
     by_item: dict[int | None, list[tuple[str, int]]] = defaultdict(list)
@@ -390,25 +458,24 @@ def search(
 ) -> DataFrame:
     """``item_id, rank, doc_id, score`` of each item's best documents. ``group_items`` bounds
     what a pass over the index looks for, so that the weights a task holds are bounded too."""
-    docs, words = index.select(
-        F.sum(F.size("doc_ids")), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))
-    ).first()
+    docs, words = index.select(F.sum("docs"), F.sum("words")).first()
     totals = Totals(docs or 0, words or 0)
     wanted = stored(item_terms(items, item_id, text), "item-terms")
-    entry = F.explode(F.arrays_zip("terms", "sizes")).alias("entry")
-    lists = index.select(entry).select(F.col("entry.terms").alias("term"), F.col("entry.sizes").alias("n"))
-    dfs = lists.join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
+    dfs = _list_sizes(index).join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     weights = dfs.select("term", weight(F.col("df"), totals.docs).alias("weight"))
     n_items = wanted.select("item").distinct().count()
     n_groups = max(1, -(-n_items // group_items))
-    weighted = stored(
-        wanted.join(weights, "term").select("item", "term", "weight", F.pmod(F.xxhash64("item"), F.lit(n_groups)).alias("g")),
-        "item-weights",
+    grouped = wanted.join(weights, "term").select(
+        "item", "term", "weight", F.pmod(F.xxhash64("item"), F.lit(n_groups)).alias("g")
     )
+    with _rows_per_batch(index.sparkSession, SHARDS_A_BATCH):
+        weighted = stored(grouped, "item-weights")
     found = None
     for group in range(n_groups):
         terms = weighted.where(F.col("g") == group).select("item", "term", "weight")
-        part = _group_best(index, [tuple(r) for r in terms.toLocalIterator()], totals, most)
+        best = _group_best(index, [tuple(r) for r in terms.toLocalIterator()], totals, most)
+        with _rows_per_batch(index.sparkSession, SHARDS_A_BATCH):
+            part = stored(best, "item-best")
         found = part if found is None else found.unionByName(part)
     by_score = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= most)

@@ -107,3 +107,65 @@ def test_blocks_are_left_packed(monkeypatch):
     search.best_of_shard(lists, row["doc_ids"], [("rare", 6_000), ("common", 5)], best)
     n_blocks = len(lists.maxima("common")) + len(lists.maxima("rare"))
     assert lists.n_decoded < n_blocks / 2
+
+
+def shard_of(texts):
+    shard = search._Shard()
+    for n, text in enumerate(texts):
+        shard.add(n, text.encode())
+    return shard.row()
+
+
+@pytest.fixture(scope="module")
+def rare_words():
+    chance = random.Random(5)
+    return [" ".join(f"{chance.randrange(9_000):x}" for _ in range(chance.randrange(400))) for _ in range(300)]
+
+
+def test_a_shard_is_smaller_than_its_texts(rare_words):
+    """An executor holds rows of the index several times over."""
+    row = shard_of(rare_words)
+    assert row.num_rows == 1
+    assert row.nbytes < sum(len(t) for t in rare_words)
+
+
+def test_shards_do_not_depend_on_how_they_are_encoded(rare_words, monkeypatch):
+    texts = [*rare_words, *["often often then"] * 700]
+    whole = shard_of(texts)
+    for postings in (1, 150, 4_000):
+        monkeypatch.setattr(search, "SLICE", postings)
+        assert shard_of(texts).equals(whole)
+
+
+def test_few_rows_are_held_at_once(spark, rows, tmp_path, monkeypatch):
+    """Of texts and of shards, while an index is built and searched."""
+    docs, items = rows
+    folder = tmp_path / "seen"
+    folder.mkdir()
+    path = str(folder)
+
+    def counted(work):
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    what = "items" if "item" in batch.schema.names else "texts" if "text" in batch.schema.names else "shards"
+                    with open(f"{path}/{what}-{batch.num_rows}", "w"):
+                        pass
+                    yield batch
+
+            yield from work(seen())
+
+        return run
+
+    monkeypatch.setattr(search, "tidy", counted)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    assert searched(spark, frame, wanted, tmp_path, 2_000) == ranked(docs, items)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    sizes = defaultdict(set)
+    for name in folder.iterdir():
+        what, n = name.name.split("-")
+        sizes[what].add(int(n))
+    assert max(sizes["texts"]) <= 500
+    assert sizes["shards"] == {1}
